@@ -47,18 +47,24 @@ def array_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
 
 
-def explode_outer_all(df: DataFrame, names: Iterable[str]) -> DataFrame:
+def explode_outer_all(df: DataFrame, names: Iterable[str], spread: int | None = None) -> DataFrame:
     """Explode the named arrays one after another.
 
     Sibling arrays give their cross product; an empty or null array keeps its
     row with a null. Names that are not arrays stay as they are.
+
+    With ``spread``, rows are dealt out over that many tasks before every
+    explode but the first, so that the product of one record's siblings is
+    made by many tasks.
     """
-    arrays = set(array_columns(df))
-    for name in names:
-        if name in arrays:
-            df = df.select(
-                *(F.explode_outer(flat(c)).alias(c) if c == name else flat(c) for c in df.columns)
-            )
+    present = set(array_columns(df))
+    arrays = [name for name in dict.fromkeys(names) if name in present]
+    for position, name in enumerate(arrays):
+        if spread and position:
+            df = df.repartition(spread)
+        df = df.select(
+            *(F.explode_outer(flat(c)).alias(c) if c == name else flat(c) for c in df.columns)
+        )
     return df
 
 
@@ -66,6 +72,7 @@ def unpack(
     df: DataFrame,
     drop_first: Iterable[str] = (),
     before_explode: Callable[[DataFrame], DataFrame] | None = None,
+    spread: int | None = None,
 ) -> DataFrame:
     """Flatten and explode until neither structs nor arrays are left.
 
@@ -78,11 +85,19 @@ def unpack(
     ``before_explode`` is applied to the flattened records while there is still
     one row per record; work that needs record-level columns only (a lookup, a
     hash) is done once per record there instead of once per exploded row.
+
+    ``spread`` is for records that explode into a large share of all rows: it
+    redistributes rows between explodes, at the price of a shuffle each. Leave
+    it out where arrays are of ordinary size, and nothing is shuffled at all.
     """
     drop_first = tuple(drop_first)
     df = drop_columns(flatten(df), *drop_first)
     if before_explode is not None:
         df = before_explode(df)
+    first_pass = True
     while arrays := array_columns(df):
-        df = drop_columns(flatten(explode_outer_all(df, arrays)), *drop_first)
+        if spread and not first_pass:
+            df = df.repartition(spread)
+        df = drop_columns(flatten(explode_outer_all(df, arrays, spread)), *drop_first)
+        first_pass = False
     return df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,69 +11,74 @@ from pyspark.sql.types import StructType
 from hitloom.operators.lookup import lookup_left_join
 from hitloom.operators.nested import array_columns, unpack
 from hitloom.plans.contract import BRONZE, GOLD, SILVER
-from hitloom.plans.spec import LookupSpec, Step, TopicSpec
+from hitloom.plans.spec import LookupSpec, RecordStep, Step, TopicSpec
 from hitloom.plans.topics import TOPICS
-from hitloom.sources.hits import land_bronze, narrow_schema, read_hits
+from hitloom.sources.hits import land_bronze, narrow_schema, read_hits, write_bronze
 from hitloom.sources.tables import layer_path, read_table, write_table
 
 
-def _run(steps: tuple[Step, ...], df: DataFrame) -> DataFrame:
-    return reduce(lambda acc, step: step(acc), steps, df)
+def _lookup_step(lookup: LookupSpec, tables: Mapping[str, DataFrame]) -> RecordStep:
+    def join(df: DataFrame) -> DataFrame:
+        return lookup_left_join(df, tables[lookup.topic], lookup.left_key, lookup.right_key, lookup.take)
+
+    return RecordStep((lookup.left_key,), join)
 
 
 def curate(
     hits: DataFrame,
     spec: TopicSpec,
     lookups: Mapping[str, DataFrame] | None = None,
-    drop_first: tuple[str, ...] = (),
+    drop_first: Iterable[str] = (),
+    spread: int | None = None,
 ) -> DataFrame:
     """The silver rows of a topic, lazily: unpack the hits and run the spec.
 
-    ``lookups`` maps topic names to their gold tables. A lookup is joined while
-    there is one row per hit, so that hits are matched (and, beyond broadcast
-    size, shuffled) once and not once per exploded row; only if its key is
-    itself inside an array does it wait for the explode.
+    ``lookups`` maps topic names to their gold tables. A lookup is a record
+    step: hits are matched (and, beyond broadcast size, shuffled) once and not
+    once per exploded row. ``drop_first`` and ``spread`` are those of
+    :func:`~hitloom.operators.nested.unpack`.
     """
-
-    def join(df: DataFrame, lookup: LookupSpec) -> DataFrame:
-        table = (lookups or {})[lookup.topic]
-        return lookup_left_join(df, table, lookup.left_key, lookup.right_key, lookup.take)
-
-    waiting: list[LookupSpec] = []
+    record_steps = (*(_lookup_step(one, lookups or {}) for one in spec.lookups), *spec.record_steps)
+    waiting: list[Step] = []
 
     def per_record(df: DataFrame) -> DataFrame:
         scalars = set(df.columns) - set(array_columns(df))
-        for lookup in spec.lookups:
-            if lookup.left_key in scalars:
-                df = join(df, lookup)
+        for record_step in record_steps:
+            if scalars.issuperset(record_step.inputs):
+                df = record_step.step(df)
             else:
-                waiting.append(lookup)
-        return _run(spec.record_steps, df)
+                waiting.append(record_step.step)
+        return df
 
-    rows = unpack(hits, drop_first, before_explode=per_record)
-    return _run(spec.row_steps, reduce(join, waiting, rows))
+    rows = unpack(hits, drop_first, per_record, spread)
+    return reduce(lambda df, step: step(df), (*waiting, *spec.row_steps), rows)
 
 
 def run_topic(
     spark: SparkSession,
     spec: TopicSpec,
     root: str,
-    export: str | list[str] | None = None,
+    export: str | list[str] | DataFrame | None = None,
     layout: str = "lines",
     schema: StructType | str | None = None,
     fmt: str = "parquet",
     gold_fn: Callable[[DataFrame], DataFrame] | None = None,
-    drop_first: tuple[str, ...] = (),
+    drop_first: Iterable[str] = (),
+    spread: int | None = None,
     **write_options: str,
 ) -> DataFrame:
     """Run one topic and return its gold table.
 
-    With ``export``, its hits replace the topic's bronze layer first. Silver is
-    computed once; gold is made from the written silver table, by ``gold_fn``
-    where given and else as a plain copy.
+    With ``export`` (files in a ``layout`` of :func:`land_bronze`, or hits that
+    some other reader gives), its hits replace the topic's bronze layer first.
+    Silver is computed once; gold is made from the written silver table, by
+    ``gold_fn`` where given and else as a plain copy.
     """
     bronze, silver, gold = (layer_path(root, spec.name, layer) for layer in (BRONZE, SILVER, GOLD))
-    if export is not None:
+    if isinstance(export, DataFrame):
+        schema = schema or export.schema
+        write_bronze(export, bronze)
+    elif export is not None:
         land_bronze(spark, export, bronze, layout)
     hits = read_hits(spark, bronze, schema=schema)
     if spec.reads is not None:
@@ -82,7 +87,7 @@ def run_topic(
         lookup.topic: read_table(spark, layer_path(root, lookup.topic, GOLD), fmt)
         for lookup in spec.lookups
     }
-    write_table(curate(hits, spec, lookups, drop_first), silver, fmt, **write_options)
+    write_table(curate(hits, spec, lookups, drop_first, spread), silver, fmt, **write_options)
     silver_rows = read_table(spark, silver, fmt)
     write_table(gold_fn(silver_rows) if gold_fn else silver_rows, gold, fmt, **write_options)
     return read_table(spark, gold, fmt)
@@ -90,7 +95,7 @@ def run_topic(
 
 def run_topics(
     spark: SparkSession,
-    exports: Mapping[str, str | list[str]],
+    exports: Mapping[str, str | list[str] | DataFrame],
     root: str,
     **options,
 ) -> dict[str, DataFrame]:

@@ -1,16 +1,16 @@
 """What a topic does to its records, as data.
 
-A topic is two ordered lists of steps around the explode: ``record_steps`` see
-one row per record (plus whatever lookups add), ``row_steps`` see the unpacked
-rows. A step is any DataFrame-to-DataFrame function; :func:`derive`,
-:func:`drop`, :func:`rename` and :func:`select` make the usual ones. Their
-column expressions are built when the step runs, so a spec needs no session.
+A topic is lookups and two ordered lists of steps around the explode:
+``record_steps`` want one row per record, ``row_steps`` the unpacked rows. A
+step is any DataFrame-to-DataFrame function; :func:`derive`, :func:`drop`,
+:func:`rename` and :func:`select` make the usual ones. Their column expressions
+are built when the step runs, so a spec needs no session.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
@@ -35,6 +35,22 @@ def select(names: Iterable[str]) -> Step:
     return lambda df: select_columns(df, names)
 
 
+@dataclass(frozen=True)
+class RecordStep:
+    """A step that only needs the flat columns ``inputs``.
+
+    Where all of them are scalars of the record it runs before the explode,
+    once per record; where one sits inside an array it runs after it.
+    """
+
+    inputs: tuple[str, ...]
+    step: Step
+
+
+def derive_per_record(inputs: Iterable[str], columns: Callable[[], Mapping[str, Column]]) -> RecordStep:
+    return RecordStep(tuple(inputs), derive(columns))
+
+
 @dataclass(frozen=True)
 class LookupSpec:
     """Columns to take from the gold table of another topic."""
@@ -49,8 +65,8 @@ class LookupSpec:
 class TopicSpec:
     name: str
     row_steps: tuple[Step, ...]
-    record_steps: tuple[Step, ...] = ()
-    lookups: tuple[LookupSpec, ...] = field(default=())
+    record_steps: tuple[RecordStep, ...] = ()
+    lookups: tuple[LookupSpec, ...] = ()
     # Flat names of the scalar fields the steps use, for a topic with a fixed
     # column list; None where unnamed fields pass through.
     reads: tuple[str, ...] | None = None

@@ -20,7 +20,15 @@ from hitloom.functions.scalars import (
 )
 from hitloom.operators.columns import constant, flat
 from hitloom.plans import contract as c
-from hitloom.plans.spec import LookupSpec, TopicSpec, derive, drop, rename, select
+from hitloom.plans.spec import (
+    LookupSpec,
+    TopicSpec,
+    derive,
+    derive_per_record,
+    drop,
+    rename,
+    select,
+)
 
 
 def _period_bounds() -> Mapping[str, Column]:
@@ -76,7 +84,7 @@ AREA_BY_NUMBERS = TopicSpec(
 
 GRANT_AIDED_PLACES = TopicSpec(
     name="grant-aided-places",
-    record_steps=(derive(_grant_columns),),
+    record_steps=(derive_per_record(["_source.nhle_id"], _grant_columns),),
     row_steps=(
         drop(c.GRANT_AIDED_PLACES_DROP),
         derive(_record_area_key),
@@ -86,7 +94,9 @@ GRANT_AIDED_PLACES = TopicSpec(
 
 HISTORIC_PLACES = TopicSpec(
     name="historic-places",
-    record_steps=(derive(lambda: {"ExternalLinkUrl": url(c.LIST_ENTRY_URL, flat("_id"))}),),
+    record_steps=(
+        derive_per_record(["_id"], lambda: {"ExternalLinkUrl": url(c.LIST_ENTRY_URL, flat("_id"))}),
+    ),
     row_steps=(
         derive(_record_area_key),
         drop(c.HISTORIC_PLACES_DROP),
@@ -103,13 +113,13 @@ IMAGES = TopicSpec(
 
 PLACE_NAMES = TopicSpec(
     name="place-names",
-    record_steps=(derive(_point_columns),),
+    record_steps=(derive_per_record(["_id", "_source.geometry"], _point_columns),),
     row_steps=(drop(c.PLACE_NAMES_DROP), rename(c.PLACE_NAMES_RENAME)),
 )
 
 STORIES = TopicSpec(
     name="stories",
-    record_steps=(derive(_media_columns),),
+    record_steps=(derive_per_record(["_source.duration"], _media_columns),),
     row_steps=(
         derive(lambda: {"URLAnchorCombined": joined_key(flat("_id"), flat("_source.mentions.anchor"))}),
         drop(c.STORIES_DROP),

@@ -1,0 +1,138 @@
+"""Scalar rules on their edge values, with ANSI on and off and in any time zone."""
+
+import hashlib
+
+import pytest
+from helpers import plan
+from pyspark.sql import functions as F
+
+from hitloom.functions import scalars as s
+from hitloom.plans.contract import LIST_ENTRY_URL, MAP_SEARCH_URL
+
+INF, NAN = float("inf"), float("nan")
+
+
+@pytest.fixture(params=[("true", "UTC"), ("false", "UTC"), ("true", "Asia/Kolkata"), ("false", "America/New_York")])
+def mode(request, conf):
+    ansi, zone = request.param
+    conf(spark__sql__ansi__enabled=ansi, spark__sql__session__timeZone=zone)
+
+
+@pytest.fixture
+def evaluate(spark, mode):
+    def run(values, dtype, *functions):
+        df = spark.createDataFrame(list(enumerate(values)), f"i int, v {dtype}")
+        columns = [f(F.col("v")).alias(f"r{n}") for n, f in enumerate(functions)]
+        return [tuple(r)[1:] for r in df.select("i", *columns).orderBy("i").collect()]
+
+    return run
+
+
+def test_date_range_bounds(evaluate):
+    values = ["1066 to 1485", "Before 1066", "1900", "before x", "a to b to c", None, "x to Before y", "", " to "]
+    assert evaluate(
+        values, "string", lambda v: s.date_range_bounds(v)[0], lambda v: s.date_range_bounds(v)[1]
+    ) == [
+        ("1066", "1485"),
+        (None, "Before 1066"),
+        ("1900", None),
+        ("before x", None),
+        ("a", "b"),
+        (None, None),
+        (None, "x to Before y"),
+        ("", None),
+        ("", ""),
+    ]
+
+
+def test_durations(evaluate):
+    values = [2.5, 2.4, 90061.0, INF, -INF, NAN, None, -1.5, 0.0]
+
+    def whole(v):
+        return s.rounded_int(s.clean_duration(v))
+
+    assert evaluate(values, "double", s.clean_duration, whole, lambda v: s.clock_time(whole(v))) == [
+        (2.5, 3, "00:00:03"),
+        (2.4, 2, "00:00:02"),
+        (90061.0, 90061, "01:01:01"),
+        (0.0, 0, "00:00:00"),
+        (0.0, 0, "00:00:00"),
+        (None, None, None),
+        (None, None, None),
+        (-1.5, -2, "23:59:58"),
+        (0.0, 0, "00:00:00"),
+    ]
+
+
+def test_durations_of_whole_numbers(evaluate):
+    assert evaluate([3, None], "bigint", lambda v: s.rounded_int(s.clean_duration(v))) == [(3,), (None,)]
+
+
+def test_a_duration_too_long_for_an_int_is_null(evaluate):
+    assert evaluate([3e9], "double", s.rounded_int) == [(None,)]
+
+
+def test_clock_time_agrees_with_from_unixtime_in_utc(spark, conf):
+    conf(spark__sql__session__timeZone="UTC")
+    seconds = spark.range(-100_000, 200_000, 7).select(F.col("id").cast("int").alias("n"))
+    differing = seconds.filter(s.clock_time(F.col("n")) != F.from_unixtime("n", "HH:mm:ss"))
+    assert differing.count() == 0
+
+
+@pytest.mark.parametrize(
+    "dtype, values, expected",
+    [
+        (
+            "string",
+            ["12", " 7 ", "\t8\n", "x1", None, "3.7", "", "-5", "+5", "9" * 12, "1 2", "1e3"],
+            [12, 7, 8, None, None, None, None, -5, 5, None, None, None],
+        ),
+        ("bigint", [12, None, 2**40], [12, None, None]),
+        ("double", [12.0, 12.7, NAN, None], [12, 12, None, None]),
+    ],
+)
+def test_to_int(evaluate, dtype, values, expected):
+    assert [r for (r,) in evaluate(values, dtype, s.to_int)] == expected
+
+
+def test_points(evaluate):
+    values = [
+        "POINT (-1.5 52.25)",
+        "POINT (1 2)",
+        "POINT(1.0 2.0)",
+        "x POINT (3.0 4.0) y",
+        "POLYGON ((1.0 2.0, 3.0 4.0))",
+        None,
+    ]
+    assert evaluate(
+        values, "string", lambda v: s.point_coordinates(v)[0], lambda v: s.point_coordinates(v)[1]
+    ) == [("-1.5", "52.25"), ("", ""), ("", ""), ("3.0", "4.0"), ("", ""), (None, None)]
+
+
+def test_keys_and_urls(evaluate):
+    assert evaluate(
+        ["23", None],
+        "string",
+        lambda v: s.joined_key(F.lit("1"), v),
+        lambda v: s.url(LIST_ENTRY_URL, v),
+        lambda v: s.url(MAP_SEARCH_URL, s.to_int(v)),
+    ) == [("123", LIST_ENTRY_URL + "23", MAP_SEARCH_URL + "23"), (None, None, None)]
+
+
+def test_hash_key(evaluate):
+    assert evaluate(["P1", "", None], "string", s.hash_key) == [
+        (hashlib.sha256(b"P1").hexdigest(),),
+        (hashlib.sha256(b"").hexdigest(),),
+        (None,),
+    ]
+
+
+def test_load_timestamp_is_one_value_per_query(spark):
+    stamps = spark.range(0, 1000, 1, 4).select(s.load_timestamp().alias("t"))
+    assert stamps.dtypes == [("t", "timestamp")]
+    assert stamps.distinct().count() == 1
+
+
+def test_numbers_are_cast_without_a_pattern_match(spark):
+    text = plan(spark.range(5).select(s.to_int(F.col("id")).alias("n")))
+    assert "try_cast" in text.lower() and "RLIKE" not in text
