@@ -55,7 +55,7 @@ def select_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
     Where names are matched without case, the output takes the written case.
     """
-    return df.select(*(flat(name).alias(name) for name in names))
+    return df.selectExpr(*(f"{quoted(name)} AS {quoted(name)}" for name in names))
 
 
 def constant(value: str | int | float | bool | None, dtype: str = "string") -> Column:

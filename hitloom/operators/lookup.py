@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.operators.columns import flat, require_unique
+from hitloom.operators.columns import flat, quoted, require_unique
 
 _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
@@ -38,8 +38,8 @@ def lookup_left_join(
     repeated once per salt. The salt is a hash of ``salt_by`` (by default every
     column that can be hashed), so a task that is run again gives the same rows.
     """
-    right = lookup.select(
-        flat(right_key).alias(_KEY), *(flat(name).alias(alias) for name, alias in take.items())
+    right = lookup.selectExpr(
+        *(f"{quoted(name)} AS {quoted(alias)}" for name, alias in ((right_key, _KEY), *take.items()))
     )
     on = flat(left_key) == flat(_KEY)
     if salts > 1:

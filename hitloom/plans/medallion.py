@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from hitloom.operators.columns import select_columns
 from hitloom.operators.lookup import lookup_left_join
 from hitloom.operators.nested import array_columns, unpack
 from hitloom.plans.contract import BRONZE, GOLD, SILVER
@@ -40,17 +41,22 @@ def curate(
     """
     record_steps = (*(_lookup_step(one, lookups or {}) for one in spec.lookups), *spec.record_steps)
     waiting: list[Step] = []
+    added: list[str] = []
 
     def per_record(df: DataFrame) -> DataFrame:
         scalars = set(df.columns) - set(array_columns(df))
+        before = set(df.columns)
         for record_step in record_steps:
             if scalars.issuperset(record_step.inputs):
                 df = record_step.step(df)
             else:
                 waiting.append(record_step.step)
+        added.extend(name for name in df.columns if name not in before)
         return df
 
     rows = unpack(hits, drop_first, per_record, spread)
+    # Derived columns follow the unpacked ones, whenever they were made.
+    rows = select_columns(rows, [c for c in rows.columns if c not in added] + added)
     return reduce(lambda df, step: step(df), (*waiting, *spec.row_steps), rows)
 
 

@@ -62,6 +62,12 @@ def _media_columns() -> Mapping[str, Column]:
         "ExternalAssetEmbed": constant(c.EMBED_FILLER),
         "IsHidden": constant(c.NOT_HIDDEN),
         "DurationConverted": clock_time(seconds),
+    }
+
+
+def _mention_columns() -> Mapping[str, Column]:
+    return {
+        "URLAnchorCombined": joined_key(flat("_id"), flat("_source.mentions.anchor")),
         "CreatedOn": load_timestamp(),
     }
 
@@ -121,7 +127,7 @@ STORIES = TopicSpec(
     name="stories",
     record_steps=(derive_per_record(["_source.duration"], _media_columns),),
     row_steps=(
-        derive(lambda: {"URLAnchorCombined": joined_key(flat("_id"), flat("_source.mentions.anchor"))}),
+        derive(_mention_columns),
         drop(c.STORIES_DROP),
         rename(c.STORIES_RENAME),
     ),

@@ -351,12 +351,12 @@ def silver_gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def medallion_area_by_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both topics from export to gold; the second looks up the first's gold."""
-    root = records.scratch_dir(spark)
-    exports = {"areas": f"{root}/export/areas", "area-by-numbers": f"{root}/export/area-by-numbers"}
-    write_bronze(records.areas_hits(spark, sf_dir), exports["areas"])
-    write_bronze(records.area_by_numbers_hits(spark, sf_dir), exports["area-by-numbers"])
-    return run_topics(spark, exports, f"{root}/lake")["area-by-numbers"]
+    """Both topics through all layers; the second looks up the first's gold."""
+    exports = {
+        "areas": records.areas_hits(spark, sf_dir),
+        "area-by-numbers": records.area_by_numbers_hits(spark, sf_dir),
+    }
+    return run_topics(spark, exports, records.scratch_dir(spark))["area-by-numbers"]
 
 
 # --- topics -------------------------------------------------------------------------

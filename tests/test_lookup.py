@@ -38,6 +38,11 @@ def test_lookup_made_from_the_same_table(areas):
     assert out.count() == 1 + 4 + 1
 
 
+def test_the_lookup_key_can_be_taken_too(rows, areas):
+    out = lookup_left_join(rows, areas, "s.area", "Id", {"Id": "Matched"}).select("n", "Matched").distinct()
+    assert bag(out) == Counter([(1, "A1"), (2, "A2"), (3, None), (4, None)])
+
+
 def test_taken_name_that_exists_raises(rows, areas):
     with pytest.raises(ValueError, match="n"):
         lookup_left_join(rows, areas, "s.area", "Id", {"Sort": "N"})
