@@ -11,6 +11,10 @@ from hitloom.operators.columns import flat, quoted, require_unique
 
 _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
+_RIGHT_SALT = "__lookup_right_salt"
+_COPIES = "__lookup_copies"
+_BLOCK = "__lookup_block"
+_BLOCK_ROWS = 65536
 
 
 def lookup_left_join(
@@ -21,6 +25,7 @@ def lookup_left_join(
     take: Mapping[str, str],
     salts: int = 1,
     salt_by: Sequence[str] | None = None,
+    fold_copies: bool = False,
 ) -> DataFrame:
     """Add columns of ``lookup`` to ``df`` where ``left_key = right_key``.
 
@@ -37,15 +42,34 @@ def lookup_left_join(
     execution: left rows with a hot key go to ``salts`` tasks and the lookup is
     repeated once per salt. The salt is a hash of ``salt_by`` (by default every
     column that can be hashed), so a task that is run again gives the same rows.
+
+    ``fold_copies`` is for a lookup that repeats its rows, as a table made by
+    unpacking does. Copies are counted before the lookup is shuffled or
+    broadcast, which then holds each row once however often it occurs, and
+    joined rows are repeated that many times: the result is the same.
     """
     right = lookup.selectExpr(
         *(f"{quoted(name)} AS {quoted(alias)}" for name, alias in ((right_key, _KEY), *take.items()))
     )
     on = flat(left_key) == flat(_KEY)
+    if fold_copies:
+        right = right.groupBy(*(quoted(c) for c in right.columns)).agg(F.count(F.lit(1)).alias(_COPIES))
     if salts > 1:
         by = salt_by or [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
         df = df.withColumn(_SALT, F.pmod(F.xxhash64(*(flat(c) for c in by)), F.lit(salts)))
-        right = right.withColumn("__right_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = on & (flat(_SALT) == flat("__right_salt"))
-    joined = df.join(right, on, "left").drop(_KEY, _SALT, "__right_salt")
-    return require_unique(joined)
+        right = right.withColumn(_RIGHT_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = on & (flat(_SALT) == flat(_RIGHT_SALT))
+    joined = require_unique(df.join(right, on, "left").drop(_KEY, _SALT, _RIGHT_SALT))
+    return _repeated(joined) if fold_copies else joined
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """Each row as often as its count of copies says; once without a count.
+
+    In blocks, so that no array grows with the count.
+    """
+    last_block = f"(coalesce({_COPIES}, 1) - 1) div {_BLOCK_ROWS}"
+    in_block = f"least({_BLOCK_ROWS}, coalesce({_COPIES}, 1) - {_BLOCK} * {_BLOCK_ROWS})"
+    names = [quoted(c) for c in df.columns if c != _COPIES]
+    blocks = df.selectExpr(*names, _COPIES, f"explode(sequence(0L, {last_block})) AS {_BLOCK}")
+    return blocks.selectExpr(*names, f"explode(sequence(1L, {in_block})) AS {_COPIES}").drop(_COPIES)

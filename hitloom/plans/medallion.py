@@ -20,7 +20,14 @@ from hitloom.sources.tables import layer_path, read_table, write_table
 
 def _lookup_step(lookup: LookupSpec, tables: Mapping[str, DataFrame]) -> RecordStep:
     def join(df: DataFrame) -> DataFrame:
-        return lookup_left_join(df, tables[lookup.topic], lookup.left_key, lookup.right_key, lookup.take)
+        return lookup_left_join(
+            df,
+            tables[lookup.topic],
+            lookup.left_key,
+            lookup.right_key,
+            lookup.take,
+            fold_copies=lookup.fold_copies,
+        )
 
     return RecordStep((lookup.left_key,), join)
 
@@ -71,6 +78,8 @@ def run_topic(
     gold_fn: Callable[[DataFrame], DataFrame] | None = None,
     drop_first: Iterable[str] = (),
     spread: int | None = None,
+    prefix: str = "",
+    bronze_options: Mapping[str, str] | None = None,
     **write_options: str,
 ) -> DataFrame:
     """Run one topic and return its gold table.
@@ -79,19 +88,27 @@ def run_topic(
     some other reader gives), its hits replace the topic's bronze layer first.
     Silver is computed once; gold is made from the written silver table, by
     ``gold_fn`` where given and else as a plain copy.
+
+    ``prefix`` goes before every topic name in paths. ``bronze_options`` are
+    for reading a bronze layer that something else has written, such as
+    ``{"multiLine": "true"}`` for one JSON array per file.
     """
-    bronze, silver, gold = (layer_path(root, spec.name, layer) for layer in (BRONZE, SILVER, GOLD))
+
+    def path(topic: str, layer: str) -> str:
+        return layer_path(root, prefix + topic, layer)
+
+    bronze, silver, gold = (path(spec.name, layer) for layer in (BRONZE, SILVER, GOLD))
+    options = dict(bronze_options or {})
     if isinstance(export, DataFrame):
         schema = schema or export.schema
         write_bronze(export, bronze)
     elif export is not None:
         land_bronze(spark, export, bronze, layout)
-    hits = read_hits(spark, bronze, schema=schema)
+    hits = read_hits(spark, bronze, schema=schema, **options)
     if spec.reads is not None:
-        hits = read_hits(spark, bronze, schema=narrow_schema(hits.schema, spec.reads))
+        hits = read_hits(spark, bronze, schema=narrow_schema(hits.schema, spec.reads), **options)
     lookups = {
-        lookup.topic: read_table(spark, layer_path(root, lookup.topic, GOLD), fmt)
-        for lookup in spec.lookups
+        lookup.topic: read_table(spark, path(lookup.topic, GOLD), fmt) for lookup in spec.lookups
     }
     write_table(curate(hits, spec, lookups, drop_first, spread), silver, fmt, **write_options)
     silver_rows = read_table(spark, silver, fmt)

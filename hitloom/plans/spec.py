@@ -53,12 +53,17 @@ def derive_per_record(inputs: Iterable[str], columns: Callable[[], Mapping[str,
 
 @dataclass(frozen=True)
 class LookupSpec:
-    """Columns to take from the gold table of another topic."""
+    """Columns to take from the gold table of another topic.
+
+    Gold tables repeat a record's own columns once per unpacked row, so copies
+    are folded before the join unless ``fold_copies`` says otherwise.
+    """
 
     topic: str
     left_key: str
     right_key: str
     take: Mapping[str, str]
+    fold_copies: bool = True
 
 
 @dataclass(frozen=True)

@@ -88,6 +88,9 @@ def land_bronze(
       being parsed.
     - ``document``: any other JSON array. Each file is parsed by one task.
     """
+    exports = [export] if isinstance(export, str) else export
+    if any(f"{one.rstrip('/')}/".startswith(f"{path.rstrip('/')}/") for one in exports):
+        raise ValueError(f"the export lies inside {path}, which landing it would replace")
     if layout == "document":
         write_bronze(read_hits(spark, export, multiLine="true"), path, **options)
         return

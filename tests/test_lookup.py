@@ -33,6 +33,25 @@ def test_unmatched_null_and_repeated_keys(rows, areas, conf, salts, broadcast):
     assert bag(out) == EXPECTED
 
 
+@pytest.mark.parametrize("salts", [1, 3])
+def test_folded_copies_give_the_same_rows(spark, rows, areas, salts):
+    repeated = areas.unionAll(areas.filter("Id = 'A1'")).unionAll(areas.filter("Id = 'A1'"))
+    take = {"Sort": "Area.Id", "Other": "Other"}
+    plain = lookup_left_join(rows, repeated, "s.area", "Id", take)
+    folded = lookup_left_join(rows, repeated, "s.area", "Id", take, salts=salts, fold_copies=True)
+    assert folded.columns == plain.columns
+    assert bag(folded) == bag(plain) and plain.count() == 7
+
+
+def test_a_lookup_of_copies_only_is_shuffled_once_per_task(spark):
+    lookup = spark.range(0, 200_000, 1, 4).selectExpr("'A' as Id", "1 as Sort")
+    left = spark.createDataFrame([(1, "A"), (2, "B")], "n int, k string")
+    out = lookup_left_join(left, lookup, "k", "Id", {"Sort": "Sort"}, fold_copies=True)
+    assert bag(out.groupBy("n", "Sort").count()) == Counter([(1, 1, 200_000), (2, None, 1)])
+    text = plan(lookup_left_join(left, lookup, "k", "Id", {"Sort": "Sort"}, fold_copies=True))
+    assert "partial_count" in text
+
+
 def test_lookup_made_from_the_same_table(areas):
     out = lookup_left_join(areas, areas, "Id", "Id", {"Other": "Twin"})
     assert out.count() == 1 + 4 + 1

@@ -87,3 +87,15 @@ def test_exports_can_be_frames_and_tables_any_format(spark, tmp_path, fmt):
     expected = curate(hits, TOPICS["stories"]).drop("CreatedOn")
     assert bag(gold.select(expected.columns)) == bag(expected)
     assert len(list(Path(layer_path(str(tmp_path / "lake"), "stories", "gold")).glob("part-*"))) > 1
+
+
+def test_paths_can_have_a_prefix_and_bronze_can_be_foreign(spark, tmp_path):
+    for name, hit in (("areas", AREA), ("area-by-numbers", NUMBERS)):
+        bronze = tmp_path / "lake" / f"my-{name}" / "bronze"
+        bronze.mkdir(parents=True)
+        (bronze / f"my-{name}.json").write_text(json.dumps([hit], indent=4))
+        gold = run_topic(
+            spark, TOPICS[name], str(tmp_path / "lake"), prefix="my-", bronze_options={"multiLine": "true"}
+        )
+    assert gold.count() == 6
+    assert (tmp_path / "lake" / "my-area-by-numbers" / "gold").is_dir()

@@ -78,6 +78,15 @@ def test_any_array_can_land_as_a_document(spark, tmp_path):
     assert _bronze_objects(tmp_path / "bronze") == _hits(5)
 
 
+@pytest.mark.parametrize("inside", ["bronze", "bronze/", "bronze/x.json"])
+def test_an_export_inside_bronze_is_not_deleted(spark, tmp_path, inside):
+    (tmp_path / "bronze").mkdir()
+    (tmp_path / "bronze" / "x.json").write_text("{}")
+    with pytest.raises(ValueError, match="inside"):
+        land_bronze(spark, str(tmp_path) + "/" + inside, str(tmp_path / "bronze"))
+    assert (tmp_path / "bronze" / "x.json").exists()
+
+
 def test_unknown_layout(spark, tmp_path):
     with pytest.raises(ValueError, match="layout"):
         land_bronze(spark, "x", str(tmp_path / "bronze"), "csv")
