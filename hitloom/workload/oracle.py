@@ -35,6 +35,11 @@ _DOCUMENT_WORDS = """
         FROM (SELECT *, string_split(text, chr(10)) AS lines FROM documents)
     )"""
 
+_ORDER_HITS = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey AS sort, o_custkey AS customer,
+           o_orderstatus AS status, o_totalprice AS total, o_orderpriority AS priority
+    FROM orders"""
+
 # One row per area and child, at least one per area.
 _AREAS = f"""
     SELECT 'C' || c_custkey AS Id, 'areas' AS "Index", CAST(NULL AS DOUBLE) AS Score, c_custkey AS Sort,
@@ -163,7 +168,9 @@ ORACLE_SQL: dict[str, str] = {
                l_quantity AS Quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
         FROM lineitem""",
     "fixed_select": """
-        SELECT l_tax AS "L_Tax", l_orderkey, l_linenumber AS "L_LINENUMBER" FROM lineitem""",
+        SELECT l_tax AS "L_Tax", l_orderkey, l_linenumber AS "L_LINENUMBER",
+               l_linenumber + 1 AS next_line
+        FROM lineitem""",
     "literal_columns": """
         SELECT event_id, 'False' AS IsHidden, 'filler' AS ExternalAssetEmbed FROM events""",
     "case_like": """
@@ -234,6 +241,8 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN supplier ON supplier = s_suppkey""",
     "bronze_roundtrip": f"""
         SELECT CAST(doc_id AS VARCHAR) AS id, doc_id AS sort, line_number, word FROM ({_DOCUMENT_WORDS})""",
+    "multi_line_documents": _ORDER_HITS,
+    "indented_documents": _ORDER_HITS,
     "silver_gold_roundtrip": _AREAS,
     "medallion_area_by_numbers": _AREA_BY_NUMBERS,
     "topic_areas": _AREAS,

@@ -180,7 +180,8 @@ def bulk_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixed_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_columns(table(spark, sf_dir, "lineitem"), ["L_Tax", "l_orderkey", "L_LINENUMBER"])
+    rows = select_columns(table(spark, sf_dir, "lineitem"), ["L_Tax", "l_orderkey", "L_LINENUMBER"])
+    return rows.withColumn("next_line", rows["l_linenumber"] + 1)
 
 
 def literal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,6 +343,33 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _landed_documents(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
+    root = records.scratch_dir(spark)
+    records.write_documents(records.order_hits(spark, sf_dir), f"{root}/export")
+    bronze = layer_path(root, "orders", "bronze")
+    land_bronze(spark, f"{root}/export", bronze, layout)
+    return rename_columns(
+        unpack(read_hits(spark, bronze)).drop("_index"),
+        {
+            "_id": "id",
+            "_source.customer": "customer",
+            "_source.status": "status",
+            "_source.total": "total",
+            "_source.priority": "priority",
+        },
+    )
+
+
+def multi_line_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON array documents, each parsed as a whole."""
+    return _landed_documents(spark, sf_dir, "document").drop("_score")
+
+
+def indented_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents, cut into hits by their indentation."""
+    return _landed_documents(spark, sf_dir, "indented").drop("_score")
+
+
 def silver_gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = records.scratch_dir(spark)
     silver, gold = (layer_path(root, "areas", layer) for layer in ("silver", "gold"))
@@ -424,6 +452,8 @@ QUERIES: dict[str, Query] = {
     "lookup_left_join": lookup_with_fan_out,
     "lookup_hot_key": lookup_hot_key,
     "bronze_roundtrip": bronze_roundtrip,
+    "multi_line_documents": multi_line_documents,
+    "indented_documents": indented_documents,
     "silver_gold_roundtrip": silver_gold_roundtrip,
     "medallion_area_by_numbers": medallion_area_by_numbers,
     "topic_areas": topic_areas,

@@ -46,6 +46,22 @@ def hits(rows: DataFrame, index: str, hit_id: str, sort: str, source: str, ignor
     return rows.select(*columns)
 
 
+def write_documents(rows: DataFrame, path: str, hits_per_document: int = 1 << 18) -> None:
+    """Write hits as JSON arrays, one per file, an element per indented block.
+
+    A document takes consecutive rows of one scan task and no more than
+    ``hits_per_document``, so its size is bounded.
+    """
+    numbered = rows.select(
+        F.to_json(F.struct("*")).alias("hit"),
+        F.expr(f"monotonically_increasing_id() div {hits_per_document}").alias("document"),
+    )
+    element = r"concat('\n    {\n        ', substring(hit, 2, char_length(hit) - 2), '\n    }')"
+    documents = numbered.groupBy("document").agg(F.collect_list(F.expr(element)).alias("elements"))
+    text = documents.selectExpr(r"concat('[', array_join(elements, ','), '\n]') AS value")
+    text.write.option("maxRecordsPerFile", 1).text(path)
+
+
 def document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as lines of words, over the whole text."""
     return hits(

@@ -7,7 +7,13 @@ from oracle_check import connect, differences
 import __spark_entry__ as contract
 
 QUERIES = contract.queries()
-WRITES_TABLES = {"bronze_roundtrip", "silver_gold_roundtrip", "medallion_area_by_numbers"}
+WRITES_TABLES = {
+    "bronze_roundtrip",
+    "multi_line_documents",
+    "indented_documents",
+    "silver_gold_roundtrip",
+    "medallion_area_by_numbers",
+}
 
 
 @pytest.fixture(scope="module")

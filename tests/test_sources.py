@@ -124,6 +124,17 @@ def test_inference_widens_conflicting_types_to_string(spark, tmp_path):
     assert dict(read_hits(spark, str(tmp_path / "x.json")).dtypes) == {"v": "string", "w": "double"}
 
 
+@pytest.mark.parametrize("layout", ["document", "indented"])
+def test_many_documents_land_together(spark, tmp_path, layout):
+    hits = records.order_hits(spark, SF_SMALL)
+    records.write_documents(hits, str(tmp_path / "export"), hits_per_document=100)
+    files = list((tmp_path / "export").glob("part-*"))
+    assert len(files) == 15 and all(len(json.loads(f.read_text())) == 100 for f in files)
+    land_bronze(spark, str(tmp_path / "export"), str(tmp_path / "bronze"), layout)
+    landed = read_hits(spark, str(tmp_path / "bronze"), schema=hits.schema)
+    assert bag(unpack(landed)) == bag(unpack(hits))
+
+
 def test_hits_come_in_any_format(spark, tmp_path):
     hits = records.areas_hits(spark, SF_SMALL)
     hits.write.parquet(str(tmp_path / "hits"))
