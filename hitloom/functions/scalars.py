@@ -93,7 +93,7 @@ def point_coordinates(wkt: Column) -> tuple[Column, Column]:
 
 def hash_key(identifier: Column) -> Column:
     """SHA-256 of the identifier in lower-case hex."""
-    return F.sha2(identifier.cast("binary"), 256)
+    return F.sha2(identifier.cast("string"), 256)
 
 
 def load_timestamp() -> Column:

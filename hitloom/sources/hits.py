@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 
+_BLANKS = " \t\r\n"
+
+
 def read_hits(
     spark: SparkSession,
     path: str | list[str],
@@ -85,7 +88,7 @@ def land_bronze(
       ``indent`` spaces and a brace (deeper braces stand further right, and a
       line break inside a string is escaped), so that is the record separator:
       a file of any size is split over many tasks, and hits are copied without
-      being parsed.
+      being parsed, less their line breaks.
     - ``document``: any other JSON array. Each file is parsed by one task.
     """
     exports = [export] if isinstance(export, str) else export
@@ -108,12 +111,17 @@ def _indented_elements(spark: SparkSession, export: str | list[str], margin: str
     # Cut after every element but a file's last, which ends in "}\n]" instead.
     pieces = spark.read.option("lineSep", closing + ",").text(export)
     piece = F.col("value")
-    element = F.when(
-        piece.rlike(rf"\n{margin}\}}\s*\]\s*$"), F.regexp_replace(piece, r"\s*\]\s*$", "")
-    ).otherwise(F.concat(piece, F.lit(closing)))
+    starts = piece.startswith(f"\n{margin}{{") | piece.startswith(f"[\n{margin}{{")
+    # Only the outer array's bracket stands at the start of a line.
+    is_last = piece.contains("\n]")
+    body = F.ltrim(piece, F.lit("[" + _BLANKS))
+    element = F.when(is_last, F.rtrim(body, F.lit("]" + _BLANKS))).otherwise(
+        F.concat(body, F.lit(closing))
+    )
     # Line breaks here are layout only; inside strings they are escaped.
-    one_line = F.regexp_replace(F.regexp_replace(element, r"^\[?\n\s*", ""), r"\n\s*", " ")
-    checked = F.when(piece.rlike(rf"^\[?\n{margin}\{{"), one_line).otherwise(
+    one_line = F.replace(element, F.lit("\n"), F.lit(""))
+    checked = F.when(starts, one_line).otherwise(
         F.raise_error(F.lit(f"not a JSON array indented by {len(margin)} spaces per level"))
     )
-    return pieces.filter(~piece.rlike(r"^\s*(\[\s*\]\s*)?$")).select(checked.alias("value"))
+    is_empty = F.trim(piece, F.lit("[]" + _BLANKS)) == ""
+    return pieces.filter(starts | ~is_empty).select(checked.alias("value"))

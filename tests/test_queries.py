@@ -1,10 +1,13 @@
 """Every registered query against its SQL, and the driver contract."""
 
+from types import SimpleNamespace
+
 import pytest
 from helpers import SF_SMALL, plan
 from oracle_check import connect, differences
 
 import __spark_entry__ as contract
+from hitloom.workload import records
 
 QUERIES = contract.queries()
 WRITES_TABLES = {
@@ -42,3 +45,21 @@ def test_query_equals_its_sql(spark, duck, name):
 def test_query_equals_its_sql_without_ansi_in_another_zone(spark, duck, conf, name):
     conf(spark__sql__ansi__enabled="false", spark__sql__session__timeZone="Asia/Kolkata")
     assert differences(QUERIES[name](spark, SF_SMALL), duck, contract.oracle_sql()[name]) == []
+
+
+def test_scratch_folders_are_new_and_shared(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = records.scratch_dir(spark), records.scratch_dir(spark)
+    assert first != second and first.startswith(shared) and second.startswith(shared)
+
+
+@pytest.mark.parametrize("master, allowed", [("local[2]", True), ("yarn", False), ("spark://host:7077", False)])
+def test_scratch_is_local_only_in_local_mode(master, allowed):
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master)
+    )
+    if allowed:
+        assert "hitloom" in records.scratch_dir(session)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            records.scratch_dir(session)
