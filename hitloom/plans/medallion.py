@@ -26,6 +26,7 @@ def _lookup_step(lookup: LookupSpec, tables: Mapping[str, DataFrame]) -> RecordS
             lookup.left_key,
             lookup.right_key,
             lookup.take,
+            salts=lookup.salts,
             fold_copies=lookup.fold_copies,
         )
 

@@ -56,7 +56,8 @@ class LookupSpec:
     """Columns to take from the gold table of another topic.
 
     Gold tables repeat a record's own columns once per unpacked row, so copies
-    are folded before the join unless ``fold_copies`` says otherwise.
+    are folded before the join unless ``fold_copies`` says otherwise. ``salts``
+    splits hot keys where adaptive execution is off.
     """
 
     topic: str
@@ -64,6 +65,7 @@ class LookupSpec:
     right_key: str
     take: Mapping[str, str]
     fold_copies: bool = True
+    salts: int = 1
 
 
 @dataclass(frozen=True)

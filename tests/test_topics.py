@@ -3,6 +3,7 @@
 import hashlib
 import json
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from helpers import SF_SMALL, bag, plan
@@ -118,6 +119,16 @@ def test_a_lookup_key_inside_an_array_waits_for_the_explode(read, spark):
     assert bag(out.groupBy("AreaName", "AreaId").count()) == Counter([("A1", 5, 3), ("A2", 6, 3), ("A3", None, 3)])
 
 
+@pytest.mark.parametrize("changes", [{"salts": 4}, {"fold_copies": False}, {"salts": 4, "fold_copies": False}])
+def test_salts_and_folding_do_not_change_the_rows(spark, conf, changes):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    lookups = {"areas": curate(records.areas_hits(spark, SF_SMALL), TOPICS["areas"])}
+    spec = TOPICS["area-by-numbers"]
+    hits = records.area_by_numbers_hits(spark, SF_SMALL)
+    changed = replace(spec, lookups=tuple(replace(one, **changes) for one in spec.lookups))
+    assert bag(curate(hits, changed, lookups)) == bag(curate(hits, spec, lookups))
+
+
 def test_the_lookup_join_runs_before_the_explodes(spark):
     areas = curate(records.areas_hits(spark, SF_SMALL), TOPICS["areas"])
     text = plan(curate(records.area_by_numbers_hits(spark, SF_SMALL), TOPICS["area-by-numbers"], {"areas": areas}))
