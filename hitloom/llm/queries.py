@@ -29,11 +29,11 @@ _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 OP1_SQL = rf"""
 WITH t AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
-           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-           list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
     FROM documents
 ), g AS (
-    SELECT r, unnest(list_transform(range(1, len(w) - 1), i -> w[i:i+2])) AS g,
+    SELECT r, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i+2])) AS g,
            unnest(range(1, len(w) - 1)) AS i
     FROM t
 ), d AS (
@@ -49,7 +49,7 @@ WITH t AS (
            CAST(len(l) AS BIGINT) AS n_lines,
            CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
            CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-           CAST(len(list_filter(w, x -> x IN ({_STOP}))) AS BIGINT) AS n_stop_words
+           CAST(len(list_filter(w, lambda x: x IN ({_STOP}))) AS BIGINT) AS n_stop_words
     FROM t LEFT JOIN c USING (r)
 ), v AS (
     SELECT * EXCLUDE (wc), coalesce(wc, 0) AS word_chars,
