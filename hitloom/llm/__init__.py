@@ -1 +1,8 @@
 """Operators for preparing training text at scale. Nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job: executors need not have the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

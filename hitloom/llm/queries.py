@@ -5,15 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hitloom.llm.common import table
+from hitloom.llm.decontaminate import SHARE, SHINGLE_WORDS, contained_items
 from hitloom.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, apply_rules
+from hitloom.llm.secret_scan import RULES as SECRET_RULES
+from hitloom.llm.secret_scan import find_secrets, spans_text
+from hitloom.llm.simhash import near_duplicates
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=3)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda x: x["base"])
+    return found.select(
+        "doc_id",
+        of("assign").alias("n_assign"),
+        of("access").alias("n_access"),
+        of("hex").alias("n_hex"),
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def _rules_sql() -> str:
     parts = ["true"]
     for r in RULES:
@@ -59,10 +89,69 @@ WITH t AS (
 SELECT *, NOT base_failed AND {_rules_sql()} AS kept FROM v
 """
 
+def _shingle_sql(source: str, key: str) -> str:
+    last = SHINGLE_WORDS - 1
+    return rf"""SELECT DISTINCT {key}, unnest(CASE
+            WHEN len(w) >= {SHINGLE_WORDS} THEN
+                list_transform(range(1, len(w) - {last - 1}), lambda i: array_to_string(w[i:i+{last}], ' '))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+        FROM (SELECT {key}, list_filter(
+            regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '') AS w
+            FROM {source} WHERE {key} IS NOT NULL)"""
+
+
+OP3_SQL = f"""
+WITH d AS ({_shingle_sql("documents", "doc_id")}),
+     b AS ({_shingle_sql("benchmark", "item_id")}),
+     n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id),
+     m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM m JOIN n USING (item_id) WHERE n_shared * 100 >= n_item * {SHARE}
+"""
+
+
+def _secret_sql() -> str:
+    parts = []
+    for rank, r in enumerate(SECRET_RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(f"""SELECT r, {rank} AS rank, '{r.kind}' AS kind, {str(r.base).lower()} AS base,
+            unnest(range(1, len(m) + 1)) AS k, g, m, v, {r.least} AS least
+        FROM (SELECT r, regexp_split_to_array(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}', 0) AS m,
+                     regexp_extract_all(t, '{pattern}', {r.value}) AS v FROM t)""")
+    return " UNION ALL ".join(parts)
+
+
+OP7_SQL = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+x AS ({_secret_sql()}),
+s AS (
+    SELECT r, rank, kind, base,
+           list_sum(list_transform(g[1:k], lambda y: length(y)))
+           + coalesce(list_sum(list_transform(m[1:k-1], lambda y: length(y))), 0) AS a, length(m[k]) AS n
+    FROM x WHERE length(v[k]) >= least
+), p AS (
+    SELECT r, rank, kind, base, CAST(a AS BIGINT) AS a,
+           kind || ':' || CAST(a AS BIGINT) || ':' || CAST(a + n AS BIGINT) AS span FROM s
+), f AS (
+    SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(span, ',' ORDER BY a, rank) FILTER (base) AS b, string_agg(span, ',' ORDER BY a, rank) AS spans
+    FROM p GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN f USING (r)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_simhash": op2_simhash,
+    "op3_decontaminate": op3_decontaminate,
+    "op7_secret_scan": op7_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
+    "op3_decontaminate": OP3_SQL,
+    "op7_secret_scan": OP7_SQL,
 }
