@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hitloom.llm.common import table
 from hitloom.llm.decontaminate import SHARE, SHINGLE_WORDS, contained_items
+from hitloom.llm.packing import pack_documents
 from hitloom.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, apply_rules
 from hitloom.llm.secret_scan import RULES as SECRET_RULES
 from hitloom.llm.secret_scan import find_secrets, spans_text
@@ -30,6 +31,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
@@ -148,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_decontaminate": op3_decontaminate,
     "op7_secret_scan": op7_secret_scan,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
