@@ -14,6 +14,7 @@ from hitloom.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP
 from hitloom.llm.secret_scan import RULES as SECRET_RULES
 from hitloom.llm.secret_scan import find_secrets, spans_text
 from hitloom.llm.simhash import near_duplicates
+from hitloom.llm.warc import archive_pages
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = archive_pages(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -158,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op3_decontaminate": op3_decontaminate,
+    "op4_warc": op4_warc,
     "op7_secret_scan": op7_secret_scan,
     "op9_packing": op9_packing,
 }
