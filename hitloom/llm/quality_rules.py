@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from hitloom.llm.common import let, whole_text, words
 
 # Frequent function words of four languages.
-STOP_WORDS = (
-    "the of and to in is that for was with as are on be it by this at from or an he which have "
-    "de la le et les des en un du une que est pour qui dans par sur au avec pas se il plus "
-    "der die und das von den mit ist des im dem nicht ein eine auf für sich als auch es zu "
-    "el y los las del una por con su para al lo como más o no"
-).split()
+STOP_WORDS_OF = {
+    "en": "the of and to in is that for was with as are on be it by this at from or an he which have".split(),
+    "fr": "de la le et les des en un du une que est pour qui dans par sur au avec pas se il plus".split(),
+    "de": "der die und das von den mit ist des im dem nicht ein eine auf für sich als auch es zu".split(),
+    "es": "el y los las del una por con su para al lo como más o no de la que en un se".split(),
+}
+STOP_WORDS = list(dict.fromkeys(w for words_of in STOP_WORDS_OF.values() for w in words_of))
 
 SYMBOLS = "#*$%&|<>"
 

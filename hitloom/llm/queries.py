@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from hitloom.llm.common import table
 from hitloom.llm.decontaminate import SHARE, SHINGLE_WORDS, contained_items
+from hitloom.llm.labelled import fold
 from hitloom.llm.packing import pack_documents
+from hitloom.llm.quality_cnn import quality_scores
 from hitloom.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, apply_rules
 from hitloom.llm.secret_scan import RULES as SECRET_RULES
 from hitloom.llm.secret_scan import find_secrets, spans_text
 from hitloom.llm.simhash import near_duplicates
+from hitloom.llm.toxicity import toxicity_scores
 from hitloom.llm.warc import archive_pages
 
 
@@ -37,6 +40,18 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 0
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -165,6 +180,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_decontaminate": op3_decontaminate,
     "op4_warc": op4_warc,
+    "op5_quality_cnn": op5_quality_cnn,
+    "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
     "op9_packing": op9_packing,
 }
