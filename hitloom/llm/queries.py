@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hitloom.llm.common import table
 from hitloom.llm.decontaminate import SHARE, SHINGLE_WORDS, contained_items
 from hitloom.llm.labelled import fold
+from hitloom.llm.langid import identify
 from hitloom.llm.packing import pack_documents
 from hitloom.llm.quality_cnn import quality_scores
 from hitloom.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, apply_rules
@@ -52,6 +53,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 0
+    found = identify(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -183,6 +190,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_cnn": op5_quality_cnn,
     "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
 }
 
