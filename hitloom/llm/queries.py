@@ -14,6 +14,7 @@ from hitloom.llm.langid import identify
 from hitloom.llm.packing import pack_documents
 from hitloom.llm.quality_cnn import quality_scores
 from hitloom.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, apply_rules
+from hitloom.llm.repeats import repeats
 from hitloom.llm.secret_scan import RULES as SECRET_RULES
 from hitloom.llm.secret_scan import find_secrets, spans_text
 from hitloom.llm.simhash import near_duplicates
@@ -59,6 +60,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -192,6 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE_SQL: dict[str, str] = {
