@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from hitloom.llm.common import whole_text
 from hitloom.llm.labelled import TRAIN_CHARS
@@ -375,6 +376,34 @@ def label_texts(
     return docs.select(F.col(key), whole_text(text).alias("text")).mapInArrow(run, schema)
 
 
+def with_language(docs: DataFrame, model: WordCRF | None, text: str = "text", prefix: str = "_lang") -> DataFrame:
+    """All rows and columns, and ``{prefix}_pred`` and ``{prefix}_score``; nothing is joined or shuffled."""
+    pred, score = f"{prefix}_pred", f"{prefix}_score"
+    docs = docs.drop(pred, score)
+    if model is None:
+        return docs.withColumn(pred, F.lit(UNDETERMINED)).withColumn(score, F.lit(0.0))
+    at = docs.columns.index(text)
+
+    def run(batches):
+        labeller = Labeller(model)
+        for batch in batches:
+            names, scores = [], []
+            for low in range(0, batch.num_rows, 128):
+                texts = [t or "" for t in batch.column(at).slice(low, 128).to_pylist()]
+                for part in labeller.label(texts):
+                    mean = part.mean(axis=0) if len(part) else None
+                    best = None if mean is None else int(mean.argmax())
+                    names.append(UNDETERMINED if best is None else model.languages[best])
+                    scores.append(0.0 if best is None else min(1.0, float(mean[best])))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names, pred, score],
+            )
+
+    schema = StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(score, DoubleType())])
+    return docs.mapInArrow(run, schema)
+
+
 def identify(docs: DataFrame, may_train: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Train on the rows that ``may_train`` allows, and label every row."""
     return label_texts(docs, train(training_texts(docs, may_train, key, text, lang)), key, text)

@@ -21,12 +21,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import saved, scratch_dir, small_side, whole_text
+from hitloom.llm.common import let, saved, scratch_dir, small_side, whole_text
 
 
 @dataclass(frozen=True)
@@ -174,19 +175,21 @@ def find_secrets(
 
 def masked(text: Column, rules: Sequence[SecretRule] = RULES, mask: str = "[SECRET]") -> Column:
     """The text with every counted match replaced, one rule after the other, in time linear in the text."""
-    for r in rules:
+
+    def one(r: SecretRule, t: Column) -> Column:
         parts = F.arrays_zip(
-            F.split(text, r.pattern, -1).alias("gap"),
-            F.regexp_extract_all(text, F.lit(r.pattern), F.lit(0)).alias("all"),
-            F.regexp_extract_all(text, F.lit(r.pattern), F.lit(r.value)).alias("value"),
+            F.split(t, r.pattern, -1).alias("gap"),
+            F.regexp_extract_all(t, F.lit(r.pattern), F.lit(0)).alias("all"),
+            F.regexp_extract_all(t, F.lit(r.pattern), F.lit(r.value)).alias("value"),
         )
+        counted = lambda x: F.char_length(x["value"]) >= r.least
         kept = F.transform(
-            parts,
-            lambda x: F.concat(
-                x["gap"], F.coalesce(F.when(F.char_length(x["value"]) >= r.least, F.lit(mask)).otherwise(x["all"]), F.lit(""))
-            ),
+            parts, lambda x: F.concat(x["gap"], F.coalesce(F.when(counted(x), F.lit(mask)).otherwise(x["all"]), F.lit("")))
         )
-        text = F.when(text.rlike(r.hint), F.array_join(kept, "")).otherwise(text)
+        return F.when(t.rlike(r.hint), F.array_join(kept, "")).otherwise(t)
+
+    for r in rules:
+        text = let(text, partial(one, r))
     return text
 
 
