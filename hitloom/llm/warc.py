@@ -99,7 +99,7 @@ class ArchiveWriter:
         self.written += len(data)
 
     def _start(self) -> None:
-        self._out = self.files.open_output_stream(self._at)
+        self._out = self.files.open_output_stream(self._at, compression=None)
         try:
             trained = zstandard.train_dictionary(DICTIONARY_BYTES, self._first, level=LEVEL)
         except zstandard.ZstdError:  # too few or too short records
@@ -176,7 +176,7 @@ def write_archives(
 def archive_records(path: str):
     """(offset, record bytes) of each record of an archive, one at a time."""
     files, at = fs.FileSystem.from_uri(path)
-    with files.open_input_stream(at) as stream:
+    with files.open_input_stream(at, compression=None) as stream:
         head = stream.read(8)
         trained, offset = None, 0
         if len(head) == 8 and struct.unpack("<II", head)[0] == DICTIONARY_MAGIC:
