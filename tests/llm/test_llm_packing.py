@@ -1,0 +1,92 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_cases import TEXTS, docs
+
+from hitloom.llm.packing import Encoder, Limits, Packer, pack_documents, pack_examples
+from hitloom.llm.queries import tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def ids_of(tokenizer, text):
+    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(tokens=64, segments=3, loss=64), Limits(tokens=64, segments=9, loss=48)])
+def test_every_id_lies_in_one_piece_and_nothing_is_padded(spark, tokenizer, limits):
+    rows = TEXTS + [(100 + i, "word " * (i * 7 % 90)) for i in range(200)]
+    found = pack_documents(docs(spark, rows).coalesce(3), tokenizer_path(), limits=limits, ids=True).collect()
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append(r)
+        pieces[r.doc_id].append(r)
+    whole = min(limits.tokens, limits.loss)
+    for s in sequences.values():
+        s.sort(key=lambda r: r.offset)
+        assert [r.segment for r in s] == list(range(len(s))) and len(s) <= limits.segments
+        ends = np.cumsum([r.length for r in s])
+        assert [r.offset for r in s] == [0, *ends[:-1]]
+        assert ends[-1] <= whole and (ends[-1] == whole or ends[-1] & (ends[-1] - 1) == 0)
+    for name in {i for i, _ in rows}:
+        own = sorted((ids_of(tokenizer, t).tolist() for i, t in rows if i == name))
+        made = sorted((r.start, r.ids) for r in pieces[name])
+        assert sum(len(x) for x in own) == sum(len(x) for _, x in made)
+        if len(own) == 1:
+            assert [t for _, x in made for t in x] == own[0]
+    for r in found:
+        assert r.length == len(r.ids) > 0
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x3FF, exclude_categories=["Cs"]), max_size=40), max_size=5))
+def test_cached_pre_tokens_give_the_tokenizer_s_ids(tokenizer, texts):
+    texts += ["it's we'll  \n\n x", "<|endoftext|> in text", "\x1c\x85\xa0 tail ", "漢字 mixed 😀"]
+    found = Encoder(tokenizer_path()).encode(texts)
+    for t, data in zip(texts, found):
+        assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(0, 40)), max_size=60))
+def test_examples_stay_whole_and_within_all_limits(items):
+    limits = Limits(tokens=32, segments=4, loss=20)
+    packer, made = Packer(limits, cut=False, window=8), []
+    for k, (n, m) in enumerate(items):
+        made += packer.add(k, n, min(n, m))
+    made += packer.flush()
+    assert sorted(k for s in made for k, _, _ in s) == list(range(len(items)))
+    for s in made:
+        assert all(start == 0 and n == items[k][0] for k, start, n in s)
+        if len(s) > 1:
+            assert len(s) <= 4 and sum(n for _, _, n in s) <= 32 and sum(min(items[k]) for k, _, _ in s) <= 20
+
+
+def test_the_largest_dot_product_goes_first():
+    packer = Packer(Limits(tokens=100, segments=10, loss=100), cut=False)
+    for name, n, m in [("small", 10, 1), ("large", 70, 60), ("medium", 40, 5)]:
+        list(packer.add(name, n, m))
+    assert [[k for k, _, _ in s] for s in packer.flush()] == [["large", "small"], ["medium"]]
+
+
+def test_instruction_examples(spark):
+    rows = [(i, 5 + i % 50, i % 20, "x") for i in range(300)] + [(None, None, None, "y"), (999, 5000, 1, "z")]
+    df = spark.createDataFrame(rows, "conv_id long, n_tokens long, n_loss long, sequence_id string")
+    found = pack_examples(df, "conv_id", limits=Limits(tokens=128, segments=8, loss=40)).collect()
+    assert sorted(str(r.conv_id) for r in found) == sorted(str(r[0]) for r in rows)
+    alone = [r for r in found if r.conv_id == 999][0].sequence_id
+    assert [r.conv_id for r in found if r.sequence_id == alone] == [999]
+
+
+def test_empty_table(spark):
+    assert pack_documents(docs(spark, []), tokenizer_path()).count() == 0

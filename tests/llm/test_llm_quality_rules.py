@@ -1,0 +1,71 @@
+from collections import Counter
+
+from llm_cases import TEXTS, docs, key_order, words
+from pyspark.sql import functions as F
+
+from hitloom.llm import quality_rules
+from hitloom.llm.quality_rules import RULES, Rule, apply_rules, verdict
+
+
+def brute(text):
+    w = words(text)
+    windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    seen = Counter(windows)
+    covered = {p for i, x in enumerate(windows) if seen[x] > 1 for p in (i, i + 1, i + 2)}
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    return (
+        len(w),
+        sum(map(len, w)),
+        sum((text or "").count(c) for c in "#*$%&|<>"),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def check(spark):
+    found = apply_rules(docs(spark)).select("doc_id", *BASE, "base_failed").collect()
+    expected = []
+    for i, t in TEXTS:
+        b = brute(t)
+        expected.append((i, *b, b[0] < 50 or 100 * b[4] > 50 * b[0]))
+    assert sorted(map(tuple, found), key=key_order) == sorted(expected, key=key_order)
+
+
+def test_counts_equal_brute_force(spark):
+    check(spark)
+
+
+def test_windows_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    # With few bits for positions every text takes the exact path.
+    monkeypatch.setattr(quality_rules, "_POSITION", 3)
+    check(spark)
+
+
+def test_no_python_and_no_shuffle(spark):
+    plan = apply_rules(docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_rules_bound_ratios(spark):
+    df = spark.createDataFrame([(1, 10), (3, 10), (6, 10), (5, 0)], "a long, b long")
+    rule = Rule("r", "a", "b", low=20, high=50)
+    got = [r[0] for r in df.orderBy("b", "a").select(verdict((rule,))).collect()]
+    assert got == [False, False, True, False]
+
+
+def test_empty_table(spark):
+    assert apply_rules(docs(spark, [])).count() == 0
+
+
+def test_kept_needs_every_rule(spark):
+    plain = " ".join(f"the word{i} of text{i}" for i in range(40))
+    loud = " ".join(f"the word{i}!! of text{i}!!" for i in range(40))
+    marked = " ".join(f"the word{i}$$$ of text{i}%%%" for i in range(40))
+    bare = " ".join(f"wxrd{i} txxt{i} zzz{i}" for i in range(40))
+    kept = {r.doc_id: r.kept for r in apply_rules(docs(spark, list(enumerate([plain, loud, marked, bare])))).collect()}
+    assert kept == {0: True, 1: False, 2: False, 3: False}
+    assert {r.name for r in RULES} >= {"symbols", "stop_words", "duplicate_lines", "word_length"}
+    assert apply_rules(docs(spark)).filter(F.col("kept") & F.col("base_failed")).count() == 0
