@@ -51,7 +51,7 @@ def test_every_id_lies_in_one_piece_and_nothing_is_padded(spark, tokenizer, limi
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x3FF, exclude_categories=["Cs"]), max_size=40), max_size=5))
 def test_cached_pre_tokens_give_the_tokenizer_s_ids(tokenizer, texts):
-    texts += ["it's we'll  \n\n x", "<|endoftext|> in text", "\x1c\x85\xa0 tail ", "漢字 mixed 😀"]
+    texts += ["it's we'll  \n\n x", "<|endoftext|> in text", "\x1c\x85\xa0 tail ", "漢字 mixed 😀", "x² ½ ¹1 _a ªº µ"]
     found = Encoder(tokenizer_path()).encode(texts)
     for t, data in zip(texts, found):
         assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
