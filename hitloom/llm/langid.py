@@ -52,8 +52,8 @@ EPOCHS = 4
 
 #: Words in a block of the scoring layout, words scored at a time, words kept by a worker.
 BLOCK = 32
-WORDS_AT_ONCE = 1 << 16
-CACHE = 400_000
+WORDS_AT_ONCE = 1 << 15
+CACHE = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -325,6 +325,20 @@ def training_texts(
     return kept
 
 
+def _portions(column: pa.Array):
+    """Consecutive texts, some `WORDS_AT_ONCE` words together, so that a portion's messages fit in little memory."""
+    part: list[str] = []
+    size = 0
+    for value in column:
+        part.append(value.as_py() or "")
+        size += len(part[-1]) // 6 + 1
+        if size >= WORDS_AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def label_texts(
     docs: DataFrame, model: WordCRF | None, key: str = "doc_id", text: str = "text", spans: bool = False
 ) -> DataFrame:
@@ -348,22 +362,15 @@ def label_texts(
     def run(batches):
         labeller = Labeller(model)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             names, scores, found = [], [], []
-            low = 0
-            while low < len(texts):
-                high, size = low, 0
-                while high < len(texts) and (high == low or size + len(texts[high]) // 6 < WORDS_AT_ONCE):
-                    size += len(texts[high]) // 6
-                    high += 1
-                for part in labeller.label(texts[low:high]):
+            for portion in _portions(batch.column(1)):
+                for part in labeller.label(portion):
                     mean = part.mean(axis=0) if len(part) else None
                     best = None if mean is None else int(mean.argmax())
                     names.append(UNDETERMINED if best is None else model.languages[best])
                     scores.append(0.0 if best is None else min(1.0, float(mean[best])))
                     if spans:
                         found.append(runs(part))
-                low = high
             columns = [batch.column(0), pa.array(names), pa.array(scores)]
             labels = [key, "lang_pred", "score"]
             if spans:
@@ -388,8 +395,7 @@ def with_language(docs: DataFrame, model: WordCRF | None, text: str = "text", pr
         labeller = Labeller(model)
         for batch in batches:
             names, scores = [], []
-            for low in range(0, batch.num_rows, 128):
-                texts = [t or "" for t in batch.column(at).slice(low, 128).to_pylist()]
+            for texts in _portions(batch.column(at)):
                 for part in labeller.label(texts):
                     mean = part.mean(axis=0) if len(part) else None
                     best = None if mean is None else int(mean.argmax())

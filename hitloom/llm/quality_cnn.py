@@ -195,7 +195,10 @@ def score_texts(docs: DataFrame, model: ByteCNN | None, key: str = "doc_id", tex
 
     def run(batches):
         for batch in batches:
-            values = model.scores([x.as_py() for x in batch.column(1)])
+            parts = [
+                model.scores([x.as_py() for x in batch.column(1).slice(low, 256)]) for low in range(0, batch.num_rows, 256)
+            ]
+            values = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=[key, "score"])
 
     return docs.select(F.col(key), whole_text(text).cast("binary").alias("text")).mapInArrow(run, f"{key} {id_type}, score double")
