@@ -30,8 +30,8 @@ def date_range_bounds(text: Column) -> tuple[Column, Column]:
 
 
 def clean_duration(seconds: Column) -> Column:
-    """Seconds without infinities (0 instead) and without NaN (null instead)."""
-    value = seconds.cast("double")
+    """Seconds without infinities (0 instead) and without NaN (null instead); text that is no number is null."""
+    value = seconds.try_cast("double")
     return (
         F.when(value.isin(float("inf"), float("-inf")), F.lit(0.0))
         .when(F.isnan(value), F.lit(None).cast("double"))
@@ -40,8 +40,8 @@ def clean_duration(seconds: Column) -> Column:
 
 
 def rounded_int(value: Column) -> Column:
-    """Nearest integer, halves away from zero; null where it does not fit."""
-    return F.round(value, 0).try_cast("int")
+    """Nearest integer, halves away from zero; null where it does not fit or is no number."""
+    return F.round(value.try_cast("double"), 0).try_cast("int")
 
 
 def to_int(value: Column) -> Column:

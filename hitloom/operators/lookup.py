@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.operators.columns import flat, quoted, require_unique
@@ -13,9 +13,11 @@ _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
 _RIGHT_SALT = "__lookup_right_salt"
 _COPIES = "__lookup_copies"
-_BLOCK = "__lookup_block"
 _BLOCK_ROWS = 65536
 
+#: Tasks that rows with a null key are dealt to.
+NULL_SPREAD = 256
+
 
 def lookup_left_join(
     df: DataFrame,
@@ -26,6 +28,7 @@ def lookup_left_join(
     salts: int = 1,
     salt_by: Sequence[str] | None = None,
     fold_copies: bool = False,
+    hot_keys: Sequence | None = None,
 ) -> DataFrame:
     """Add columns of ``lookup`` to ``df`` where ``left_key = right_key``.
 
@@ -35,13 +38,17 @@ def lookup_left_join(
 
     The lookup is cut down to the columns it adds, and carries no hint: Spark
     broadcasts it only if it is below ``spark.sql.autoBroadcastJoinThreshold``
-    and otherwise sort-merges, where adaptive execution splits hot left keys
-    (also the null key) as a left outer join allows.
+    and otherwise sort-merges. Rows with a null key are then dealt out over many
+    tasks by a second key that no lookup row answers to; adaptive execution
+    splits other hot left keys, as a left outer join allows.
 
     ``salts`` > 1 does that split in the plan, for sessions without adaptive
-    execution: left rows with a hot key go to ``salts`` tasks and the lookup is
-    repeated once per salt. The salt is a hash of ``salt_by`` (by default every
-    column that can be hashed), so a task that is run again gives the same rows.
+    execution: left rows with a hot key go to ``salts`` tasks, and lookup rows
+    of hot keys, but no others, are repeated once per salt. ``hot_keys`` names
+    them; else keys are counted and those with a ``salts``-th of the rows or
+    more (so at most ``salts`` keys) are hot. The salt is a hash of ``salt_by`` (by
+    default every column that can be hashed), so a task that is run again gives
+    the same rows.
 
     ``fold_copies`` is for a lookup that repeats its rows, as a table made by
     unpacking does. Copies are counted before the lookup is shuffled or
@@ -51,25 +58,49 @@ def lookup_left_join(
     right = lookup.selectExpr(
         *(f"{quoted(name)} AS {quoted(alias)}" for name, alias in ((right_key, _KEY), *take.items()))
     )
-    on = flat(left_key) == flat(_KEY)
     if fold_copies:
-        right = right.groupBy(*(quoted(c) for c in right.columns)).agg(F.count(F.lit(1)).alias(_COPIES))
+        right = _folded(right)
+    by = salt_by or [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    deal = lambda n: F.pmod(F.xxhash64(*(flat(c) for c in by)), F.lit(n)).cast("int")
+    salt = F.when(flat(left_key).isNull(), deal(NULL_SPREAD)).otherwise(F.lit(0))
+    # Always 0, but no constant: the planner would fold that and drop the second key.
+    right_salt = F.pmod(F.hash(flat(_KEY)), F.lit(1))
     if salts > 1:
-        by = salt_by or [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-        df = df.withColumn(_SALT, F.pmod(F.xxhash64(*(flat(c) for c in by)), F.lit(salts)))
-        right = right.withColumn(_RIGHT_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = on & (flat(_SALT) == flat(_RIGHT_SALT))
+        hot = list(hot_keys) if hot_keys is not None else _hot_keys(df, left_key, salts)
+        if hot:
+            salt = F.when(flat(left_key).isin(hot), deal(salts)).otherwise(salt)
+            right_salt = F.explode(_when_hot(hot, salts))
+    df = df.withColumn(_SALT, salt)
+    right = right.withColumn(_RIGHT_SALT, right_salt)
+    on = (flat(left_key) == flat(_KEY)) & (flat(_SALT) == flat(_RIGHT_SALT))
     joined = require_unique(df.join(right, on, "left").drop(_KEY, _SALT, _RIGHT_SALT))
     return _repeated(joined) if fold_copies else joined
 
 
-def _repeated(df: DataFrame) -> DataFrame:
-    """Each row as often as its count of copies says; once without a count.
+def _when_hot(hot: Sequence, salts: int) -> Column:
+    """The salts of a lookup row."""
+    return F.when(flat(_KEY).isin(list(hot)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
 
-    In blocks, so that no array grows with the count.
-    """
-    last_block = f"(coalesce({_COPIES}, 1) - 1) div {_BLOCK_ROWS}"
-    in_block = f"least({_BLOCK_ROWS}, coalesce({_COPIES}, 1) - {_BLOCK} * {_BLOCK_ROWS})"
+
+def _hot_keys(df: DataFrame, key: str, salts: int) -> list:
+    """Keys with a ``salts``-th of the rows or more."""
+    counts = df.filter(flat(key).isNotNull()).groupBy(flat(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("n"))
+    first = counts.orderBy(F.desc("n")).limit(salts).collect()
+    total = df.count()
+    return [r[_KEY] for r in first if r["n"] * salts >= total]
+
+
+def _folded(right: DataFrame) -> DataFrame:
+    """Each lookup row once with its number of copies, in parts of at most a block, so that no array grows with it."""
+    counted = right.groupBy(*(quoted(c) for c in right.columns)).agg(F.count(F.lit(1)).alias(_COPIES))
+    parts = F.expr(
+        f"transform(sequence(0L, ({_COPIES} - 1) div {_BLOCK_ROWS}), "
+        f"i -> least({_BLOCK_ROWS}L, {_COPIES} - i * {_BLOCK_ROWS}))"
+    )
+    return counted.withColumn(_COPIES, F.explode(parts))
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """Each row as often as its count of copies says; once without a count."""
     names = [quoted(c) for c in df.columns if c != _COPIES]
-    blocks = df.selectExpr(*names, _COPIES, f"explode(sequence(0L, {last_block})) AS {_BLOCK}")
-    return blocks.selectExpr(*names, f"explode(sequence(1L, {in_block})) AS {_COPIES}").drop(_COPIES)
+    return df.selectExpr(*names, f"explode(sequence(1L, coalesce({_COPIES}, 1L))) AS {_COPIES}").drop(_COPIES)

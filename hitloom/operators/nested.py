@@ -9,7 +9,7 @@ items, since a wide schema makes thousands of ``Column`` calls slow.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, StructType
@@ -47,18 +47,24 @@ def array_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
 
 
-def explode_outer_all(df: DataFrame, names: Iterable[str], spread: int | None = None) -> DataFrame:
+def explode_outer_all(df: DataFrame, names: Collection[str], spread: int | None = None) -> DataFrame:
     """Explode the named arrays one after another.
 
     Sibling arrays give their cross product; an empty or null array keeps its
-    row with a null. Names that are not arrays stay as they are.
+    row with a null. Names are compared as the session does (by default without
+    regard to case). Columns that are not arrays stay as they are; a name that
+    is no column raises ``ValueError``.
 
     With ``spread``, rows are dealt out over that many tasks before every
     explode but the first, so that the product of one record's siblings is
     made by many tasks.
     """
+    fold = str if df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true" else str.lower
+    columns = {fold(c): c for c in df.columns}
+    if unknown := [name for name in names if fold(name) not in columns]:
+        raise ValueError(f"no such column: {', '.join(unknown)}")
     present = set(array_columns(df))
-    arrays = [name for name in dict.fromkeys(names) if name in present]
+    arrays = [c for c in dict.fromkeys(columns[fold(name)] for name in names) if c in present]
     for position, name in enumerate(arrays):
         if spread and position:
             df = df.repartition(spread)

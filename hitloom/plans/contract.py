@@ -6,6 +6,7 @@ does not have is simply not renamed.
 
 # --- layers -----------------------------------------------------------------
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
+REJECTS = "rejects"
 
 # --- patterns and separators --------------------------------------------------
 DATE_RANGE_SEPARATOR = " to "

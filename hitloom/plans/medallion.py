@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from hitloom.operators.columns import select_columns
 from hitloom.operators.lookup import lookup_left_join
 from hitloom.operators.nested import array_columns, unpack
-from hitloom.plans.contract import BRONZE, GOLD, SILVER
+from hitloom.plans.contract import BRONZE, GOLD, REJECTS, SILVER
 from hitloom.plans.spec import LookupSpec, RecordStep, Step, TopicSpec
 from hitloom.plans.topics import TOPICS
-from hitloom.sources.hits import land_bronze, narrow_schema, read_hits, write_bronze
+from hitloom.sources.hits import case_sensitive, land_bronze, narrow_schema, read_hits, split_rejects, write_bronze
 from hitloom.sources.tables import layer_path, read_table, write_table
 
 
@@ -51,11 +53,13 @@ def curate(
     waiting: list[Step] = []
     added: list[str] = []
 
+    fold = str if case_sensitive(hits.sparkSession) else str.lower
+
     def per_record(df: DataFrame) -> DataFrame:
-        scalars = set(df.columns) - set(array_columns(df))
+        scalars = {fold(c) for c in set(df.columns) - set(array_columns(df))}
         before = set(df.columns)
         for record_step in record_steps:
-            if scalars.issuperset(record_step.inputs):
+            if scalars.issuperset(map(fold, record_step.inputs)):
                 df = record_step.step(df)
             else:
                 waiting.append(record_step.step)
@@ -74,6 +78,7 @@ def run_topic(
     root: str,
     export: str | list[str] | DataFrame | None = None,
     layout: str = "lines",
+    indent: int = 4,
     schema: StructType | str | None = None,
     fmt: str = "parquet",
     gold_fn: Callable[[DataFrame], DataFrame] | None = None,
@@ -81,6 +86,7 @@ def run_topic(
     spread: int | None = None,
     prefix: str = "",
     bronze_options: Mapping[str, str] | None = None,
+    rejects: bool = False,
     **write_options: str,
 ) -> DataFrame:
     """Run one topic and return its gold table.
@@ -93,6 +99,10 @@ def run_topic(
     ``prefix`` goes before every topic name in paths. ``bronze_options`` are
     for reading a bronze layer that something else has written, such as
     ``{"multiLine": "true"}`` for one JSON array per file.
+
+    Bronze lines that are no hits fail the run. With ``rejects`` they are
+    written to the topic's ``rejects`` layer instead, as they are, one per line,
+    and the topic is made from the others.
     """
 
     def path(topic: str, layer: str) -> str:
@@ -104,10 +114,15 @@ def run_topic(
         schema = schema or export.schema
         write_bronze(export, bronze)
     elif export is not None:
-        land_bronze(spark, export, bronze, layout)
-    hits = read_hits(spark, bronze, schema=schema, **options)
-    if spec.reads is not None:
-        hits = read_hits(spark, bronze, schema=narrow_schema(hits.schema, spec.reads), **options)
+        land_bronze(spark, export, bronze, layout, indent)
+    if rejects:
+        hits, bad = split_rejects(spark, bronze, schema)
+        bad.write.mode("overwrite").text(path(spec.name, REJECTS))
+    else:
+        hits = read_hits(spark, bronze, schema=schema, **options)
+        if spec.reads is not None:
+            narrowed = narrow_schema(hits.schema, spec.reads, case_sensitive(spark))
+            hits = read_hits(spark, bronze, schema=narrowed, **options)
     lookups = {
         lookup.topic: read_table(spark, path(lookup.topic, GOLD), fmt) for lookup in spec.lookups
     }
@@ -121,14 +136,29 @@ def run_topics(
     spark: SparkSession,
     exports: Mapping[str, str | list[str] | DataFrame],
     root: str,
+    topic_options: Mapping[str, Mapping] | None = None,
+    side_by_side: int = 4,
     **options,
 ) -> dict[str, DataFrame]:
-    """Run the topics that have an export, lookups before those who need them."""
-    unknown = sorted(set(exports) - set(TOPICS))
-    if unknown:
+    """Run the topics that have an export, lookups before those who need them.
+
+    ``options`` are those of :func:`run_topic` for all topics; ``topic_options``
+    maps a topic to its own, such as its ``schema`` or ``gold_fn``, which win.
+    Topics that do not wait for each other run side by side, as many as
+    ``side_by_side`` at a time.
+    """
+    own = topic_options or {}
+    if unknown := sorted((set(exports) | set(own)) - set(TOPICS)):
         raise ValueError(f"unknown topics: {', '.join(unknown)}")
-    return {
-        name: run_topic(spark, spec, root, exports[name], **options)
-        for name, spec in TOPICS.items()
-        if name in exports
-    }
+    made: dict[str, DataFrame] = {}
+
+    def run(name: str) -> DataFrame:
+        return run_topic(spark, TOPICS[name], root, exports[name], **{**options, **own.get(name, {})})
+
+    waiting = [name for name in TOPICS if name in exports]
+    while waiting:
+        ready = [name for name in waiting if not {one.topic for one in TOPICS[name].lookups} & set(waiting)]
+        with ThreadPoolExecutor(max_workers=min(side_by_side, len(ready))) as pool:
+            made.update(zip(ready, pool.map(inheritable_thread_target(run), ready)))
+        waiting = [name for name in waiting if name not in made]
+    return {name: made[name] for name in TOPICS if name in made}

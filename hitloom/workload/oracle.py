@@ -36,10 +36,16 @@ _DOCUMENT_WORDS = """
     )"""
 
 _ORDER_HITS = """
-    SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey AS sort, o_custkey AS customer,
+    SELECT CAST(o_orderkey AS VARCHAR) AS id, 'orders' AS index_name, CAST(NULL AS DOUBLE) AS score,
+           o_orderkey AS sort, o_custkey AS customer,
            o_orderstatus AS status, o_totalprice AS total, o_orderpriority AS priority
     FROM orders"""
 
+_ALL_DOCUMENT_WORDS = f"""
+    SELECT CAST(doc_id AS VARCHAR) AS id, 'documents' AS index_name, CAST(NULL AS DOUBLE) AS score,
+           doc_id AS sort, lang, source, line_number, line_chars, word
+    FROM ({_DOCUMENT_WORDS})"""
+
 # One row per area and child, at least one per area.
 _AREAS = f"""
     SELECT 'C' || c_custkey AS Id, 'areas' AS "Index", CAST(NULL AS DOUBLE) AS Score, c_custkey AS Sort,
@@ -142,10 +148,7 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 4 = 2
         UNION ALL SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 4 = 3
         UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 4 = 3""",
-    "unpack_two_level": f"""
-        SELECT CAST(doc_id AS VARCHAR) AS id, 'documents' AS index_name, CAST(NULL AS DOUBLE) AS score,
-               doc_id AS sort, lang, source, line_number, line_chars, word
-        FROM ({_DOCUMENT_WORDS})""",
+    "unpack_two_level": _ALL_DOCUMENT_WORDS,
     "unpack_conversations": """
         SELECT conv_id || '-' || turn AS id, conv_id AS conversation, turn, role,
                unnest(string_split(text, chr(10))) AS line
@@ -165,7 +168,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM orders""",
     "bulk_rename": """
         SELECT l_orderkey AS OrderKey, l_partkey AS PartKey, l_suppkey AS SupplierKey, l_linenumber,
-               l_quantity AS Quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
+               l_quantity AS Quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+               CAST(l_shipdate AS DATE) AS ShipDate
         FROM lineitem""",
     "fixed_select": """
         SELECT l_tax AS "L_Tax", l_orderkey, l_linenumber AS "L_LINENUMBER",
@@ -183,7 +187,10 @@ ORACLE_SQL: dict[str, str] = {
                CASE event_id % 5 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 0.0::DOUBLE
                                  WHEN 4 THEN value * 1000 END AS seconds,
                CAST(CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 0
-                                      WHEN 4 THEN round(value * 1000) END AS INTEGER) AS whole_seconds
+                                      WHEN 4 THEN round(value * 1000) END AS INTEGER) AS whole_seconds,
+               CASE WHEN event_id % 7 <> 0 THEN CAST(CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 0
+                                      WHEN 4 THEN round(value * 1000) END AS INTEGER) END AS whole_seconds_of_text,
+               CASE WHEN event_id % 7 <> 0 THEN CAST(event_id AS INTEGER) END AS rounded_text
         FROM events""",
     "date_range_bounds": """
         SELECT o_orderkey,
@@ -239,8 +246,29 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, l_partkey, supplier, s_name AS supplier_name
         FROM (SELECT *, CASE WHEN l_linenumber <= 3 THEN 0 ELSE l_suppkey END AS supplier FROM lineitem)
         LEFT JOIN supplier ON supplier = s_suppkey""",
-    "bronze_roundtrip": f"""
-        SELECT CAST(doc_id AS VARCHAR) AS id, doc_id AS sort, line_number, word FROM ({_DOCUMENT_WORDS})""",
+    "bronze_roundtrip": _ALL_DOCUMENT_WORDS,
+    "unpack_hot_record": """
+        WITH lines AS (
+            SELECT doc_id, length(line) AS length, row_number AS number
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                         unnest(range(1, len(string_split(text, chr(10))) + 1)) AS row_number FROM documents)
+        )
+        SELECT CAST(a.doc_id AS VARCHAR) AS id, CAST(a.length AS INTEGER) AS length, CAST(b.number AS INTEGER) AS number
+        FROM lines a JOIN lines b USING (doc_id)""",
+    "rejected_hits": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice END AS total,
+               o_orderkey % 97 = 0 AS rejected
+        FROM orders""",
+    "conflicting_hits": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status,
+               CASE o_orderkey % 4 WHEN 0 THEN '{"customer":' || o_custkey || '}'
+                                   WHEN 1 THEN CAST(o_custkey AS VARCHAR)
+                                   WHEN 2 THEN o_orderpriority END AS ref,
+               layout
+        FROM orders CROSS JOIN (VALUES ('lines'), ('indented'), ('document')) l(layout)""",
+    "gold_aggregate": f"""
+        SELECT Kind, Active, count(*) AS n_rows, count(DISTINCT Id) AS n_areas, max(Sort) AS last
+        FROM ({_AREAS}) GROUP BY Kind, Active""",
     "multi_line_documents": _ORDER_HITS,
     "indented_documents": _ORDER_HITS,
     "silver_gold_roundtrip": _AREAS,
@@ -312,3 +340,7 @@ ORACLE_SQL: dict[str, str] = {
               FROM events)
         LEFT JOIN {_TWO} mention(i) ON i <= event_id % 3""",
 }
+
+# From exported text to gold, a topic's rows are those of its hits.
+for _topic in ("areas", "grant_aided_places", "historic_places", "images", "place_names", "stories"):
+    ORACLE_SQL[f"medallion_{_topic}"] = ORACLE_SQL[f"topic_{_topic}"]

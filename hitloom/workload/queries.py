@@ -32,13 +32,16 @@ from hitloom.operators.nested import array_columns, explode_outer_all, flatten,
 from hitloom.plans.contract import EMBED_FILLER, LIST_ENTRY_URL, MAP_SEARCH_URL, NOT_HIDDEN
 from hitloom.plans.medallion import curate, run_topics
 from hitloom.plans.topics import TOPICS
-from hitloom.sources.hits import land_bronze, read_hits, write_bronze
+from hitloom.sources.hits import land_bronze, read_hits, split_rejects, write_bronze
 from hitloom.sources.tables import layer_path, read_table, write_table
 from hitloom.workload import records
 from hitloom.workload.records import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Tasks that the rows of hot records are dealt to between explodes.
+HOT_SPREAD = 16
+
 
 # --- nested restructuring -------------------------------------------------------
 
@@ -123,7 +126,7 @@ def unpack_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unpack_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
-        "event_id", "event_type", F.from_json("props", "k bigint").alias("props")
+        "event_id", "event_type", F.from_json("props", "k bigint", {"mode": "FAILFAST"}).alias("props")
     )
     return rename_columns(unpack(events), {"props.k": "k"})
 
@@ -175,8 +178,9 @@ def bulk_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
             "_source.absent": "AbsentToo",
             "l_suppkey": "SupplierKey",
             "l_quantity": "Quantity",
+            "l_SHIPDATE": "ShipDate",
         },
-    ).drop("l_shipdate")
+    ).withColumn("ShipDate", F.col("ShipDate").cast("date"))
 
 
 def fixed_select(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,9 +208,15 @@ def case_like(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def isin_infinity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations as numbers, and as text that one bad hit has widened the column to."""
     seconds = clean_duration(F.expr(records.DURATION_BY_EVENT))
+    text = F.expr(f"if(event_id % 7 = 0, 'unknown', cast({records.DURATION_BY_EVENT} as string))")
     return table(spark, sf_dir, "events").select(
-        "event_id", seconds.alias("seconds"), rounded_int(seconds).alias("whole_seconds")
+        "event_id",
+        seconds.alias("seconds"),
+        rounded_int(seconds).alias("whole_seconds"),
+        rounded_int(clean_duration(text)).alias("whole_seconds_of_text"),
+        rounded_int(F.expr("if(event_id % 7 = 0, 'unknown', cast(event_id as string))")).alias("rounded_text"),
     )
 
 
@@ -334,24 +344,36 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_bronze(records.document_hits(spark, sf_dir), f"{root}/export")
     bronze = layer_path(root, "documents", "bronze")
     land_bronze(spark, f"{root}/export", bronze)
-    rows = unpack(read_hits(spark, bronze))
-    return rows.select(
-        flat("_id").alias("id"),
-        "sort",
-        flat("_source.lines.number").alias("line_number"),
-        flat("_source.lines.words").alias("word"),
+    return _document_rows(unpack(read_hits(spark, bronze)))
+
+
+def _document_rows(rows: DataFrame) -> DataFrame:
+    return rename_columns(
+        rows,
+        {
+            "_id": "id",
+            "_index": "index_name",
+            "_score": "score",
+            "_source.lang": "lang",
+            "_source.source": "source",
+            "_source.lines.number": "line_number",
+            "_source.lines.n_chars": "line_chars",
+            "_source.lines.words": "word",
+        },
     )
 
 
 def _landed_documents(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     root = records.scratch_dir(spark)
-    records.write_documents(records.order_hits(spark, sf_dir), f"{root}/export")
+    records.write_documents(records.hit_lines(records.order_hits(spark, sf_dir)), f"{root}/export")
     bronze = layer_path(root, "orders", "bronze")
     land_bronze(spark, f"{root}/export", bronze, layout)
     return rename_columns(
-        unpack(read_hits(spark, bronze)).drop("_index"),
+        unpack(read_hits(spark, bronze)),
         {
             "_id": "id",
+            "_index": "index_name",
+            "_score": "score",
             "_source.customer": "customer",
             "_source.status": "status",
             "_source.total": "total",
@@ -362,12 +384,53 @@ def _landed_documents(spark: SparkSession, sf_dir: str, layout: str) -> DataFram
 
 def multi_line_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON array documents, each parsed as a whole."""
-    return _landed_documents(spark, sf_dir, "document").drop("_score")
+    return _landed_documents(spark, sf_dir, "document")
 
 
 def indented_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents, cut into hits by their indentation."""
-    return _landed_documents(spark, sf_dir, "indented").drop("_score")
+    return _landed_documents(spark, sf_dir, "indented")
+
+
+def conflicting_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits with a field of several types, landed from all three layouts."""
+    root = records.scratch_dir(spark)
+    lines = records.conflicting_lines(spark, sf_dir)
+    lines.write.text(f"{root}/lines")
+    records.write_documents(lines, f"{root}/documents")
+    parts = []
+    for layout, export in (("lines", "lines"), ("indented", "documents"), ("document", "documents")):
+        bronze = layer_path(root, layout, "bronze")
+        land_bronze(spark, f"{root}/{export}", bronze, layout)
+        rows = rename_columns(unpack(read_hits(spark, bronze)), {"_id": "id", "_source.status": "status", "_source.ref": "ref"})
+        parts.append(rows.withColumn("layout", F.lit(layout)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def rejected_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits that can be read, and the lines that are none, kept apart."""
+    root = records.scratch_dir(spark)
+    records.broken_lines(spark, sf_dir).write.text(f"{root}/export")
+    bronze = layer_path(root, "orders", "bronze")
+    land_bronze(spark, f"{root}/export", bronze)
+    good, bad = split_rejects(spark, bronze)
+    rows = unpack(good).select(flat("_id").alias("id"), flat("_source.total").alias("total"), F.lit(False).alias("rejected"))
+    lost = bad.select(
+        F.regexp_extract("value", '"_id":"([0-9]+)"', 1).alias("id"),
+        F.lit(None).cast("double").alias("total"),
+        F.lit(True).alias("rejected"),
+    )
+    return rows.unionByName(lost)
+
+
+def unpack_hot_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two siblings of one record multiply; rows are dealt out between the explodes."""
+    rows = unpack(records.hot_record_hits(spark, sf_dir), spread=HOT_SPREAD)
+    return rows.select(
+        flat("_id").alias("id"),
+        flat("_source.lengths").alias("length"),
+        flat("_source.numbers").alias("number"),
+    )
 
 
 def silver_gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,6 +450,51 @@ def medallion_area_by_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_topics(spark, exports, records.scratch_dir(spark))["area-by-numbers"]
 
 
+def _medallion(spark: SparkSession, sf_dir: str, topic: str, hits: DataFrame, **options) -> DataFrame:
+    """A topic from exported text to gold; the schema is inferred from bronze."""
+    root = records.scratch_dir(spark)
+    write_bronze(hits, f"{root}/export")
+    return run_topics(spark, {topic: f"{root}/export"}, root, **options)[topic]
+
+
+def medallion_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _medallion(spark, sf_dir, "areas", records.areas_hits(spark, sf_dir))
+
+
+def medallion_grant_aided_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _medallion(spark, sf_dir, "grant-aided-places", records.grant_aided_places_hits(spark, sf_dir))
+    return rename_columns(rows, {"_source.reviewed_by": "passed_through"})
+
+
+def medallion_historic_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _medallion(spark, sf_dir, "historic-places", records.historic_places_hits(spark, sf_dir))
+
+
+def medallion_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _medallion(spark, sf_dir, "images", records.images_hits(spark, sf_dir))
+
+
+def medallion_place_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _medallion(spark, sf_dir, "place-names", records.place_names_hits(spark, sf_dir))
+
+
+def medallion_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the load timestamp, which differs from run to run."""
+    return _medallion(spark, sf_dir, "stories", records.stories_hits(spark, sf_dir)).drop("CreatedOn")
+
+
+def gold_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold as a topic's own function of silver."""
+
+    def by_kind(silver: DataFrame) -> DataFrame:
+        return silver.groupBy("Kind", "Active").agg(
+            F.count("*").alias("n_rows"), F.countDistinct("Id").alias("n_areas"), F.max("Sort").alias("last")
+        )
+
+    hits = records.areas_hits(spark, sf_dir)
+    return _medallion(spark, sf_dir, "areas", hits, topic_options={"areas": {"gold_fn": by_kind}})
+
+
 # --- topics -------------------------------------------------------------------------
 
 
@@ -451,11 +559,21 @@ QUERIES: dict[str, Query] = {
     "load_timestamp": load_timestamps,
     "lookup_left_join": lookup_with_fan_out,
     "lookup_hot_key": lookup_hot_key,
+    "unpack_hot_record": unpack_hot_record,
     "bronze_roundtrip": bronze_roundtrip,
+    "rejected_hits": rejected_hits,
+    "conflicting_hits": conflicting_hits,
     "multi_line_documents": multi_line_documents,
     "indented_documents": indented_documents,
     "silver_gold_roundtrip": silver_gold_roundtrip,
+    "gold_aggregate": gold_aggregate,
+    "medallion_areas": medallion_areas,
     "medallion_area_by_numbers": medallion_area_by_numbers,
+    "medallion_grant_aided_places": medallion_grant_aided_places,
+    "medallion_historic_places": medallion_historic_places,
+    "medallion_images": medallion_images,
+    "medallion_place_names": medallion_place_names,
+    "medallion_stories": medallion_stories,
     "topic_areas": topic_areas,
     "topic_area_by_numbers": topic_area_by_numbers,
     "topic_grant_aided_places": topic_grant_aided_places,

@@ -7,7 +7,6 @@ outgrow its row however often a key occurs.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory that every executor can see.
 
-    It lies in the shared folder that ``spark.checkpoint.dir`` names. A
-    temporary folder of this machine is used only in local mode without it.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names, and
+    without that in the session's warehouse, which is shared as well. What is
+    written there is read lazily by the result of a query, so it is left for
+    the owner of the folder to clear (by age, say) once results are in.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        return tempfile.mkdtemp(prefix="hitloom-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/hitloom-{uuid.uuid4().hex}"
 
 
@@ -46,22 +45,57 @@ def hits(rows: DataFrame, index: str, hit_id: str, sort: str, source: str, ignor
     return rows.select(*columns)
 
 
-def write_documents(rows: DataFrame, path: str, hits_per_document: int = 1 << 18) -> None:
-    """Write hits as JSON arrays, one per file, an element per indented block.
+def hit_lines(rows: DataFrame) -> DataFrame:
+    """Hits as JSON text, one ``value`` per hit."""
+    return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
-    A document takes consecutive rows of one scan task and no more than
-    ``hits_per_document``, so its size is bounded.
+
+def write_documents(lines: DataFrame, path: str, document_bytes: int = 1 << 22) -> None:
+    """Write hits (JSON objects as text) as arrays, one per file, an element per indented block.
+
+    A document takes consecutive rows of one scan task, as many as fit into
+    ``document_bytes`` at the size of the largest hit: documents are bounded in
+    bytes, and their number grows with the data.
     """
-    numbered = rows.select(
-        F.to_json(F.struct("*")).alias("hit"),
-        F.expr(f"monotonically_increasing_id() div {hits_per_document}").alias("document"),
-    )
-    element = r"concat('\n    {\n        ', substring(hit, 2, char_length(hit) - 2), '\n    }')"
+    largest = lines.agg(F.max(F.octet_length("value"))).first()[0] or 1
+    rows = max(1, document_bytes // (largest + 24))
+    numbered = lines.withColumn("document", F.expr(f"monotonically_increasing_id() div {rows}"))
+    element = r"concat('\n    {\n        ', substring(value, 2, char_length(value) - 2), '\n    }')"
     documents = numbered.groupBy("document").agg(F.collect_list(F.expr(element)).alias("elements"))
     text = documents.selectExpr(r"concat('[', array_join(elements, ','), '\n]') AS value")
     text.write.option("maxRecordsPerFile", 1).text(path)
 
 
+def conflicting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as hits whose ``ref`` is an object, a number, a text or absent."""
+    ref = """case o_orderkey % 4
+        when 0 then concat(',"ref":{"customer":', o_custkey, '}')
+        when 1 then concat(',"ref":', o_custkey)
+        when 2 then concat(',"ref":"', o_orderpriority, '"')
+        else '' end"""
+    value = f"""concat('{{"_id":"', o_orderkey, '","_source":{{"status":"', o_orderstatus, '"', {ref}, '}}}}')"""
+    return table(spark, sf_dir, "orders").selectExpr(f"{value} AS value")
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as hits, a 97th of them cut off before their last braces."""
+    lines = order_hits(spark, sf_dir).select(F.col("sort")[0].alias("n"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    return lines.selectExpr("if(n % 97 = 0, substring(value, 1, char_length(value) - 2), value) AS value")
+
+
+def hot_record_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records with two siblings of one element per line: a long text is a hot record."""
+    return hits(
+        table(spark, sf_dir, "documents"),
+        "documents",
+        "doc_id",
+        "doc_id",
+        r"""named_struct(
+            'lengths', transform(split(text, '\n'), line -> char_length(line)),
+            'numbers', sequence(1, size(split(text, '\n'))))""",
+    )
+
+
 def document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as lines of words, over the whole text."""
     return hits(

@@ -136,3 +136,11 @@ def test_load_timestamp_is_one_value_per_query(spark):
 def test_numbers_are_cast_without_a_pattern_match(spark):
     text = plan(spark.range(5).select(s.to_int(F.col("id")).alias("n")))
     assert "try_cast" in text.lower() and "RLIKE" not in text
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_text_that_is_no_number_is_null(spark, conf, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
+    df = spark.createDataFrame([("unknown",), ("2.5",), ("Infinity",), ("NaN",), (None,), ("",)], "t string")
+    rows = df.select(s.clean_duration(F.col("t")), s.rounded_int(F.col("t"))).collect()
+    assert [tuple(r) for r in rows] == [(None, None), (2.5, 3), (0.0, None), (None, None), (None, None), (None, None)]

@@ -109,3 +109,36 @@ def test_salts_spread_a_hot_key_without_adaptive_execution(spark, conf):
 
     assert largest_task(1) == 8000
     assert largest_task(16) < 8000
+
+
+def test_null_keys_are_dealt_out_without_copying_the_lookup(spark, conf):
+    conf(
+        spark__sql__adaptive__enabled="false",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="8",
+    )
+    left = spark.range(0, 8000).selectExpr("id", "if(id % 2 = 0, null, id % 10) as k")
+    lookup = spark.range(0, 10).selectExpr("id as Id", "id * 2 as Sort")
+    out = lookup_left_join(left, lookup, "k", "Id", {"Sort": "AreaId"})
+    nulls = out.filter("k is null").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in nulls) == 4000 and max(r["count"] for r in nulls) < 1000
+    assert "Generate" not in plan(out)
+
+
+def test_only_hot_keys_of_the_lookup_are_repeated(spark, conf):
+    conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    left = spark.range(0, 8000).selectExpr("id", "if(id % 2 = 0, 7, id % 1000) as k")
+    lookup = spark.range(0, 1000).selectExpr("id as Id", "id * 2 as Sort")
+    for hot_keys in (None, [7], []):
+        out = lookup_left_join(left, lookup, "k", "Id", {"Sort": "AreaId"}, salts=8, hot_keys=hot_keys)
+        assert out.filter("AreaId = k * 2").count() == 8000
+        sizes = [r["count"] for r in out.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()]
+        assert (len(sizes) > 1) == (hot_keys != [])
+
+
+def test_many_copies_are_repeated_in_parts(spark, monkeypatch):
+    monkeypatch.setattr("hitloom.operators.lookup._BLOCK_ROWS", 3)
+    lookup = spark.createDataFrame([("A", 1)] * 10 + [("B", 2)] * 3 + [("C", 3)], "Id string, Sort int")
+    left = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (4, "D")], "n int, k string")
+    out = lookup_left_join(left, lookup, "k", "Id", {"Sort": "Sort"}, fold_copies=True)
+    assert bag(out.select("n")) == Counter({(1,): 10, (2,): 3, (3,): 1, (4,): 1})

@@ -99,3 +99,59 @@ def test_paths_can_have_a_prefix_and_bronze_can_be_foreign(spark, tmp_path):
         )
     assert gold.count() == 6
     assert (tmp_path / "lake" / "my-area-by-numbers" / "gold").is_dir()
+
+
+def test_names_in_other_case_give_the_same_rows_through_all_layers(spark, tmp_path, export):
+    hit = json.loads(json.dumps(NUMBERS).replace('"area_id"', '"Area_ID"'))
+    root = str(tmp_path / "lake")
+    area = {"areas": {"layout": "indented"}}
+    made = run_topics(
+        spark,
+        {"areas": export("areas", AREA), "area-by-numbers": export("numbers", hit)},
+        root,
+        topic_options=area,
+        layout="document",
+    )
+    lookups = {"areas": made["areas"]}
+    hits = read_hits(spark, layer_path(root, "area-by-numbers", "bronze"))
+    assert bag(made["area-by-numbers"]) == bag(curate(hits, TOPICS["area-by-numbers"], lookups))
+    assert made["area-by-numbers"].filter("AreaId is not null").count() > 0
+
+
+def test_topics_have_options_of_their_own(spark, tmp_path, export):
+    schemas = {
+        name: spark.createDataFrame([], rows.schema).schema
+        for name, rows in (("areas", records.areas_hits(spark, SF_SMALL)), ("stories", records.stories_hits(spark, SF_SMALL)))
+    }
+    exports = {}
+    for name, rows in (("areas", records.areas_hits(spark, SF_SMALL)), ("stories", records.stories_hits(spark, SF_SMALL))):
+        exports[name] = str(tmp_path / name)
+        rows.limit(20).write.json(exports[name])
+    options = {
+        "areas": {"schema": schemas["areas"], "gold_fn": lambda df: df.groupBy("Kind").count()},
+        "stories": {"schema": schemas["stories"]},
+    }
+    made = run_topics(spark, exports, str(tmp_path / "lake"), topic_options=options)
+    assert made["areas"].columns == ["Kind", "count"] and "Title" in made["stories"].columns
+    with pytest.raises(ValueError, match="unknown"):
+        run_topics(spark, exports, str(tmp_path / "lake"), topic_options={"unknown": {}})
+
+
+def test_indent_reaches_the_export(spark, tmp_path):
+    path = tmp_path / "two.json"
+    path.write_text(json.dumps([AREA], indent=2))
+    gold = run_topic(spark, TOPICS["areas"], str(tmp_path / "lake"), str(path), "indented", indent=2)
+    assert gold.count() == 2
+
+
+def test_bad_lines_fail_a_topic_or_are_kept_as_rejects(spark, tmp_path):
+    path = tmp_path / "numbers.json"
+    path.write_text(json.dumps(NUMBERS) + "\n" + json.dumps(NUMBERS)[:-9] + "\n")
+    root = str(tmp_path / "lake")
+    records.areas_hits(spark, SF_SMALL).limit(3).write.json(str(tmp_path / "areas"))
+    run_topic(spark, TOPICS["areas"], root, str(tmp_path / "areas"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run_topic(spark, TOPICS["area-by-numbers"], root, str(path))
+    gold = run_topic(spark, TOPICS["area-by-numbers"], root, str(path), rejects=True)
+    assert gold.count() == 3 and gold.filter("PeriodName is null").count() == 0
+    assert spark.read.text(layer_path(root, "area-by-numbers", "rejects")).count() == 1

@@ -185,3 +185,20 @@ def test_unpack_agrees_with_its_definition(spark, case):
     schema, rows = case
     result = unpack(spark.createDataFrame(rows, schema))
     assert bag(result) == brute_bag(rows, schema, result.columns)
+
+
+def test_explode_names_follow_the_session_s_case_rule(spark, conf):
+    df = spark.createDataFrame([(1, [1, 2])], "id int, flag array<int>")
+    assert explode_outer_all(df, ["Flag"]).count() == 2
+    with pytest.raises(ValueError, match="flags"):
+        explode_outer_all(df, ["flags"])
+    conf(spark__sql__caseSensitive="true")
+    with pytest.raises(ValueError, match="Flag"):
+        explode_outer_all(df, ["Flag"])
+
+
+def test_spread_does_not_change_a_hot_record_s_rows(spark):
+    from hitloom.workload.records import hot_record_hits
+
+    hits = hot_record_hits(spark, SF_SMALL)
+    assert bag(unpack(hits, spread=5)) == bag(unpack(hits))

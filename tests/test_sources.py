@@ -11,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql.types import StructType
 
 from hitloom.operators.nested import unpack
-from hitloom.sources.hits import land_bronze, narrow_schema, read_hits, write_bronze
+from hitloom.sources.hits import land_bronze, narrow_schema, read_hits, split_rejects, write_bronze
 from hitloom.sources.tables import layer_path, read_table, write_table
 from hitloom.workload import records
 
@@ -127,9 +127,10 @@ def test_inference_widens_conflicting_types_to_string(spark, tmp_path):
 @pytest.mark.parametrize("layout", ["document", "indented"])
 def test_many_documents_land_together(spark, tmp_path, layout):
     hits = records.order_hits(spark, SF_SMALL)
-    records.write_documents(hits, str(tmp_path / "export"), hits_per_document=100)
+    records.write_documents(records.hit_lines(hits), str(tmp_path / "export"), document_bytes=20_000)
     files = list((tmp_path / "export").glob("part-*"))
-    assert len(files) == 15 and all(len(json.loads(f.read_text())) == 100 for f in files)
+    assert len(files) > 10 and all(f.stat().st_size < 21_000 for f in files)
+    assert sum(len(json.loads(f.read_text())) for f in files) == hits.count()
     land_bronze(spark, str(tmp_path / "export"), str(tmp_path / "bronze"), layout)
     landed = read_hits(spark, str(tmp_path / "bronze"), schema=hits.schema)
     assert bag(unpack(landed)) == bag(unpack(hits))
@@ -181,3 +182,84 @@ def test_tables_are_replaced_whole(spark, tmp_path, fmt):
 def test_write_options_reach_the_writer(spark, tmp_path):
     write_table(spark.range(0, 10, 1, 1), str(tmp_path / "t"), maxRecordsPerFile="4")
     assert len(list((tmp_path / "t").glob("part-*"))) == 3
+
+
+# --- nothing is lost without a word -----------------------------------------------------
+
+HIT = '{"_id":"%s","_index":"i","_score":null,"sort":[%d],"_source":{"name":"n","total":%s}}'
+HITS_DDL = "_id string, _index string, _score double, sort array<bigint>, _source struct<name:string,total:bigint>"
+
+
+def _lines(tmp_path, *lines):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines) + "\n")
+    return str(tmp_path / "in")
+
+
+@pytest.mark.parametrize("schema", [None, HITS_DDL])
+def test_a_malformed_line_fails(spark, tmp_path, schema):
+    path = _lines(tmp_path, HIT % (1, 1, 5), '{"_id":"2","_source":{"na')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_hits(spark, path, schema=schema).collect()
+
+
+def test_a_value_of_another_type_than_the_schema_s_fails(spark, tmp_path):
+    path = _lines(tmp_path, HIT % (1, 1, 5), HIT % (2, 2, '"many"'))
+    with pytest.raises(Exception, match="(?i)malformed|cannot"):
+        read_hits(spark, path, schema=HITS_DDL).collect()
+
+
+@pytest.mark.parametrize("schema", [None, HITS_DDL])
+def test_rejects_are_kept_apart(spark, tmp_path, schema):
+    bad = ['{"_id":"2","_source":{"na', "[1]", "7"] + ([HIT % (4, 4, '"many"')] if schema else [])
+    path = _lines(tmp_path, HIT % (1, 1, 5), *bad, "", HIT % (5, 5, "null"))
+    good, rejected = split_rejects(spark, path, schema)
+    assert sorted(r._id for r in good.collect()) == ["1", "5"]
+    assert sorted(r.value for r in rejected.collect()) == sorted(bad)
+    assert dict(good.dtypes)["_score"] == "double"
+
+
+def test_the_envelope_has_its_types_whatever_was_inferred(spark, tmp_path):
+    types = dict(read_hits(spark, _lines(tmp_path, HIT % (1, 1, 5))).dtypes)
+    assert (types["_id"], types["_index"], types["_score"]) == ("string", "string", "double")
+
+
+PRETTY = '[\n    {\n        "_id": "1",\n        "n": 1\n    },\n    {\n        "_id": "2",\n        "n": 2\n    }\n]'
+
+
+def _export(tmp_path, text):
+    (tmp_path / "export.json").write_text(text)
+    return str(tmp_path / "export.json")
+
+
+@pytest.mark.parametrize("end", [len(PRETTY) - 2, len(PRETTY) - 8, PRETTY.index('"n": 2') - 10, PRETTY.index("    },") + 6])
+def test_a_truncated_indented_export_fails(spark, tmp_path, end):
+    with pytest.raises(ValueError, match="cut off"):
+        land_bronze(spark, _export(tmp_path, PRETTY[:end]), str(tmp_path / "b"), "indented")
+
+
+@pytest.mark.parametrize("end", [len(PRETTY) - 2, PRETTY.index('"n": 2')])
+def test_a_truncated_document_fails(spark, tmp_path, end):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        land_bronze(spark, _export(tmp_path, PRETTY[:end]), str(tmp_path / "b"), "document")
+
+
+def test_the_default_layout_refuses_an_array(spark, tmp_path):
+    for k, text in enumerate((PRETTY, '[{"_id":"1"}]')):
+        with pytest.raises(Exception, match="another layout"):
+            land_bronze(spark, _export(tmp_path, text), str(tmp_path / f"b{k}"))
+
+
+def test_documents_keep_each_hit_s_own_structure(spark, tmp_path):
+    text = '[{"b": {"x": [1, {"y": null}]}, "a": 1},\n {"b": "text\\n\\u00e9", "c": {}}, {"b": 2}]'
+    land_bronze(spark, _export(tmp_path, text), str(tmp_path / "b"), "document")
+    found = [r.value for r in spark.read.text(str(tmp_path / "b")).collect()]
+    assert [json.loads(v) for v in found] == json.loads(text)
+    assert [list(json.loads(v)) for v in found] == [["b", "a"], ["b", "c"], ["b"]]
+
+
+def test_one_object_and_an_empty_array_are_documents_too(spark, tmp_path):
+    land_bronze(spark, _export(tmp_path, ' {"_id": "1"}\n'), str(tmp_path / "b1"), "document")
+    assert [json.loads(r.value) for r in spark.read.text(str(tmp_path / "b1")).collect()] == [{"_id": "1"}]
+    land_bronze(spark, _export(tmp_path, "[]\n"), str(tmp_path / "b2"), "document")
+    assert spark.read.text(str(tmp_path / "b2")).count() == 0
