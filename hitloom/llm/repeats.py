@@ -143,20 +143,41 @@ def _unpacked(blob: bytes, *kinds: str) -> tuple[list[np.ndarray], bytes]:
     return made, data[at:]
 
 
-_PART = pa.schema([("bucket", pa.int32()), ("did", pa.int64()), ("data", pa.binary())])
-_PART_DDL = "bucket int, did long, data binary"
+# What tasks send: data for a bucket, or (owner set) results for a share of the documents, which buckets pass on.
+_PART = pa.schema([("bucket", pa.int32()), ("owner", pa.int32()), ("data", pa.binary())])
+_PART_DDL = "bucket int, owner int, data binary"
+_RESULT_DDL = "owner int, data binary"
 
 
 def _part_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), _PART.types)], names=_PART.names)
 
 
-def _by_document(did: np.ndarray, table: np.ndarray) -> list[tuple[int, bytes]]:
-    """Rows of a table of int64, one blob per document."""
-    order = np.argsort(did, kind="stable")
-    did, table = did[order], np.ascontiguousarray(table[order])
-    cuts = np.flatnonzero(np.r_[True, did[1:] != did[:-1], True]) if len(did) else np.zeros(1, dtype=int)
-    return [(int(did[a]), table[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal values begin and end."""
+    cuts = np.flatnonzero(np.r_[True, values[1:] != values[:-1], True]).tolist() if len(values) else [0]
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
+def _by_owner(table: np.ndarray, owners: int) -> list[tuple[int, bytes]]:
+    """Rows of a table of int64 whose first column is the document, one blob per share of the documents."""
+    owner = table[:, 0] % owners
+    order = np.argsort(owner, kind="stable")
+    owner, table = owner[order], np.ascontiguousarray(table[order])
+    return [(int(owner[a]), _packed(*table[a:b].T.copy())) for a, b in _runs(owner)]
+
+
+def _by_document(columns: int):
+    """Results of a share of the documents, one row per document: its table without the first column."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        tables = [np.stack(_unpacked(x, *["i8"] * columns)[0], axis=1) for x in frame["data"]]
+        table = np.concatenate(tables)
+        table = np.ascontiguousarray(table[np.argsort(table[:, 0], kind="stable")])
+        rows = [(table[a, 0], table[a:b, 1:].tobytes()) for a, b in _runs(table[:, 0])]
+        return pd.DataFrame(rows, columns=["did", "data"])
+
+    return run
 
 
 def _documents(batch: pa.RecordBatch, size: int = 64):
@@ -168,7 +189,7 @@ def _documents(batch: pa.RecordBatch, size: int = 64):
         yield did[low : low + size], tie[low : low + size], texts, more
 
 
-def _send_anchors(buckets: int):
+def _send_anchors(buckets: int, owners: int):
     """Pass 1: hashes of anchors to their buckets; anchors that occur twice in a task are known at once."""
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
@@ -178,8 +199,8 @@ def _send_anchors(buckets: int):
         new = np.r_[True, h[1:] != h[:-1]]
         twin = ~new | ~np.r_[new[1:], True]
         rows = []
-        for d, data in _by_document(did[twin], np.stack([tie[twin], place[twin]], axis=1)):
-            rows.append((d % buckets, d, data))
+        for k, data in _by_owner(np.stack([did[twin], tie[twin], place[twin]], axis=1), owners):
+            rows.append((k % buckets, k, data))
         many = twin[new].astype(np.uint8)
         h, did, tie, place = h[new], did[new], tie[new], place[new]
         bucket = (h % np.uint64(buckets)).astype(np.int32)
@@ -207,32 +228,51 @@ def _send_anchors(buckets: int):
     return run
 
 
-def _find_again(frame: pd.DataFrame) -> pd.DataFrame:
+def _find_again(owners: int):
     """A bucket of pass 1: the places of anchors whose hash occurs again."""
-    known = frame[frame["did"].notna()]
-    rows = list(zip(known["did"].astype("int64"), known["data"]))
-    blobs = [_unpacked(x, "u8", "i8", "i4", "i8", "u1")[0] for x in frame.loc[frame["did"].isna(), "data"]]
-    if blobs:
-        h, did, tie, place, many = (np.concatenate(c) for c in zip(*blobs))
-        order = np.argsort(h, kind="stable")
-        sorted_h = h[order]
-        same = np.r_[False, sorted_h[1:] == sorted_h[:-1]]
-        again = np.zeros(len(h), dtype=bool)
-        again[order] = same | np.r_[same[1:], False]
-        again |= many.astype(bool)
-        rows += _by_document(did[again], np.stack([tie[again].astype(np.int64), place[again]], axis=1))
-    return pd.DataFrame(rows, columns=["did", "data"])
 
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        known = frame[frame["owner"].notna()]
+        rows = list(zip(known["owner"].astype("int32"), known["data"]))
+        blobs = [_unpacked(x, "u8", "i8", "i4", "i8", "u1")[0] for x in frame.loc[frame["owner"].isna(), "data"]]
+        if blobs:
+            h, did, tie, place, many = (np.concatenate(c) for c in zip(*blobs))
+            order = np.argsort(h, kind="stable")
+            sorted_h = h[order]
+            same = np.r_[False, sorted_h[1:] == sorted_h[:-1]]
+            again = np.zeros(len(h), dtype=bool)
+            again[order] = same | np.r_[same[1:], False]
+            again |= many.astype(bool)
+            rows += _by_owner(np.stack([did[again], tie[again].astype(np.int64), place[again]], axis=1), owners)
+        return pd.DataFrame(rows, columns=["owner", "data"])
+
+    return run
+
+
+def _contexts(batch: pa.RecordBatch, finder: Anchors) -> Iterator[tuple[int, int, int, int, int, bytes]]:
+    """(document, tie, first window, anchor, hash, bytes) for each marked anchor of a batch of (did, tie, t, marks)."""
+    for did, tie, texts, marks in _documents(batch):
+        wanted = []
+        for k, data in enumerate(marks):
+            table = np.frombuffer(data, dtype=np.int64).reshape(-1, 2)
+            wanted.append(table[table[:, 0] == tie[k], 1])
+        for text, place, h, first, last in finder.of(texts):
+            for k in np.unique(text):
+                own = np.flatnonzero(text == k)
+                own = own[np.isin(place[own], wanted[k])]
+                d, e, t = int(did[k]), int(tie[k]), texts[k]
+                for p, v, a, z in zip(*(x[own].tolist() for x in (place, h, first, last))):
+                    yield d, e, a, p, v, t[a : z + LENGTH]
 
-def _send_contexts(buckets: int):
+
+def _send_contexts(buckets: int, owners: int):
     """Pass 2: the bytes of the windows of such anchors, each different context of a task once."""
 
     def flush(held: dict[bytes, tuple], spans: list) -> Iterator[pa.RecordBatch]:
         rows = []
         if spans:
-            table = np.array(spans, dtype=np.int64)
-            for d, data in _by_document(table[:, 0], table[:, 1:]):
-                rows.append((d % buckets, d, data))
+            for k, data in _by_owner(np.array(spans, dtype=np.int64), owners):
+                rows.append((k % buckets, k, data))
         contexts = list(held)
         did, tie, first, offset, h = (np.array(c) for c in zip(*held.values()))
         h = h.astype(np.uint64)
@@ -252,24 +292,13 @@ def _send_contexts(buckets: int):
         held: dict[bytes, tuple] = {}
         spans: list[tuple] = []
         for batch in batches:
-            for did, tie, texts, marks in _documents(batch):
-                wanted = []
-                for k, blobs in enumerate(marks):
-                    table = np.frombuffer(b"".join(blobs), dtype=np.int64).reshape(-1, 2)
-                    wanted.append(table[table[:, 0] == tie[k], 1])
-                for text, place, h, first, last in finder.of(texts):
-                    for k in np.unique(text):
-                        own = np.flatnonzero(text == k)
-                        own = own[np.isin(place[own], wanted[k])]
-                        d, e, t = int(did[k]), int(tie[k]), texts[k]
-                        for p, v, a, z in zip(place[own].tolist(), h[own].tolist(), first[own].tolist(), last[own].tolist()):
-                            context = t[a : z + LENGTH]
-                            now = (d, e, a, p - a, v)
-                            before = held.setdefault(context, now)
-                            if before is not now:
-                                if now[:3] < before[:3]:
-                                    held[context], now = now, before
-                                spans.append((now[0], now[1], now[2], now[2] + len(context)))
+            for d, e, a, p, v, context in _contexts(batch, finder):
+                now = (d, e, a, p - a, v)
+                before = held.setdefault(context, now)
+                if before is not now:
+                    if now[:3] < before[:3]:
+                        held[context], now = now, before
+                    spans.append((now[0], now[1], now[2], now[2] + len(context)))
                 if len(held) + len(spans) >= HELD_CONTEXTS:
                     yield from flush(held, spans)
                     held, spans = {}, []
@@ -279,6 +308,33 @@ def _send_contexts(buckets: int):
     return run
 
 
+def _context_id(context: bytes, h: int) -> bytes:
+    return hashlib.blake2b(context, digest_size=16, key=h.to_bytes(8, "little")).digest()
+
+
+_OCCURRENCES = "context binary, did long, tie int, place long"
+
+
+def _list_occurrences(batches) -> Iterator[pa.RecordBatch]:
+    """Every marked anchor with the id of its context."""
+    finder = Anchors()
+    kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int64())
+    names = [x.split()[0] for x in _OCCURRENCES.split(", ")]
+    rows: list[tuple] = []
+
+    def batch_of() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    for batch in batches:
+        for d, e, _, p, v, context in _contexts(batch, finder):
+            rows.append((_context_id(context, v), d, e, p))
+            if len(rows) >= 50_000:
+                yield batch_of()
+                rows.clear()
+    if rows:
+        yield batch_of()
+
+
 def _common(a: bytes, b: bytes) -> int:
     """Length of the common prefix."""
     n = min(len(a), len(b))
@@ -332,48 +388,81 @@ def maximal_groups(lefts: list[bytes], rights: list[bytes], length: int = LENGTH
                 yield left, depth, group
 
 
-def _find_repeats(frame: pd.DataFrame) -> pd.DataFrame:
-    """A bucket of pass 2: the repeated spans (tie, start, end) of documents."""
-    known = frame[frame["did"].notna()]
-    rows = list(zip(known["did"].astype("int64"), known["data"]))
+def _find_repeats(owners: int):
+    """A bucket of pass 2: the repeated spans (document, tie, start, end)."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        known = frame[frame["owner"].notna()]
+        rows = list(zip(known["owner"].astype("int32"), known["data"]))
+        if spans := _repeats_of(frame.loc[frame["owner"].isna(), "data"]):
+            rows += _by_owner(np.array(spans, dtype=np.int64), owners)
+        return pd.DataFrame(rows, columns=["owner", "data"])
+
+    return run
+
+
+def _anchor_groups(blobs) -> Iterator[tuple[int, list[tuple], list[bytes], list[int]]]:
+    """Per anchor with several contexts: its hash, their first occurrences, their bytes and the anchor's offsets in them."""
     arrays, texts = [], []
-    for blob in frame.loc[frame["did"].isna(), "data"]:
+    for blob in blobs:
         part, tail = _unpacked(blob, "u8", "i8", "i4", "i8", "i4", "i4")
         arrays.append(part)
         ends = np.cumsum(part[5]).tolist()
         texts += [tail[a:b] for a, b in zip([0, *ends], ends)]
-    if arrays:
-        h, did, tie, first, offset, _ = (np.concatenate(c) for c in zip(*arrays))
-        order = np.argsort(h, kind="stable")
-        cuts = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1], True])
-        did, tie, first, offset = did.tolist(), tie.tolist(), first.tolist(), offset.tolist()
-        spans = []
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if b - a < 2:
-                continue
-            own = order[a:b].tolist()
-            rights = [texts[k][offset[k] :] for k in own]
-            lefts = [texts[k][: offset[k]][::-1] for k in own]
-            seen = [(did[k], tie[k], first[k]) for k in own]
-            reach: dict[int, list[int]] = {}
-            for left, right, group in maximal_groups(lefts, rights):
-                earliest = min(group, key=seen.__getitem__)
-                for k in group:
-                    if k != earliest:
-                        most = reach.setdefault(k, [left, right])
-                        most[0], most[1] = max(most[0], left), max(most[1], right)
-            for k, (left, right) in reach.items():
-                at = first[own[k]] + offset[own[k]]
-                spans.append((did[own[k]], tie[own[k]], at - left, at + right))
-        if spans:
-            table = np.array(spans, dtype=np.int64)
-            rows += _by_document(table[:, 0], table[:, 1:])
-    return pd.DataFrame(rows, columns=["did", "data"])
-
-
-def merged_spans(tie: int, blobs: list[bytes] | None) -> np.ndarray:
+    if not arrays:
+        return
+    h, did, tie, first, offset, _ = (np.concatenate(c) for c in zip(*arrays))
+    order = np.argsort(h, kind="stable")
+    did, tie, first, offset = did.tolist(), tie.tolist(), first.tolist(), offset.tolist()
+    for a, b in _runs(h[order]):
+        own = order[a:b].tolist()
+        yield int(h[own[0]]), [(did[k], tie[k], first[k]) for k in own], [texts[k] for k in own], [offset[k] for k in own]
+
+
+def _repeats_of(blobs) -> list[tuple[int, int, int, int]]:
+    spans: list[tuple[int, int, int, int]] = []
+    for _, seen, texts, offsets in _anchor_groups(blobs):
+        if len(seen) < 2:
+            continue
+        rights = [t[o:] for t, o in zip(texts, offsets)]
+        lefts = [t[:o][::-1] for t, o in zip(texts, offsets)]
+        reach: dict[int, list[int]] = {}
+        for left, right, group in maximal_groups(lefts, rights):
+            earliest = min(group, key=seen.__getitem__)
+            for k in group:
+                if k != earliest:
+                    most = reach.setdefault(k, [left, right])
+                    most[0], most[1] = max(most[0], left), max(most[1], right)
+        for k, (left, right) in reach.items():
+            at = seen[k][2] + offsets[k]
+            spans.append((seen[k][0], seen[k][1], at - left, at + right))
+    return spans
+
+
+_GROUPS = "context binary, repeat binary, left int, length int"
+
+
+def _find_groups(frame: pd.DataFrame) -> pd.DataFrame:
+    """A bucket of pass 2: which contexts belong to which maximal repeats, named by a digest of their bytes."""
+    rows: dict[tuple, None] = {}
+    for h, _, texts, offsets in _anchor_groups(frame.loc[frame["owner"].isna(), "data"]):
+        distinct = list(dict(zip(texts, offsets)).items())
+        rights = [t[o:] for t, o in distinct]
+        lefts = [t[:o][::-1] for t, o in distinct]
+        found = [(left, right, group) for left, right, group in maximal_groups(lefts, rights)]
+        # A whole context may occur many times and still be a repeat that goes no further.
+        found += [(o, len(t) - o, [k]) for k, (t, o) in enumerate(distinct)]
+        for left, right, group in found:
+            t, o = distinct[group[0]]
+            name = hashlib.blake2b(t[o - left : o + right], digest_size=16).digest()
+            for k in group:
+                rows[_context_id(distinct[k][0], h), name, left, left + right] = None
+    return pd.DataFrame(list(rows), columns=["context", "repeat", "left", "length"])
+
+
+def merged_spans(tie: int, data: bytes | None) -> np.ndarray:
     """Maximal runs (start, end) of a document's repeated spans."""
-    table = np.frombuffer(b"".join(blobs or []), dtype=np.int64).reshape(-1, 3)
+    table = np.frombuffer(data or b"", dtype=np.int64).reshape(-1, 3)
     table = table[table[:, 0] == tie, 1:]
     if not len(table):
         return table
@@ -392,32 +481,67 @@ def _documents_of(docs: DataFrame, key: str, text: str) -> DataFrame:
     return dealt.select("did", tie.alias("tie"), "t", key)
 
 
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The documents (did, tie, t, key) and, for those with repeats, (did, spans): blobs for `merged_spans`."""
-    spark = docs.sparkSession
-    base = _documents_of(docs, key, text)
-    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lists = F.collect_list("data")
-    again = (
-        base.select("did", "tie", "t")
-        .mapInArrow(_send_anchors(buckets), _PART_DDL)
+def _marked(base: DataFrame, owners: int, buckets: int) -> DataFrame:
+    """(did, marks): for documents with anchors that occur again, their places."""
+    return (
+        base.mapInArrow(_send_anchors(buckets, owners), _PART_DDL)
         .groupBy("bucket")
-        .applyInPandas(_find_again, "did long, data binary")
-        .groupBy("did")
-        .agg(lists.alias("marks"))
+        .applyInPandas(_find_again(owners), _RESULT_DDL)
+        .groupBy("owner")
+        .applyInPandas(_by_document(3), "did long, data binary")
+        .withColumnRenamed("data", "marks")
     )
+
+
+def _shares(docs: DataFrame) -> tuple[int, int]:
+    """Shares of the documents, and buckets of anchors: both follow the session's shuffle partitions."""
+    owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return owners, BUCKETS * owners
+
+
+def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The documents (did, tie, t, key) and, for those with repeats, (did, spans): data for `merged_spans`.
+
+    Every use of the documents has the same columns, so that Spark reuses their exchange.
+    """
+    base = _documents_of(docs, key, text)
+    owners, buckets = _shares(docs)
     spans = (
-        base.join(again, "did")
-        .select("did", "tie", "t", "marks")
-        .mapInArrow(_send_contexts(buckets), _PART_DDL)
+        base.join(_marked(base, owners, buckets), "did")
+        .select("did", "tie", "t", "marks", key)
+        .mapInArrow(_send_contexts(buckets, owners), _PART_DDL)
         .groupBy("bucket")
-        .applyInPandas(_find_repeats, "did long, data binary")
-        .groupBy("did")
-        .agg(lists.alias("spans"))
+        .applyInPandas(_find_repeats(owners), _RESULT_DDL)
+        .groupBy("owner")
+        .applyInPandas(_by_document(4), "did long, data binary")
+        .withColumnRenamed("data", "spans")
     )
     return base, spans
 
 
+def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(repeat, length, key, start): all occurrences of the maximal repeats of ``LENGTH`` bytes or more.
+
+    ``repeat`` is a digest of the bytes. A repeat longer than its anchors'
+    windows is listed once per anchor, each group reaching as far as these
+    windows do. There is one row per occurrence and group.
+    """
+    base = _documents_of(docs, key, text)
+    owners, buckets = _shares(docs)
+    marked = base.join(_marked(base, owners, buckets), "did").select("did", "tie", "t", "marks", key)
+    groups = (
+        marked.mapInArrow(_send_contexts(buckets, owners), _PART_DDL).groupBy("bucket").applyInPandas(_find_groups, _GROUPS)
+    )
+    occurrences = marked.mapInArrow(_list_occurrences, _OCCURRENCES)
+    found = occurrences.join(groups, "context").select(
+        "repeat", "length", "did", "tie", (F.col("place") - F.col("left")).alias("start")
+    )
+    often = found.distinct()
+    counts = often.groupBy("repeat").agg(F.count("*").alias("n")).filter("n > 1").select("repeat")
+    names = base.select(F.col("did"), F.col("tie"), F.col(key))
+    return often.join(counts, "repeat").join(names, ["did", "tie"]).select("repeat", "length", key, "start")
+
+
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kept_text: bool = False) -> DataFrame:
     """(key, n_bytes, n_removed, spans, kept_sha256) for every row; spans are (start, end) in bytes.
 
@@ -432,8 +556,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kept_text:
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
             for did, tie, texts, found in _documents(batch):
-                for e, t, blobs in zip(tie.tolist(), texts, found):
-                    cuts = merged_spans(e, blobs).tolist()
+                for e, t, data in zip(tie.tolist(), texts, found):
+                    cuts = merged_spans(e, data).tolist()
                     left = b"".join(t[a:b] for a, b in zip([0, *(z for _, z in cuts)], [*(a for a, _ in cuts), len(t)]))
                     values = (
                         len(t),
