@@ -32,7 +32,7 @@ from hitloom.llm.simhash import near_duplicates
 
 MIN_LANGUAGE_SCORE = 0.4
 
-_ROW = "_row_number"
+_ROW = "__hitloom_row"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -46,8 +46,8 @@ def _without(numbered: DataFrame, rows: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(training_texts(docs, fold(F.col("doc_id"), 5) != 0))
-    known = (F.col("_lang_pred") != UNDETERMINED) & (F.col("_lang_score") >= MIN_LANGUAGE_SCORE)
-    return with_language(docs, model).filter(known).select(*docs.columns)
+    known = (F.col("__hitloom_lang_pred") != UNDETERMINED) & (F.col("__hitloom_lang_score") >= MIN_LANGUAGE_SCORE)
+    return with_language(docs, model, prefix="__hitloom_lang").filter(known).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -198,11 +198,11 @@ def mask_secrets(docs: DataFrame, text: str = "text", ledger: str | None = None,
     spark = docs.sparkSession
     ledger = ledger or f"{scratch_dir(spark)}/ledger"
     scan(docs, ledger, text, rules)
-    found = saved(blob_findings(spark, ledger, rules).select(F.col("blob").alias("_blob")), "findings")
+    found = saved(blob_findings(spark, ledger, rules).select(F.col("blob").alias("__hitloom_blob")), "findings")
     return (
-        docs.withColumn("_sha", F.sha2(whole_text(text), 256))
-        .join(small_side(found), F.col("_sha") == F.col("_blob"), "left")
-        .withColumn(text, F.when(F.col("_blob").isNotNull(), masked(F.col(text), rules)).otherwise(F.col(text)))
+        docs.withColumn("__hitloom_sha", F.sha2(whole_text(text), 256))
+        .join(small_side(found), F.col("__hitloom_sha") == F.col("__hitloom_blob"), "left")
+        .withColumn(text, F.when(F.col("__hitloom_blob").isNotNull(), masked(F.col(text), rules)).otherwise(F.col(text)))
         .select(*docs.columns)
     )
 

@@ -42,6 +42,18 @@ def test_stages_take_unusual_and_empty_documents(spark):
                 assert made.dtypes == docs.dtypes, name
 
 
+def test_stages_keep_extra_columns_with_clashing_names(spark):
+    extra = {"_lang_pred": "a", "fp": "b", "component": "c", "key": "d", "h": "e", "blob": "f", "item_id": "g", "w": "h", "tie": "i"}
+    docs = unusual(spark, [(1, "one two three"), (2, "the of and to in"), (None, "x y z")])
+    for name, value in extra.items():
+        docs = docs.withColumn(name, F.lit(value))
+    for name, run in corpus_pipeline.STAGES[:-1]:
+        made = run(spark, docs, SF_TINY)
+        assert made.columns == docs.columns, name
+        assert all(r[c] == v for r in made.collect() for c, v in extra.items()), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_TINY).count() == 3
+
+
 def test_one_document_of_each_group_stays(spark):
     same = "one two three four five six"
     rows = [(5, same), (3, same), (3, same), (None, same), (9, same.upper()), (7, "something else here now"), (None, None), (1, "")]

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from llm_cases import LONG, TEXTS, docs
 
 from hitloom.llm import repeats as module
-from hitloom.llm.repeats import maximal_groups, repeats
+from hitloom.llm.repeats import maximal_groups, repeat_groups, repeats
 
 
 def brute(rows):
@@ -100,3 +100,35 @@ def test_groups_are_all_maximal_repeats_around_the_anchor(pairs, length):
                 if len(group) > 1 and prefix([lefts[k] for k in group]) == left and prefix([rights[k] for k in group]) == right:
                     expected.add((left, right, tuple(sorted(group))))
     assert {(x, y, tuple(sorted(g))) for x, y, g in maximal_groups(lefts, rights, length)} == expected
+
+
+def test_groups_list_all_occurrences(spark):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ij") for _ in range(n))
+    a, b = text(140), text(110)
+    rows = [(1, text(60) + a + text(40)), (2, text(30) + a + b), (3, b + text(50) + a), (4, text(300)), (5, a), (6, a)]
+    found = repeat_groups(docs(spark, rows)).collect()
+    by_group = {}
+    for r in found:
+        by_group.setdefault((bytes(r["repeat"]), r.length), set()).add((r.doc_id, r.start))
+    bytes_of = {i: t.encode() for i, t in rows}
+    covered = {}
+    for (_, length), places in by_group.items():
+        strings = {bytes_of[i][s : s + length] for i, s in places}
+        assert len(strings) == 1 and length >= 100 and len(places) > 1
+        (string,) = strings
+        everywhere = {(i, s) for i, t in bytes_of.items() for s in range(len(t)) if t.startswith(string, s)}
+        assert places == everywhere
+        for i, s in places:
+            covered.setdefault(i, set()).update(range(s, s + length))
+    # Together the groups cover what occurs more than once, first occurrences included.
+    windows = {}
+    for i, t in bytes_of.items():
+        for s in range(len(t) - 99):
+            windows.setdefault(t[s : s + 100], []).append((i, s))
+    expected = {}
+    for places in windows.values():
+        if len(places) > 1:
+            for i, s in places:
+                expected.setdefault(i, set()).update(range(s, s + 100))
+    assert covered == expected
