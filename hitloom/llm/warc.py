@@ -40,6 +40,7 @@ DICTIONARY_MAGIC = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 DICTIONARY_BYTES = 64 << 10
+SAMPLE_SHARE = 50  # a dictionary is no more than this part of what it was trained on
 SAMPLE_BYTES = 4 << 20
 ARCHIVE_BYTES = 64 << 20
 LEVEL = 6
@@ -101,7 +102,8 @@ class ArchiveWriter:
     def _start(self) -> None:
         self._out = self.files.open_output_stream(self._at, compression=None)
         try:
-            trained = zstandard.train_dictionary(DICTIONARY_BYTES, self._first, level=LEVEL)
+            size = max(256, min(DICTIONARY_BYTES, self._held // SAMPLE_SHARE))
+            trained = zstandard.train_dictionary(size, self._first, level=LEVEL)
         except zstandard.ZstdError:  # too few or too short records
             trained = None
         if trained:
