@@ -51,7 +51,7 @@ def test_stages_keep_extra_columns_with_clashing_names(spark):
         made = run(spark, docs, SF_TINY)
         assert made.columns == docs.columns, name
         assert all(r[c] == v for r in made.collect() for c, v in extra.items()), name
-    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_TINY).count() == 3
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_TINY).select("doc_id").distinct().count() == 3
 
 
 def test_one_document_of_each_group_stays(spark):
