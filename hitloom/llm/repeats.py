@@ -53,7 +53,7 @@ BLOCK = 1 << 19
 HELD_ANCHORS = 1 << 19
 HELD_CONTEXTS = 1 << 17
 #: Buckets for each shuffle partition.
-BUCKETS = 4
+BUCKETS = 1
 
 # An odd multiplier for rolling hashes modulo 2**64 and its inverse.
 _BASE = 6364136223846793005
