@@ -20,7 +20,11 @@ the windows' horizon; a longer repeat is the union of its anchors' groups.
 Copies cost little: contexts that are equal within a task are sent once, with
 their first occurrence, and the others are known to be repeated. So the bytes
 of a bucket grow with the number of different contexts, not with copies.
-Documents are shuffled once; that exchange serves all three passes.
+Documents get a number each when they are first written to the shared folder.
+They are spread and joined by that number only; the id just says which
+occurrence is earlier, so however many rows share an id, or have none, they are
+rows like any other. Documents are shuffled once; that exchange serves all three
+passes.
 
 Defined cases: null or empty text has no bytes; rows without an id come before
 all others; rows that share an id are separate documents, ordered by a hash of
@@ -38,10 +42,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import whole_text
+from hitloom.llm.common import scratch_dir, whole_text
 
 LENGTH = 100
 GRAM = 32
@@ -175,49 +179,49 @@ def _by_document(columns: int):
         table = np.concatenate(tables)
         table = np.ascontiguousarray(table[np.argsort(table[:, 0], kind="stable")])
         rows = [(table[a, 0], table[a:b, 1:].tobytes()) for a, b in _runs(table[:, 0])]
-        return pd.DataFrame(rows, columns=["did", "data"])
+        return pd.DataFrame(rows, columns=["row", "data"])
 
     return run
 
 
 def _documents(batch: pa.RecordBatch, size: int = 64):
-    """Slices of (did, tie, texts as bytes, other column) of a batch."""
-    did, tie = (batch.column(k).to_numpy() for k in (0, 1))
+    """Slices of (row, did, tie, texts as bytes, other column) of a batch."""
+    row, did, tie = (batch.column(k).to_numpy() for k in (0, 1, 2))
     for low in range(0, batch.num_rows, size):
-        texts = [x.as_py() for x in batch.column(2).slice(low, size)]
-        more = batch.column(3).slice(low, size).to_pylist() if batch.num_columns > 3 else None
-        yield did[low : low + size], tie[low : low + size], texts, more
+        texts = [x.as_py() for x in batch.column(3).slice(low, size)]
+        more = batch.column(4).slice(low, size).to_pylist() if batch.num_columns > 4 else None
+        yield row[low : low + size], did[low : low + size], tie[low : low + size], texts, more
 
 
 def _send_anchors(buckets: int, owners: int):
     """Pass 1: hashes of anchors to their buckets; anchors that occur twice in a task are known at once."""
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
-        h, did, tie, place = (np.concatenate(c) for c in zip(*held))
+        h, row, place = (np.concatenate(c) for c in zip(*held))
         order = np.argsort(h, kind="stable")
-        h, did, tie, place = h[order], did[order], tie[order], place[order]
+        h, row, place = h[order], row[order], place[order]
         new = np.r_[True, h[1:] != h[:-1]]
         twin = ~new | ~np.r_[new[1:], True]
         rows = []
-        for k, data in _by_owner(np.stack([did[twin], tie[twin], place[twin]], axis=1), owners):
+        for k, data in _by_owner(np.stack([row[twin], place[twin]], axis=1), owners):
             rows.append((k % buckets, k, data))
         many = twin[new].astype(np.uint8)
-        h, did, tie, place = h[new], did[new], tie[new], place[new]
+        h, row, place = h[new], row[new], place[new]
         bucket = (h % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b in range(buckets):
             k = order[cuts[b] : cuts[b + 1]]
             if len(k):
-                rows.append((b, None, _packed(h[k], did[k], tie[k].astype(np.int32), place[k], many[k])))
+                rows.append((b, None, _packed(h[k], row[k], place[k], many[k])))
         yield _part_batch(rows)
 
     def run(batches):
         finder, held, size = Anchors(), [], 0
         for batch in batches:
-            for did, tie, texts, _ in _documents(batch):
+            for row, _, _, texts, _ in _documents(batch):
                 for text, place, h, _, _ in finder.of(texts):
-                    held.append((h, did[text], tie[text].astype(np.int64), place))
+                    held.append((h, row[text], place))
                     size += len(h)
                 if size >= HELD_ANCHORS:
                     yield from flush(held)
@@ -234,35 +238,35 @@ def _find_again(owners: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         known = frame[frame["owner"].notna()]
         rows = list(zip(known["owner"].astype("int32"), known["data"]))
-        blobs = [_unpacked(x, "u8", "i8", "i4", "i8", "u1")[0] for x in frame.loc[frame["owner"].isna(), "data"]]
+        blobs = [_unpacked(x, "u8", "i8", "i8", "u1")[0] for x in frame.loc[frame["owner"].isna(), "data"]]
         if blobs:
-            h, did, tie, place, many = (np.concatenate(c) for c in zip(*blobs))
+            h, row, place, many = (np.concatenate(c) for c in zip(*blobs))
             order = np.argsort(h, kind="stable")
             sorted_h = h[order]
             same = np.r_[False, sorted_h[1:] == sorted_h[:-1]]
             again = np.zeros(len(h), dtype=bool)
             again[order] = same | np.r_[same[1:], False]
             again |= many.astype(bool)
-            rows += _by_owner(np.stack([did[again], tie[again].astype(np.int64), place[again]], axis=1), owners)
+            rows += _by_owner(np.stack([row[again], place[again]], axis=1), owners)
         return pd.DataFrame(rows, columns=["owner", "data"])
 
     return run
 
 
-def _contexts(batch: pa.RecordBatch, finder: Anchors) -> Iterator[tuple[int, int, int, int, int, bytes]]:
-    """(document, tie, first window, anchor, hash, bytes) for each marked anchor of a batch of (did, tie, t, marks)."""
-    for did, tie, texts, marks in _documents(batch):
-        wanted = []
-        for k, data in enumerate(marks):
-            table = np.frombuffer(data, dtype=np.int64).reshape(-1, 2)
-            wanted.append(table[table[:, 0] == tie[k], 1])
+def _contexts(batch: pa.RecordBatch, finder: Anchors) -> Iterator[tuple[tuple, int, int, bytes]]:
+    """((did, tie, row, first window), anchor, hash, bytes) for each marked anchor of a batch of documents with marks.
+
+    The first of these are in the order of occurrences.
+    """
+    for row, did, tie, texts, marks in _documents(batch):
+        wanted = [np.frombuffer(data, dtype=np.int64) for data in marks]
         for text, place, h, first, last in finder.of(texts):
             for k in np.unique(text):
                 own = np.flatnonzero(text == k)
                 own = own[np.isin(place[own], wanted[k])]
-                d, e, t = int(did[k]), int(tie[k]), texts[k]
+                d, e, r, t = int(did[k]), int(tie[k]), int(row[k]), texts[k]
                 for p, v, a, z in zip(*(x[own].tolist() for x in (place, h, first, last))):
-                    yield d, e, a, p, v, t[a : z + LENGTH]
+                    yield (d, e, r, a), p, v, t[a : z + LENGTH]
 
 
 def _send_contexts(buckets: int, owners: int):
@@ -274,8 +278,9 @@ def _send_contexts(buckets: int, owners: int):
             for k, data in _by_owner(np.array(spans, dtype=np.int64), owners):
                 rows.append((k % buckets, k, data))
         contexts = list(held)
-        did, tie, first, offset, h = (np.array(c) for c in zip(*held.values()))
-        h = h.astype(np.uint64)
+        did, tie, row, first = (np.array(c, dtype=np.int64) for c in zip(*(seen for seen, _, _ in held.values())))
+        offset = np.array([o for _, o, _ in held.values()], dtype=np.int32)
+        h = np.array([v for _, _, v in held.values()], dtype=np.uint64)
         bucket = (h % np.uint64(buckets)).astype(np.int32)
         order = np.lexsort((h, bucket))
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -283,7 +288,7 @@ def _send_contexts(buckets: int, owners: int):
         for b in range(buckets):
             k = order[cuts[b] : cuts[b + 1]]
             if len(k):
-                arrays = (h[k], did[k], tie[k].astype(np.int32), first[k], offset[k].astype(np.int32), sizes[k])
+                arrays = (h[k], did[k], tie[k], row[k], first[k], offset[k], sizes[k])
                 rows.append((b, None, _packed(*arrays, tail=b"".join(contexts[i] for i in k))))
         yield _part_batch(rows)
 
@@ -292,13 +297,14 @@ def _send_contexts(buckets: int, owners: int):
         held: dict[bytes, tuple] = {}
         spans: list[tuple] = []
         for batch in batches:
-            for d, e, a, p, v, context in _contexts(batch, finder):
-                now = (d, e, a, p - a, v)
+            for seen, p, v, context in _contexts(batch, finder):
+                now = (seen, p - seen[3], v)
                 before = held.setdefault(context, now)
                 if before is not now:
-                    if now[:3] < before[:3]:
+                    if seen < before[0]:
                         held[context], now = now, before
-                    spans.append((now[0], now[1], now[2], now[2] + len(context)))
+                    _, _, r, a = now[0]
+                    spans.append((r, a, a + len(context)))
                 if len(held) + len(spans) >= HELD_CONTEXTS:
                     yield from flush(held, spans)
                     held, spans = {}, []
@@ -312,13 +318,13 @@ def _context_id(context: bytes, h: int) -> bytes:
     return hashlib.blake2b(context, digest_size=16, key=h.to_bytes(8, "little")).digest()
 
 
-_OCCURRENCES = "context binary, did long, tie int, place long"
+_OCCURRENCES = "context binary, row long, place long"
 
 
 def _list_occurrences(batches) -> Iterator[pa.RecordBatch]:
     """Every marked anchor with the id of its context."""
     finder = Anchors()
-    kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int64())
+    kinds = (pa.binary(), pa.int64(), pa.int64())
     names = [x.split()[0] for x in _OCCURRENCES.split(", ")]
     rows: list[tuple] = []
 
@@ -326,8 +332,8 @@ def _list_occurrences(batches) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     for batch in batches:
-        for d, e, _, p, v, context in _contexts(batch, finder):
-            rows.append((_context_id(context, v), d, e, p))
+        for (_, _, r, _), p, v, context in _contexts(batch, finder):
+            rows.append((_context_id(context, v), r, p))
             if len(rows) >= 50_000:
                 yield batch_of()
                 rows.clear()
@@ -389,7 +395,7 @@ def maximal_groups(lefts: list[bytes], rights: list[bytes], length: int = LENGTH
 
 
 def _find_repeats(owners: int):
-    """A bucket of pass 2: the repeated spans (document, tie, start, end)."""
+    """A bucket of pass 2: the repeated spans (row, start, end)."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         known = frame[frame["owner"].notna()]
@@ -405,22 +411,22 @@ def _anchor_groups(blobs) -> Iterator[tuple[int, list[tuple], list[bytes], list[
     """Per anchor with several contexts: its hash, their first occurrences, their bytes and the anchor's offsets in them."""
     arrays, texts = [], []
     for blob in blobs:
-        part, tail = _unpacked(blob, "u8", "i8", "i4", "i8", "i4", "i4")
+        part, tail = _unpacked(blob, "u8", "i8", "i8", "i8", "i8", "i4", "i4")
         arrays.append(part)
-        ends = np.cumsum(part[5]).tolist()
+        ends = np.cumsum(part[6]).tolist()
         texts += [tail[a:b] for a, b in zip([0, *ends], ends)]
     if not arrays:
         return
-    h, did, tie, first, offset, _ = (np.concatenate(c) for c in zip(*arrays))
+    h, *seen, offset, _ = (np.concatenate(c) for c in zip(*arrays))
     order = np.argsort(h, kind="stable")
-    did, tie, first, offset = did.tolist(), tie.tolist(), first.tolist(), offset.tolist()
+    seen, offset = list(zip(*(x.tolist() for x in seen))), offset.tolist()
     for a, b in _runs(h[order]):
         own = order[a:b].tolist()
-        yield int(h[own[0]]), [(did[k], tie[k], first[k]) for k in own], [texts[k] for k in own], [offset[k] for k in own]
+        yield int(h[own[0]]), [seen[k] for k in own], [texts[k] for k in own], [offset[k] for k in own]
 
 
-def _repeats_of(blobs) -> list[tuple[int, int, int, int]]:
-    spans: list[tuple[int, int, int, int]] = []
+def _repeats_of(blobs) -> list[tuple[int, int, int]]:
+    spans: list[tuple[int, int, int]] = []
     for _, seen, texts, offsets in _anchor_groups(blobs):
         if len(seen) < 2:
             continue
@@ -434,8 +440,9 @@ def _repeats_of(blobs) -> list[tuple[int, int, int, int]]:
                     most = reach.setdefault(k, [left, right])
                     most[0], most[1] = max(most[0], left), max(most[1], right)
         for k, (left, right) in reach.items():
-            at = seen[k][2] + offsets[k]
-            spans.append((seen[k][0], seen[k][1], at - left, at + right))
+            _, _, row, first = seen[k]
+            at = first + offsets[k]
+            spans.append((row, at - left, at + right))
     return spans
 
 
@@ -460,10 +467,9 @@ def _find_groups(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(list(rows), columns=["context", "repeat", "left", "length"])
 
 
-def merged_spans(tie: int, data: bytes | None) -> np.ndarray:
+def merged_spans(data: bytes | None) -> np.ndarray:
     """Maximal runs (start, end) of a document's repeated spans."""
-    table = np.frombuffer(data or b"", dtype=np.int64).reshape(-1, 3)
-    table = table[table[:, 0] == tie, 1:]
+    table = np.frombuffer(data or b"", dtype=np.int64).reshape(-1, 2)
     if not len(table):
         return table
     table = table[np.argsort(table[:, 0], kind="stable")]
@@ -472,23 +478,38 @@ def merged_spans(tie: int, data: bytes | None) -> np.ndarray:
     return np.stack([table[new, 0], ends[np.r_[new[1:], True]]], axis=1)
 
 
+_DOCUMENT = ("row", "did", "tie", "t")
+
+
 def _documents_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(did, tie, t, key): documents dealt out by id, with a number for those that share one."""
-    dealt = docs.select(
-        F.col(key), F.coalesce(F.col(key), F.lit(_FIRST_ID)).cast("long").alias("did"), whole_text(text).cast("binary").alias("t")
-    ).repartition("did")
-    tie = F.row_number().over(Window.partitionBy("did").orderBy(F.xxhash64("t"))) - 1
-    return dealt.select("did", tie.alias("tie"), "t", key)
+    """(row, did, tie, t, key): documents dealt out by a number of their own; (did, tie, row) is their order.
+
+    The numbered documents are written first, so that no repeated task numbers them in another way.
+    """
+    spark = docs.sparkSession
+    t = whole_text(text).cast("binary")
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.coalesce(F.col(key), F.lit(_FIRST_ID)).cast("long").alias("did"),
+        F.xxhash64(t).alias("tie"),
+        t.alias("t"),
+        F.col(key).alias("key"),
+    )
+    path = f"{scratch_dir(spark)}/documents"
+    numbered.write.option("compression", "zstd").parquet(path)
+    back = spark.read.schema(numbered.schema).parquet(path).withColumnRenamed("key", key)
+    # A number is never null; a join that knows it needs no filter, so all uses of the documents have one plan.
+    return back.withColumn("row", F.coalesce("row", F.lit(0).cast("long"))).repartition("row")
 
 
 def _marked(base: DataFrame, owners: int, buckets: int) -> DataFrame:
-    """(did, marks): for documents with anchors that occur again, their places."""
+    """(row, marks): for documents with anchors that occur again, their places."""
     return (
         base.mapInArrow(_send_anchors(buckets, owners), _PART_DDL)
         .groupBy("bucket")
         .applyInPandas(_find_again(owners), _RESULT_DDL)
         .groupBy("owner")
-        .applyInPandas(_by_document(3), "did long, data binary")
+        .applyInPandas(_by_document(2), "row long, data binary")
         .withColumnRenamed("data", "marks")
     )
 
@@ -500,20 +521,20 @@ def _shares(docs: DataFrame) -> tuple[int, int]:
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The documents (did, tie, t, key) and, for those with repeats, (did, spans): data for `merged_spans`.
+    """The documents (row, did, tie, t, key) and, for those with repeats, (row, spans): data for `merged_spans`.
 
     Every use of the documents has the same columns, so that Spark reuses their exchange.
     """
     base = _documents_of(docs, key, text)
     owners, buckets = _shares(docs)
     spans = (
-        base.join(_marked(base, owners, buckets), "did")
-        .select("did", "tie", "t", "marks", key)
+        base.join(_marked(base, owners, buckets), "row")
+        .select(*_DOCUMENT, "marks", key)
         .mapInArrow(_send_contexts(buckets, owners), _PART_DDL)
         .groupBy("bucket")
         .applyInPandas(_find_repeats(owners), _RESULT_DDL)
         .groupBy("owner")
-        .applyInPandas(_by_document(4), "did long, data binary")
+        .applyInPandas(_by_document(3), "row long, data binary")
         .withColumnRenamed("data", "spans")
     )
     return base, spans
@@ -528,18 +549,18 @@ def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """
     base = _documents_of(docs, key, text)
     owners, buckets = _shares(docs)
-    marked = base.join(_marked(base, owners, buckets), "did").select("did", "tie", "t", "marks", key)
+    marked = base.join(_marked(base, owners, buckets), "row").select(*_DOCUMENT, "marks", key)
     groups = (
         marked.mapInArrow(_send_contexts(buckets, owners), _PART_DDL).groupBy("bucket").applyInPandas(_find_groups, _GROUPS)
     )
     occurrences = marked.mapInArrow(_list_occurrences, _OCCURRENCES)
     found = occurrences.join(groups, "context").select(
-        "repeat", "length", "did", "tie", (F.col("place") - F.col("left")).alias("start")
+        "repeat", "length", "row", (F.col("place") - F.col("left")).alias("start")
     )
     often = found.distinct()
     counts = often.groupBy("repeat").agg(F.count("*").alias("n")).filter("n > 1").select("repeat")
-    names = base.select(F.col("did"), F.col("tie"), F.col(key))
-    return often.join(counts, "repeat").join(names, ["did", "tie"]).select("repeat", "length", key, "start")
+    names = base.select("row", key)
+    return often.join(counts, "repeat").join(names, "row").select("repeat", "length", key, "start")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kept_text: bool = False) -> DataFrame:
@@ -549,15 +570,15 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kept_text:
     """
     id_type = dict(docs.dtypes)[key]
     base, spans = repeated_spans(docs, key, text)
-    joined = base.join(spans, "did", "left").select("did", "tie", "t", "spans", key)
+    joined = base.join(spans, "row", "left").select(*_DOCUMENT, "spans", key)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
-            for did, tie, texts, found in _documents(batch):
-                for e, t, data in zip(tie.tolist(), texts, found):
-                    cuts = merged_spans(e, data).tolist()
+            for _, _, _, texts, found in _documents(batch):
+                for t, data in zip(texts, found):
+                    cuts = merged_spans(data).tolist()
                     left = b"".join(t[a:b] for a, b in zip([0, *(z for _, z in cuts)], [*(a for a, _ in cuts), len(t)]))
                     values = (
                         len(t),
@@ -569,7 +590,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kept_text:
                     for column, value in zip(columns, values):
                         column.append(value)
             arrays = [
-                batch.column(4),
+                batch.column(5),
                 *(pa.array(c, type=k) for c, k in zip(columns, (pa.int64(), pa.int64(), kind, pa.string(), pa.binary()))),
             ]
             names = [key, "n_bytes", "n_removed", "spans", "kept_sha256", "kept"]

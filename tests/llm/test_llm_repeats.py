@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import LONG, TEXTS, docs
+from pyspark.sql import functions as F
 
 from hitloom.llm import repeats as module
 from hitloom.llm.repeats import maximal_groups, repeat_groups, repeats
@@ -74,6 +75,21 @@ def test_unusual_rows(spark):
     check(spark, [r for r in TEXTS if r[1] is None or len(r[1]) < 5000] + [(9, LONG[:3000]), (8, LONG[:3000])])
 
 
+def test_rows_of_one_id_are_spread_and_joined_one_by_one(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rng = random.Random(6)
+    line = "".join(rng.choice("abcdefgh ij") for _ in range(300))
+    for i in (None, 7):
+        rows = [(i, f"{k} " * 40 + line) for k in range(300)] + [(8, line)]
+        base, spans = module.repeated_spans(docs(spark, rows))
+        # The data of a document is its own, not that of all rows of its id.
+        assert max(len(r[0]) for r in spans.select("spans").collect()) < 16 * 100
+        sizes = [r["count"] for r in base.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 150
+        found = repeats(docs(spark, rows)).collect()
+        assert len(found) == 301 and sum(r.n_removed >= 300 for r in found) == 300
+
+
 def test_empty_table(spark):
     assert repeats(docs(spark, [])).count() == 0
 
