@@ -17,6 +17,14 @@ interval, the members are a maximal repeat group with all its occurrences. All
 but the first occurrence of a group are repeated bytes. Groups are maximal up to
 the windows' horizon; a longer repeat is the union of its anchors' groups.
 
+Hot anchors. Contexts at the edges of a passage differ with each neighbour, so an
+anchor that very many documents share can have very many contexts. An anchor
+that occurs `HOT` times or more is not resolved in one bucket: its contexts are
+split into their windows of `LENGTH` bytes, which are dealt out by a digest of
+their bytes. Tasks send the first occurrence of a window only, so a common window
+costs little and different ones are spread. `repeat_groups` lists
+whole groups and so does not split anchors.
+
 Copies cost little: contexts that are equal within a task are sent once, with
 their first occurrence, and the others are known to be repeated. So the bytes
 of a bucket grow with the number of different contexts, not with copies.
@@ -56,8 +64,10 @@ BLOCK = 1 << 19
 #: Anchors, and contexts, that a task holds before it sends them on.
 HELD_ANCHORS = 1 << 19
 HELD_CONTEXTS = 1 << 17
-#: Buckets for each shuffle partition.
-BUCKETS = 1
+#: Bytes of text that a bucket stands for at most, on average; there is at least one for each shuffle partition.
+BUCKET_BYTES = 1 << 26
+#: Occurrences from which an anchor is split by the bytes around it.
+HOT = 1 << 15
 
 # An odd multiplier for rolling hashes modulo 2**64 and its inverse.
 _BASE = 6364136223846793005
@@ -171,12 +181,24 @@ def _by_owner(table: np.ndarray, owners: int) -> list[tuple[int, bytes]]:
     return [(int(owner[a]), _packed(*table[a:b].T.copy())) for a, b in _runs(owner)]
 
 
-def _by_document(columns: int):
-    """Results of a share of the documents, one row per document: its table without the first column."""
+#: Stands for a document in rows that name a hot anchor.
+_NO_ROW = -1
+
+
+def _by_document(columns: int, marks: bool = False):
+    """Results of a share of the documents, one row per document: its table without the first column.
+
+    With ``marks`` the last column is an anchor's hash, and becomes 1 for a hot anchor and 0 for others.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         tables = [np.stack(_unpacked(x, *["i8"] * columns)[0], axis=1) for x in frame["data"]]
         table = np.concatenate(tables)
+        if marks:
+            named = table[:, 0] == _NO_ROW
+            hot = np.unique(table[named, 2])
+            table = table[~named]
+            table[:, 2] = np.isin(table[:, 2], hot)
         table = np.ascontiguousarray(table[np.argsort(table[:, 0], kind="stable")])
         rows = [(table[a, 0], table[a:b, 1:].tobytes()) for a, b in _runs(table[:, 0])]
         return pd.DataFrame(rows, columns=["row", "data"])
@@ -203,9 +225,9 @@ def _send_anchors(buckets: int, owners: int):
         new = np.r_[True, h[1:] != h[:-1]]
         twin = ~new | ~np.r_[new[1:], True]
         rows = []
-        for k, data in _by_owner(np.stack([row[twin], place[twin]], axis=1), owners):
+        for k, data in _by_owner(np.stack([row[twin], place[twin], h[twin].view(np.int64)], axis=1), owners):
             rows.append((k % buckets, k, data))
-        many = twin[new].astype(np.uint8)
+        many = np.diff(np.r_[np.flatnonzero(new), len(h)]).astype(np.int32)
         h, row, place = h[new], row[new], place[new]
         bucket = (h % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
@@ -233,12 +255,15 @@ def _send_anchors(buckets: int, owners: int):
 
 
 def _find_again(owners: int):
-    """A bucket of pass 1: the places of anchors whose hash occurs again."""
+    """A bucket of pass 1: the places of anchors whose hash occurs again, and to all owners which anchors are hot.
+
+    Few anchors are: of n, at most n / `HOT`.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         known = frame[frame["owner"].notna()]
         rows = list(zip(known["owner"].astype("int32"), known["data"]))
-        blobs = [_unpacked(x, "u8", "i8", "i8", "u1")[0] for x in frame.loc[frame["owner"].isna(), "data"]]
+        blobs = [_unpacked(x, "u8", "i8", "i8", "i4")[0] for x in frame.loc[frame["owner"].isna(), "data"]]
         if blobs:
             h, row, place, many = (np.concatenate(c) for c in zip(*blobs))
             order = np.argsort(h, kind="stable")
@@ -246,70 +271,123 @@ def _find_again(owners: int):
             same = np.r_[False, sorted_h[1:] == sorted_h[:-1]]
             again = np.zeros(len(h), dtype=bool)
             again[order] = same | np.r_[same[1:], False]
-            again |= many.astype(bool)
-            rows += _by_owner(np.stack([row[again], place[again]], axis=1), owners)
+            again |= many > 1
+            starts = np.flatnonzero(~same)
+            hot = sorted_h[starts][np.add.reduceat(many[order].astype(np.int64), starts) >= HOT]
+            # The hashes of others are not needed any more.
+            named = np.where(np.isin(h, hot), h, np.uint64(0)).view(np.int64)
+            if len(hot):
+                none = np.zeros(len(hot), dtype=np.int64)
+                data = _packed(none + _NO_ROW, none, hot.view(np.int64))
+                rows += [(k, data) for k in range(owners)]
+            rows += _by_owner(np.stack([row[again], place[again], named[again]], axis=1), owners)
         return pd.DataFrame(rows, columns=["owner", "data"])
 
     return run
 
 
-def _contexts(batch: pa.RecordBatch, finder: Anchors) -> Iterator[tuple[tuple, int, int, bytes]]:
-    """((did, tie, row, first window), anchor, hash, bytes) for each marked anchor of a batch of documents with marks.
+def _contexts(batch: pa.RecordBatch, finder: Anchors) -> Iterator[tuple[tuple, int, int, bytes, bool]]:
+    """((did, tie, row, first window), anchor, hash, bytes, hot) for each marked anchor of a batch of documents with marks.
 
     The first of these are in the order of occurrences.
     """
     for row, did, tie, texts, marks in _documents(batch):
-        wanted = [np.frombuffer(data, dtype=np.int64) for data in marks]
+        tables = [np.frombuffer(data, dtype=np.int64).reshape(-1, 2) for data in marks]
+        wanted = [x[:, 0] for x in tables]
+        hot = [set(x[x[:, 1] != 0, 0].tolist()) for x in tables]
         for text, place, h, first, last in finder.of(texts):
             for k in np.unique(text):
                 own = np.flatnonzero(text == k)
                 own = own[np.isin(place[own], wanted[k])]
                 d, e, r, t = int(did[k]), int(tie[k]), int(row[k]), texts[k]
                 for p, v, a, z in zip(*(x[own].tolist() for x in (place, h, first, last))):
-                    yield (d, e, r, a), p, v, t[a : z + LENGTH]
+                    yield (d, e, r, a), p, v, t[a : z + LENGTH], p in hot[k]
+
 
+def _windows(held: dict[bytes, tuple], spans: list) -> dict[bytes, tuple]:
+    """The first occurrence of each window of these contexts, by its digest; spans get the others."""
+    found: dict[bytes, tuple] = {}
+    for context, (d, e, r, a) in held.items():
+        for k in range(len(context) - LENGTH + 1):
+            name = hashlib.blake2b(context[k : k + LENGTH], digest_size=16).digest()
+            now = (d, e, r, a + k)
+            before = found.setdefault(name, now)
+            if before is not now:
+                if now < before:
+                    found[name], now = now, before
+                spans.append((now[2], now[3], now[3] + LENGTH))
+    return found
 
-def _send_contexts(buckets: int, owners: int):
-    """Pass 2: the bytes of the windows of such anchors, each different context of a task once."""
 
-    def flush(held: dict[bytes, tuple], spans: list) -> Iterator[pa.RecordBatch]:
+#: Owner of rows that hold windows of hot anchors.
+_WINDOWS = -1
+_WINDOW_KINDS = ("u8", "u8", "i8", "i8", "i8", "i8")
+
+
+def _send_contexts(buckets: int, owners: int, split: bool = True):
+    """Pass 2: the bytes of the windows of such anchors, each different context of a task once.
+
+    With ``split``, of hot anchors the digests of their windows instead.
+    """
+
+    def flush(held: dict[bytes, tuple], hot: dict[bytes, tuple], spans: list) -> Iterator[pa.RecordBatch]:
         rows = []
+        windows = _windows(hot, spans)
         if spans:
             for k, data in _by_owner(np.array(spans, dtype=np.int64), owners):
                 rows.append((k % buckets, k, data))
-        contexts = list(held)
-        did, tie, row, first = (np.array(c, dtype=np.int64) for c in zip(*(seen for seen, _, _ in held.values())))
-        offset = np.array([o for _, o, _ in held.values()], dtype=np.int32)
-        h = np.array([v for _, _, v in held.values()], dtype=np.uint64)
-        bucket = (h % np.uint64(buckets)).astype(np.int32)
-        order = np.lexsort((h, bucket))
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        sizes = np.array([len(c) for c in contexts], dtype=np.int32)
-        for b in range(buckets):
-            k = order[cuts[b] : cuts[b + 1]]
-            if len(k):
-                arrays = (h[k], did[k], tie[k], row[k], first[k], offset[k], sizes[k])
-                rows.append((b, None, _packed(*arrays, tail=b"".join(contexts[i] for i in k))))
+        if windows:
+            digest = np.frombuffer(b"".join(windows), dtype=np.uint64).reshape(-1, 2)
+            seen = np.array(list(windows.values()), dtype=np.int64)
+            bucket = (digest[:, 0] % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            for a, b in _runs(bucket[order]):
+                k = order[a:b]
+                rows.append((int(bucket[k[0]]), _WINDOWS, _packed(*digest[k].T.copy(), *seen[k].T.copy())))
+        if held:
+            contexts = list(held)
+            did, tie, row, first = (np.array(c, dtype=np.int64) for c in zip(*(seen for seen, _, _ in held.values())))
+            offset = np.array([o for _, o, _ in held.values()], dtype=np.int32)
+            h = np.array([v for _, _, v in held.values()], dtype=np.uint64)
+            bucket = (h % np.uint64(buckets)).astype(np.int32)
+            order = np.lexsort((h, bucket))
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            sizes = np.array([len(c) for c in contexts], dtype=np.int32)
+            for b in range(buckets):
+                k = order[cuts[b] : cuts[b + 1]]
+                if len(k):
+                    arrays = (h[k], did[k], tie[k], row[k], first[k], offset[k], sizes[k])
+                    rows.append((b, None, _packed(*arrays, tail=b"".join(contexts[i] for i in k))))
         yield _part_batch(rows)
 
     def run(batches):
         finder = Anchors()
         held: dict[bytes, tuple] = {}
+        hot: dict[bytes, tuple] = {}
         spans: list[tuple] = []
+        n_windows = 0
         for batch in batches:
-            for seen, p, v, context in _contexts(batch, finder):
-                now = (seen, p - seen[3], v)
-                before = held.setdefault(context, now)
-                if before is not now:
-                    if seen < before[0]:
-                        held[context], now = now, before
-                    _, _, r, a = now[0]
-                    spans.append((r, a, a + len(context)))
-                if len(held) + len(spans) >= HELD_CONTEXTS:
-                    yield from flush(held, spans)
-                    held, spans = {}, []
-        if held:
-            yield from flush(held, spans)
+            for seen, p, v, context, is_hot in _contexts(batch, finder):
+                if split and is_hot:
+                    before = hot.setdefault(context, seen)
+                    if before is seen:
+                        n_windows += len(context) - LENGTH + 1
+                    else:
+                        hot[context], (_, _, r, a) = min(before, seen), max(before, seen)
+                        spans.append((r, a, a + len(context)))
+                else:
+                    now = (seen, p - seen[3], v)
+                    before = held.setdefault(context, now)
+                    if before is not now:
+                        if seen < before[0]:
+                            held[context], now = now, before
+                        _, _, r, a = now[0]
+                        spans.append((r, a, a + len(context)))
+                if len(held) + n_windows + len(spans) >= HELD_CONTEXTS:
+                    yield from flush(held, hot, spans)
+                    held, hot, spans, n_windows = {}, {}, [], 0
+        if held or hot:
+            yield from flush(held, hot, spans)
 
     return run
 
@@ -332,7 +410,7 @@ def _list_occurrences(batches) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     for batch in batches:
-        for (_, _, r, _), p, v, context in _contexts(batch, finder):
+        for (_, _, r, _), p, v, context, _ in _contexts(batch, finder):
             rows.append((_context_id(context, v), r, p))
             if len(rows) >= 50_000:
                 yield batch_of()
@@ -369,6 +447,22 @@ def _intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((depth, start))
 
 
+def _least_of(values: list[int]):
+    """Least value in [a, b), in time that does not grow with the range."""
+    levels = [np.array(values, dtype=np.int64)]
+    while len(levels[-1]) > 1 << (len(levels) - 1):
+        below, step = levels[-1], 1 << (len(levels) - 1)
+        levels.append(np.minimum(below[:-step], below[step:]))
+
+    def least(a: int, b: int) -> int:
+        if b - a <= 64:
+            return min(values[a:b])
+        k = (b - a).bit_length() - 1
+        return int(min(levels[k][a], levels[k][b - (1 << k)]))
+
+    return least
+
+
 def maximal_groups(lefts: list[bytes], rights: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, int, list[int]]]:
     """(left, right, members) of each maximal repeat of ``length`` bytes or more around one anchor.
 
@@ -378,6 +472,7 @@ def maximal_groups(lefts: list[bytes], rights: list[bytes], length: int = LENGTH
     """
     order = sorted(range(len(rights)), key=rights.__getitem__)
     lcp = [_common(rights[a], rights[b]) for a, b in zip(order, order[1:])]
+    least = _least_of(lcp)
     rank = {k: i for i, k in enumerate(order)}
     by_left = {k: i for i, k in enumerate(sorted(range(len(lefts)), key=lefts.__getitem__))}
     for depth, first, last in _intervals(lcp, 1):
@@ -390,7 +485,7 @@ def maximal_groups(lefts: list[bytes], rights: list[bytes], length: int = LENGTH
         for left, i, j in _intervals(common, need):
             group = members[i : j + 1]
             places = [rank[k] for k in group]
-            if min(lcp[min(places) : max(places)]) == depth:
+            if least(min(places), max(places)) == depth:
                 yield left, depth, group
 
 
@@ -398,8 +493,11 @@ def _find_repeats(owners: int):
     """A bucket of pass 2: the repeated spans (row, start, end)."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        known = frame[frame["owner"].notna()]
+        known = frame[frame["owner"] >= 0]
         rows = list(zip(known["owner"].astype("int32"), known["data"]))
+        again = _windows_again(frame.loc[frame["owner"] == _WINDOWS, "data"])
+        if len(again):
+            rows += _by_owner(again, owners)
         if spans := _repeats_of(frame.loc[frame["owner"].isna(), "data"]):
             rows += _by_owner(np.array(spans, dtype=np.int64), owners)
         return pd.DataFrame(rows, columns=["owner", "data"])
@@ -407,6 +505,17 @@ def _find_repeats(owners: int):
     return run
 
 
+def _windows_again(blobs) -> np.ndarray:
+    """(row, start, end) of all but the first occurrence of each window."""
+    parts = [_unpacked(x, *_WINDOW_KINDS)[0] for x in blobs]
+    if not parts:
+        return np.empty((0, 3), dtype=np.int64)
+    high, low, did, tie, row, first = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((first, row, tie, did, low, high))
+    again = order[1:][(high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])]
+    return np.stack([row[again], first[again], first[again] + LENGTH], axis=1)
+
+
 def _anchor_groups(blobs) -> Iterator[tuple[int, list[tuple], list[bytes], list[int]]]:
     """Per anchor with several contexts: its hash, their first occurrences, their bytes and the anchor's offsets in them."""
     arrays, texts = [], []
@@ -481,8 +590,10 @@ def merged_spans(data: bytes | None) -> np.ndarray:
 _DOCUMENT = ("row", "did", "tie", "t")
 
 
-def _documents_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(row, did, tie, t, key): documents dealt out by a number of their own; (did, tie, row) is their order.
+def _documents_of(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int, int]:
+    """(row, did, tie, t, key), shares of the documents, and buckets: documents dealt out by a number of their own.
+
+    (did, tie, row) is their order.
 
     The numbered documents are written first, so that no repeated task numbers them in another way.
     """
@@ -494,12 +605,14 @@ def _documents_of(docs: DataFrame, key: str, text: str) -> DataFrame:
         F.xxhash64(t).alias("tie"),
         t.alias("t"),
         F.col(key).alias("key"),
+        F.octet_length(t).cast("long").alias("size"),
     )
     path = f"{scratch_dir(spark)}/documents"
     numbered.write.option("compression", "zstd").parquet(path)
     back = spark.read.schema(numbered.schema).parquet(path).withColumnRenamed("key", key)
     # A number is never null; a join that knows it needs no filter, so all uses of the documents have one plan.
-    return back.withColumn("row", F.coalesce("row", F.lit(0).cast("long"))).repartition("row")
+    row = F.coalesce("row", F.lit(0).cast("long")).alias("row")
+    return back.select(row, *_DOCUMENT[1:], key).repartition("row"), *_shares(back)
 
 
 def _marked(base: DataFrame, owners: int, buckets: int) -> DataFrame:
@@ -509,15 +622,16 @@ def _marked(base: DataFrame, owners: int, buckets: int) -> DataFrame:
         .groupBy("bucket")
         .applyInPandas(_find_again(owners), _RESULT_DDL)
         .groupBy("owner")
-        .applyInPandas(_by_document(2), "row long, data binary")
+        .applyInPandas(_by_document(3, marks=True), "row long, data binary")
         .withColumnRenamed("data", "marks")
     )
 
 
-def _shares(docs: DataFrame) -> tuple[int, int]:
-    """Shares of the documents, and buckets of anchors: both follow the session's shuffle partitions."""
-    owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return owners, BUCKETS * owners
+def _shares(base: DataFrame) -> tuple[int, int]:
+    """Shares of the documents (the session's shuffle partitions), and buckets of anchors, by the bytes of the texts."""
+    owners = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = base.agg(F.sum("size")).first()[0] or 0
+    return owners, max(owners, -(-size // BUCKET_BYTES))
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -525,8 +639,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Every use of the documents has the same columns, so that Spark reuses their exchange.
     """
-    base = _documents_of(docs, key, text)
-    owners, buckets = _shares(docs)
+    base, owners, buckets = _documents_of(docs, key, text)
     spans = (
         base.join(_marked(base, owners, buckets), "row")
         .select(*_DOCUMENT, "marks", key)
@@ -547,11 +660,12 @@ def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     windows is listed once per anchor, each group reaching as far as these
     windows do. There is one row per occurrence and group.
     """
-    base = _documents_of(docs, key, text)
-    owners, buckets = _shares(docs)
+    base, owners, buckets = _documents_of(docs, key, text)
     marked = base.join(_marked(base, owners, buckets), "row").select(*_DOCUMENT, "marks", key)
     groups = (
-        marked.mapInArrow(_send_contexts(buckets, owners), _PART_DDL).groupBy("bucket").applyInPandas(_find_groups, _GROUPS)
+        marked.mapInArrow(_send_contexts(buckets, owners, split=False), _PART_DDL)
+        .groupBy("bucket")
+        .applyInPandas(_find_groups, _GROUPS)
     )
     occurrences = marked.mapInArrow(_list_occurrences, _OCCURRENCES)
     found = occurrences.join(groups, "context").select(

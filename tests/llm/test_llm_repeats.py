@@ -90,6 +90,46 @@ def test_rows_of_one_id_are_spread_and_joined_one_by_one(spark, conf):
         assert len(found) == 301 and sum(r.n_removed >= 300 for r in found) == 300
 
 
+@pytest.mark.parametrize("hot, held", [(2, 10), (2, 1 << 17), (20, 500)])
+def test_hot_anchors_are_split_without_loss(spark, monkeypatch, hot, held):
+    monkeypatch.setattr(module, "HOT", hot)
+    monkeypatch.setattr(module, "HELD_CONTEXTS", held)
+    check(spark, corpus())
+
+
+def test_no_bucket_gets_all_contexts_of_a_hot_anchor(spark, monkeypatch):
+    monkeypatch.setattr(module, "HOT", 50)
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh ij") for _ in range(n))
+    passage = text(150)
+    rows = [(k, text(120) + passage + text(120)) for k in range(400)]
+    base, owners, buckets = module._documents_of(docs(spark, rows), "doc_id", "text")
+    marked = base.join(module._marked(base, owners, buckets), "row").select(*module._DOCUMENT, "marks", "doc_id")
+    sent = marked.mapInArrow(module._send_contexts(16, owners), module._PART_DDL).filter("owner is null or owner = -1").collect()
+    sizes = {}
+    for r in sent:
+        n = int.from_bytes(module.zstandard.ZstdDecompressor().decompress(r.data)[:8], "little")
+        sizes[r.bucket] = sizes.get(r.bucket, 0) + n
+    assert len(sizes) == 16 and max(sizes.values()) < 2 * sum(sizes.values()) / 16
+    check(spark, rows)
+
+
+def test_buckets_follow_bytes(spark, monkeypatch):
+    rows = [(k, "x" * 1000) for k in range(50)]
+    assert module._documents_of(docs(spark, rows), "doc_id", "text")[1:] == (4, 4)
+    monkeypatch.setattr(module, "BUCKET_BYTES", 5000)
+    assert module._documents_of(docs(spark, rows), "doc_id", "text")[1:] == (4, 10)
+    check(spark, corpus())
+
+
+def test_least_of_a_range():
+    rng = random.Random(3)
+    values = [rng.randrange(1000) for _ in range(700)]
+    least = module._least_of(values)
+    for a, b in ((0, 700), (1, 699), (0, 65), (100, 612), (5, 6), (635, 700)):
+        assert least(a, b) == min(values[a:b])
+
+
 def test_empty_table(spark):
     assert repeats(docs(spark, [])).count() == 0
 
