@@ -21,20 +21,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import let, saved, scratch_dir, small_side, whole_text
+from hitloom.llm.common import BROADCAST_ROWS, let, saved, scratch_dir, whole_text
 
 
 @dataclass(frozen=True)
 class SecretRule:
     """``hint`` is a cheaper pattern that every match contains; group ``value`` must have ``least`` characters.
 
-    A change of any field but ``version`` must come with a new version.
+    The first ``lead`` characters of a match are a public marker, which masks may leave where another span covers all
+    that comes after it. A change of any field but ``version`` and ``lead`` must come with a new version.
     """
 
     kind: str
@@ -44,12 +44,23 @@ class SecretRule:
     value: int = 0
     least: int = 1
     base: bool = False
+    lead: int = 0
 
     @property
     def id(self) -> str:
         return f"{self.kind}@{self.version}"
 
 
+# A private key with its body: up to the END line, whatever the lines between look like (no five hyphens). Without
+# an END line: header fields, then up to 200 long runs of base64 and a shorter one with padding.
+_BASE64 = "[A-Za-z0-9+/=]"
+_BREAK = r"[\x20\t\r\n\\]+"  # line ends may be written as \n
+_KEY_END = r"[^-]*(?:-{1,4}[^-]+){0,64}-----END [A-Z ]*PRIVATE KEY-----"
+_KEY_CUT = (
+    r"(?:[\r\n]+[A-Za-z]+-[A-Za-z]+:[^\r\n]*){0,4}"
+    rf"(?:{_BREAK}{_BASE64 * 16}{_BASE64}*){{0,200}}(?:{_BREAK}[A-Za-z0-9+/]+={{1,2}})?"
+)
+
 # The base kinds, in the order in which they are listed, then our own.
 RULES = (
     SecretRule(
@@ -63,9 +74,9 @@ RULES = (
     ),
     SecretRule("access", 1, r"AKIA[A-Z0-9]+", "AKIA", least=20, base=True),
     SecretRule("hex", 1, r"[0-9a-f]+", "[0-9a-f]{24}", least=24, base=True),
-    SecretRule("key_block", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN "),
+    SecretRule("key_block", 2, rf"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{_KEY_END}|{_KEY_CUT})", "-----BEGIN "),
     SecretRule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", r"eyJ"),
-    SecretRule("github", 1, r"gh[opsur]_[A-Za-z0-9]{36,}", r"gh[opsur]_"),
+    SecretRule("github", 1, r"gh[opsur]_[A-Za-z0-9]{36,}", r"gh[opsur]_", lead=4),
 )
 
 _RAW = "array<struct<rule:string,gap:int,size:int,ok:boolean>>"
@@ -173,36 +184,64 @@ def find_secrets(
     return paths.join(found, "blob", "left").select(key, F.coalesce("spans", none).alias("spans"))
 
 
-def masked(text: Column, rules: Sequence[SecretRule] = RULES, mask: str = "[SECRET]") -> Column:
-    """The text with every counted match replaced, one rule after the other, in time linear in the text."""
+def masked(text: Column, cuts: Column, mask: str = "[SECRET]") -> Column:
+    """The text with each of ``cuts`` (start, end; sorted and apart) replaced, in time linear in the text."""
+    mark = F.lit(b"\x00\x00\xfe\xff")  # so that no character of the text is taken for a byte order mark
+
+    def pieces(wide: Column) -> Column:
+        # Four bytes per code point: a piece is found without a look at what comes before it.
+        ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(cuts, lambda x: x["end"]))
+        starts = F.concat(F.transform(cuts, lambda x: x["start"]), F.array((F.length(wide) / 4).cast("long")))
+        between = F.arrays_zip(ends.alias("a"), starts.alias("z"))
+        part = lambda x: F.substring(wide, (x["a"] * 4 + 1).cast("int"), ((x["z"] - x["a"]) * 4).cast("int"))
+        return F.transform(between, lambda x: F.decode(F.concat(mark, part(x)), "UTF-32"))
+
+    return F.array_join(let(F.encode(text, "UTF-32"), pieces), mask)
 
-    def one(r: SecretRule, t: Column) -> Column:
-        parts = F.arrays_zip(
-            F.split(t, r.pattern, -1).alias("gap"),
-            F.regexp_extract_all(t, F.lit(r.pattern), F.lit(0)).alias("all"),
-            F.regexp_extract_all(t, F.lit(r.pattern), F.lit(r.value)).alias("value"),
-        )
-        counted = lambda x: F.char_length(x["value"]) >= r.least
-        kept = F.transform(
-            parts, lambda x: F.concat(x["gap"], F.coalesce(F.when(counted(x), F.lit(mask)).otherwise(x["all"]), F.lit("")))
-        )
-        return F.when(t.rlike(r.hint), F.array_join(kept, "")).otherwise(t)
 
+def _cuts(found: DataFrame, rules: Sequence[SecretRule]) -> DataFrame:
+    """(blob, cuts): the union of a blob's spans; spans that only touch stay two."""
+    lead = F.lit(0)
     for r in rules:
-        text = let(text, partial(one, r))
-    return text
+        lead = F.when(F.col("kind") == r.kind, r.lead).otherwise(lead) if r.lead else lead
+    follow = F.lead(F.struct("start", "end")).over(Window.partitionBy("blob").orderBy("start", "end"))
+    rest = F.col("start") + F.col("lead")
+    spans = (
+        found.select("blob", F.explode("spans").alias("s"))
+        .select("blob", "s.start", "s.end", "s.kind")
+        .withColumns({"lead": lead, "follow": follow})
+        .withColumn("start", F.when((F.col("follow.start") == rest) & (F.col("follow.end") >= F.col("end")), rest).otherwise(F.col("start")))
+        .select("blob", "start", "end")
+    )
+    before = Window.partitionBy("blob").orderBy("start", "end")
+    reached = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(F.col("start") < F.col("reached"), 0).otherwise(1)
+    return (
+        spans.withColumn("reached", reached)
+        .withColumn("part", F.sum(new).over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .groupBy("blob", "part")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy("blob")
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+    )
 
 
 def mask_secrets(docs: DataFrame, text: str = "text", ledger: str | None = None, rules: Sequence[SecretRule] = RULES) -> DataFrame:
-    """All rows and columns of ``docs``, with secrets in the text masked where the ledger knows of any."""
+    """All rows and columns of ``docs``, with the union of the ledger's spans masked on the text as it was scanned."""
     spark = docs.sparkSession
     ledger = ledger or f"{scratch_dir(spark)}/ledger"
     scan(docs, ledger, text, rules)
-    found = saved(blob_findings(spark, ledger, rules).select(F.col("blob").alias("__hitloom_blob")), "findings")
+    cuts = _cuts(blob_findings(spark, ledger, rules), rules)
+    found = saved(cuts.select(F.col("blob").alias("__hitloom_blob"), F.col("cuts").alias("__hitloom_cuts")), "findings")
+    n_cuts = found.agg(F.sum(F.size("__hitloom_cuts"))).first()[0] or 0
     return (
         docs.withColumn("__hitloom_sha", F.sha2(whole_text(text), 256))
-        .join(small_side(found), F.col("__hitloom_sha") == F.col("__hitloom_blob"), "left")
-        .withColumn(text, F.when(F.col("__hitloom_blob").isNotNull(), masked(F.col(text), rules)).otherwise(F.col(text)))
+        .join(
+            F.broadcast(found) if n_cuts <= BROADCAST_ROWS else found, F.col("__hitloom_sha") == F.col("__hitloom_blob"), "left"
+        )
+        .withColumn(
+            text, F.when(F.col("__hitloom_blob").isNotNull(), masked(F.col(text), F.col("__hitloom_cuts"))).otherwise(F.col(text))
+        )
         .select(*docs.columns)
     )
 
