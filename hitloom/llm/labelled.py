@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-#: Characters of the longest text that may be in a training sample; scoring has no such bound.
+from hitloom.llm.common import saved
+
+#: Characters of a text that a training sample takes at most, a piece of a longer one; scoring has no such bound.
 TRAIN_CHARS = 1 << 14
 
 
@@ -25,26 +28,31 @@ def training_texts(
 ) -> list[tuple[str, int]]:
     """At most ``per_class`` texts of each label, chosen by a hash of the id: (text, 0 or 1).
 
-    ``may_train`` is a condition on the key. Labels are chosen first, so only
-    their few texts are ever joined; both sides' sizes are bounded by the
-    parameters. Rows with a null id, label or text are left out; of rows that
-    repeat an id, any may be taken.
+    ``may_train`` is a condition on the key. Only ids that have a text are
+    chosen, each once for a label, and one piece of text is kept of each id
+    before anything is collected, so the rows collected are bounded by
+    ``per_class`` however often an id is repeated. Rows with a null id, label or
+    text are left out; of rows that repeat an id, one is taken.
     """
     known = labels.filter(F.col(target).isin(0, 1) & F.col(key).isNotNull() & may_train)
+    known = known.select(F.col(key), F.col(target).cast("int").alias("_label")).distinct()
+    there = docs.filter(F.col(text).isNotNull() & F.col(key).isNotNull()).select(key).distinct()
+    known = saved(known.join(there, key, "left_semi"), "labelled")
     picked = None
     for value in (0, 1):
-        # Half again as many as needed, as some texts are missing or too long.
-        part = (
-            known.filter(F.col(target) == value)
-            .select(F.col(key), F.col(target).cast("int").alias("_label"))
-            .orderBy(F.xxhash64(key), key)
-            .limit(per_class + per_class // 2)
-        )
+        part = known.filter(F.col("_label") == value).orderBy(F.xxhash64(key), key).limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    texts = docs.filter(F.char_length(text) <= TRAIN_CHARS).select(key, F.col(text).alias("_text"))
-    rows = texts.join(F.broadcast(picked), key).select(key, "_text", "_label").collect()
-    rows.sort(key=lambda r: (str(r[0]), r[1]))
-    kept: list[tuple[str, int]] = []
-    for value in (0, 1):
-        kept += [(r["_text"], value) for r in rows if r["_label"] == value][:per_class]
-    return kept
+    kept = [tuple(r) for r in picked.collect()]
+    pieces = texts_of(docs, [(i,) for i, _ in kept], [key], text)
+    return [(pieces[i,], value) for i, value in sorted(kept, key=lambda r: (r[1], str(r[0]))) if (i,) in pieces]
+
+
+def texts_of(docs: DataFrame, picked: list[tuple], keys: list[str], text: str) -> dict[tuple, str]:
+    """One text, or piece of it, for each of these values of ``keys``; copies are merged before they are shuffled."""
+    if not picked:
+        return {}
+    schema = StructType([StructField(k, docs.schema[k].dataType) for k in keys])
+    wanted = docs.sparkSession.createDataFrame(sorted(set(picked), key=str), schema)
+    own = docs.filter(F.char_length(text) <= TRAIN_CHARS).select(*keys, F.col(text).alias("_text"))
+    found = own.join(F.broadcast(wanted), keys, "left_semi").groupBy(*keys).agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    return {tuple(r)[:-1]: r[-1] for r in found.collect()}

@@ -34,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from hitloom.llm.common import whole_text
-from hitloom.llm.labelled import TRAIN_CHARS
+from hitloom.llm.common import saved, whole_text
+from hitloom.llm.labelled import texts_of
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 250
@@ -297,32 +297,24 @@ def train(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 1) ->
 def training_texts(
     docs: DataFrame, may_train: Column, key: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> list[tuple[str, str]]:
-    """At most `PER_LANGUAGE` texts of each language, by a hash of the id; texts are read for the chosen ids only."""
-    known = docs.filter(F.col(lang).isNotNull() & F.col(key).isNotNull() & may_train)
-    languages = [r[0] for r in known.select(lang).distinct().orderBy(lang).limit(MAX_LANGUAGES + 1).collect()]
+    """At most `PER_LANGUAGE` texts of each language, by a hash of the id; one text, or a piece of it, for each id.
+
+    Only rows with a text are looked at. An id counts once for a language, and of its rows one is kept before anything is
+    collected.
+    """
+    known = docs.filter(F.col(lang).isNotNull() & F.col(key).isNotNull() & F.col(text).isNotNull() & may_train)
+    ids = saved(known.select(key, lang).distinct(), "training_ids")
+    languages = [r[0] for r in ids.select(lang).distinct().orderBy(lang).limit(MAX_LANGUAGES + 1).collect()]
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} different values in {lang}")
     if not languages:
         return []
     picked = None
     for name in languages:
-        part = (
-            known.filter(F.col(lang) == name)
-            .select(key, F.col(lang).alias("_lang"))
-            .orderBy(F.xxhash64(key), key)
-            .limit(PER_LANGUAGE + PER_LANGUAGE // 2)
-        )
+        part = ids.filter(F.col(lang) == name).orderBy(F.xxhash64(key), key).limit(PER_LANGUAGE)
         picked = part if picked is None else picked.unionByName(part)
-    texts = docs.filter(F.char_length(text) <= TRAIN_CHARS).select(key, F.col(text).alias("_text"))
-    rows = texts.join(F.broadcast(picked), key).select(key, "_text", "_lang").collect()
-    rows.sort(key=lambda r: (str(r[0]), r[1]))
-    seen: Counter = Counter()
-    kept = []
-    for r in rows:
-        seen[r["_lang"]] += 1
-        if seen[r["_lang"]] <= PER_LANGUAGE:
-            kept.append((r["_text"], r["_lang"]))
-    return kept
+    pieces = texts_of(known, [tuple(r) for r in picked.collect()], [key, lang], text)
+    return [(t, name) for (_, name), t in sorted(pieces.items(), key=lambda x: (x[0][1], str(x[0][0])))]
 
 
 def _portions(column: pa.Array):

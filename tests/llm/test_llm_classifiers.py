@@ -62,6 +62,16 @@ def test_training_rows_are_bounded_and_from_the_allowed_fold(spark):
     assert all(int(t.split()[1]) % 5 and int(t.split()[1]) % 2 == y for t, y in sample)
 
 
+def test_a_repeated_id_is_one_training_text(spark, monkeypatch):
+    rows = [(1, "same text")] * 200 + [(2, "another")] + [(3, "a third")]
+    known = labelled(spark, "toxic", [(1, 1)] * 50 + [(2, 1), (3, 0)])
+    sample = training_texts(docs(spark, rows), known, "toxic", F.lit(True), 10)
+    assert sorted(sample) == [("a third", 0), ("another", 1), ("same text", 1)]
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 2)
+    sample = langid.training_texts(docs(spark, rows).withColumn("lang", F.lit("en")), F.lit(True))
+    assert len(sample) == 2 and len(set(sample)) == 2
+
+
 BYTES = [t.encode() for t in ("", "a", "short", "x" * 191, "y" * 192, "z" * 193, LONG[:5000], "Ünï 😀 " * 100)]
 
 
