@@ -44,7 +44,14 @@ def training_texts(
         picked = part if picked is None else picked.unionByName(part)
     kept = [tuple(r) for r in picked.collect()]
     pieces = texts_of(docs, [(i,) for i, _ in kept], [key], text)
-    return [(pieces[i,], value) for i, value in sorted(kept, key=lambda r: (r[1], str(r[0]))) if (i,) in pieces]
+    return [(pieces[i,], value) for i, value in sorted(kept, key=lambda r: (r[1], str(r[0])))]
+
+
+def piece(text: Column, key: Column) -> Column:
+    """The text, or of a longer one `TRAIN_CHARS` characters in a row from a place that hashes of id and length choose."""
+    spare = F.char_length(text) - TRAIN_CHARS
+    at = F.when(spare > 0, F.pmod(F.xxhash64(key, spare), spare + 1)).otherwise(0)
+    return F.substring(text, (at + 1).cast("int"), F.lit(TRAIN_CHARS))
 
 
 def texts_of(docs: DataFrame, picked: list[tuple], keys: list[str], text: str) -> dict[tuple, str]:
@@ -53,6 +60,6 @@ def texts_of(docs: DataFrame, picked: list[tuple], keys: list[str], text: str) -
         return {}
     schema = StructType([StructField(k, docs.schema[k].dataType) for k in keys])
     wanted = docs.sparkSession.createDataFrame(sorted(set(picked), key=str), schema)
-    own = docs.filter(F.char_length(text) <= TRAIN_CHARS).select(*keys, F.col(text).alias("_text"))
+    own = docs.filter(F.col(text).isNotNull()).select(*keys, piece(F.col(text), F.col(keys[0])).alias("_text"))
     found = own.join(F.broadcast(wanted), keys, "left_semi").groupBy(*keys).agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
     return {tuple(r)[:-1]: r[-1] for r in found.collect()}

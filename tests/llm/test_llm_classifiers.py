@@ -7,7 +7,7 @@ from llm_cases import LONG, TEXTS, docs
 from pyspark.sql import functions as F
 
 from hitloom.llm import langid, quality_cnn, toxicity
-from hitloom.llm.labelled import fold, training_texts
+from hitloom.llm.labelled import TRAIN_CHARS, fold, training_texts
 from hitloom.llm.queries import op5_quality_cnn, op6_toxicity, op8_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -72,6 +72,17 @@ def test_a_repeated_id_is_one_training_text(spark, monkeypatch):
     assert len(sample) == 2 and len(set(sample)) == 2
 
 
+def test_long_and_missing_texts_do_not_shrink_the_sample(spark, monkeypatch):
+    rows = [(i, None) for i in range(60)] + [(100 + i, LONG if i % 2 else f"text {i}") for i in range(8)]
+    known = labelled(spark, "toxic", [(i, i % 2) for i in range(120)])
+    sample = training_texts(docs(spark, rows), known, "toxic", F.lit(True), 4)
+    assert [y for _, y in sample] == [0] * 4 + [1] * 4
+    assert all((len(t) == TRAIN_CHARS and t in LONG) if y else t.startswith("text") for t, y in sample)
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 4)
+    sample = langid.training_texts(docs(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "de").otherwise("en")), F.lit(True))
+    assert [lang for _, lang in sample] == ["de"] * 4 + ["en"] * 4 and all(t in LONG for t, lang in sample if lang == "de")
+
+
 BYTES = [t.encode() for t in ("", "a", "short", "x" * 191, "y" * 192, "z" * 193, LONG[:5000], "Ünï 😀 " * 100)]
 
 
