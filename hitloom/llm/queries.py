@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hitloom.llm.common import table
 from hitloom.llm.decontaminate import SHARE, SHINGLE_WORDS, contained_items
+from hitloom.llm.exact_dedup import exact_duplicates
 from hitloom.llm.labelled import fold
 from hitloom.llm.langid import identify
 from hitloom.llm.packing import pack_documents
@@ -65,6 +66,13 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.col("keep").alias("keep_id"), "group_size", "kept", F.col("sha256").alias("text_sha256")
+    )
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -188,6 +196,13 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM t LEFT JOIN f USING (r)
 """
 
+OP13_SQL = """
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, r) = 1 AS kept, sha256(t) AS text_sha256
+FROM t
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -199,10 +214,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_repeats": op10_repeats,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op3_decontaminate": OP3_SQL,
     "op7_secret_scan": OP7_SQL,
+    "op13_exact_dedup": OP13_SQL,
 }
