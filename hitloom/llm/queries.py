@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import table
+from hitloom.llm.common import table, whole_text, words
 from hitloom.llm.decontaminate import SHARE, SHINGLE_WORDS, contained_items
 from hitloom.llm.exact_dedup import exact_duplicates
 from hitloom.llm.labelled import fold
@@ -16,6 +16,7 @@ from hitloom.llm.packing import pack_documents
 from hitloom.llm.quality_cnn import quality_scores
 from hitloom.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, apply_rules
 from hitloom.llm.repeats import repeats
+from hitloom.llm.runs import periodic_runs
 from hitloom.llm.secret_scan import RULES as SECRET_RULES
 from hitloom.llm.secret_scan import find_secrets, spans_text
 from hitloom.llm.simhash import near_duplicates
@@ -66,6 +67,36 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def _looped_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, words): a tenth of the documents repeat a stretch of theirs to the end, by the hash of the id."""
+    split = docs.select("doc_id", F.crc32(F.col("doc_id").cast("string")).alias("h"), words(whole_text()).alias("w"))
+    n, g = F.size("w").cast("long"), F.floor(F.col("h") / 10)
+    first = g % n
+    period = 1 + F.floor((n - first) / (3 + g % 8))
+    at = lambda i: F.get("w", F.when(i < first, i).otherwise(first + (i - first) % period).cast("int"))
+    looped = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), at)
+    return split.select("doc_id", F.when((F.col("h") % 10 == 0) & (n > 0), looped).otherwise(F.col("w")).alias("words"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_looped_words(table(spark, sf_dir, "documents")))
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    start, period = -F.col("best.s"), -F.col("best.p")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        F.col("best.length").alias("length"),
+        period.alias("period"),
+        F.floor(1000 * F.col("best.length") / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -214,6 +245,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_repeats": op10_repeats,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
