@@ -22,6 +22,7 @@ from hitloom.llm.secret_scan import find_secrets, spans_text
 from hitloom.llm.simhash import near_duplicates
 from hitloom.llm.toxicity import toxicity_scores
 from hitloom.llm.warc import archive_pages
+from hitloom.llm.whitening import whiten
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +98,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -246,6 +251,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_repeats": op10_repeats,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
     "op13_exact_dedup": op13_exact_dedup,
 }
 

@@ -1,0 +1,148 @@
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from hitloom.llm import whitening
+from hitloom.llm.queries import QUERIES
+from hitloom.llm.whitening import eigen, whiten
+
+EXTENDED = np.finfo(np.longdouble).eps < 1e-18
+TIGHT = 1e-17 if EXTENDED else 1e-14
+
+
+def matrix(values, seed=0):
+    """A symmetric matrix with these eigenvalues, in extended precision, and its eigenvectors."""
+    d = len(values)
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, d)))[0].astype(np.longdouble)
+    for _ in range(3):
+        q = q @ (1.5 * np.eye(d) - 0.5 * (q.T @ q))
+    a = (q * np.array(values, dtype=np.longdouble)) @ q.T
+    return (a + a.T) / 2, q
+
+
+SPECTRA = {
+    "apart": np.linspace(1, 10, 40),
+    "clusters": [1, 1 + 1e-9, 2, 2 + 1e-12, 3, *[5] * 3, *(7 + k * 1e-7 for k in range(6))],
+    "small_cluster": [1e6, *(1e-6 * (1 + k * 1e-5) for k in range(20))],
+    "graded": 10.0 ** -np.arange(16),
+    "rank": [0] * 5 + [1, 2],
+    "near_identity": 3 + np.random.default_rng(1).normal(size=40) * 1e-8,
+    "one": [4.0],
+    "nothing": [0.0] * 4,
+}
+
+
+@pytest.mark.parametrize("name", SPECTRA)
+def test_eigenvectors_are_right_beyond_double_precision(name):
+    a, _ = matrix(SPECTRA[name])
+    values, x = eigen(a)
+    size = max(np.abs(a).max(), np.finfo(float).tiny)
+    assert np.abs(a @ x - x * values).max() <= TIGHT * size * len(a)
+    assert np.abs(x.T @ x - np.eye(len(a))).max() <= TIGHT * len(a)
+    assert (np.diff(values) <= 0).all()
+    assert np.abs(values - np.sort(np.array(SPECTRA[name], dtype=np.longdouble))[::-1]).max() <= TIGHT * size * len(a) * 4
+
+
+def test_vectors_of_close_eigenvalues_are_told_apart():
+    """A gap of 1e-9: float64 solvers leave an error of some 1e-7 in these vectors."""
+    a, q = matrix([1, 1 + 1e-9, 2, 3])
+    _, x = eigen(a)
+    order = [3, 2, 1, 0]
+    assert np.abs(np.abs(x.T @ q[:, order]) - np.eye(4)).max() < (1e-9 if EXTENDED else 1e-5)
+
+
+def brute(vectors, components=4):
+    """n, sums, covariance in fractions, eigenvalues and vectors of the different vectors."""
+    distinct = sorted(set(map(tuple, vectors)))
+    n, d = len(distinct), len(distinct[0])
+    sums = [sum(v[k] for v in distinct) for k in range(d)]
+    mean = [Fraction(s, n) for s in sums]
+    v = [[float(sum((x[i] - mean[i]) * (x[j] - mean[j]) for x in distinct) / n) for j in range(d)] for i in range(d)]
+    values, q = np.linalg.eigh(np.array(v))
+    k = min(components, d)
+    return n, sums, values[::-1][:k], q[:, ::-1][:, :k], float(np.trace(np.array(v)))
+
+
+def compare(rows, vectors, tolerance=1e-9):
+    n, sums, values, q, trace = brute(vectors.values())
+    assert len(rows) == len(vectors) * len(values)
+    expected = {key: (np.array(x) - np.array(sums) / n) @ q / np.sqrt(values) for key, x in vectors.items()}
+    found = {(r[0], r.component): r for r in rows}
+    for c in range(len(values)):
+        signs = {np.sign(found[key, c + 1].whitened * w[c]) for key, w in expected.items() if abs(w[c]) > 1e-6}
+        assert len(signs) == 1  # either, but one for all rows
+        for key, w in expected.items():
+            r = found[key, c + 1]
+            assert abs(abs(r.whitened) - abs(w[c])) < tolerance * max(1, abs(w[c]))
+            assert r.n == n and r.deviation == sum((n * a - s) ** 2 for a, s in zip(vectors[key], sums))
+            assert math.isclose(r.explained, values[c] / trace, rel_tol=1e-9) and r.identity_error < 1e-9
+
+
+def floors(embedding):
+    return tuple(math.floor(256 * float(np.float32(c))) for c in embedding)
+
+
+def test_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    compare(QUERIES["op12_whitening"](spark, folder).collect(), {r.vec_id: floors(r.embedding) for r in table})
+
+
+SCHEMA = "vec_id long, embedding array<float>, x array<long>, key string, n int, component string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, [1], "k", 5, "c") for i, v in rows], SCHEMA)
+
+
+def test_unusual_rows(spark):
+    rng = np.random.default_rng(7)
+    good = [(k, rng.normal(size=5).astype(np.float32).tolist()) for k in range(30)]
+    copies = [(100 + k, good[0][1]) for k in range(40)] + [(3, good[3][1])]
+    bad = [(200, None), (201, []), (202, [1.0, None, 1.0, 1.0, 1.0]), (203, [1.0, float("nan")] + [0.0] * 3), (204, [float("-inf")] * 5), (205, [1.0])]
+    same_floor = [(300, [c + 1e-5 if math.floor(256 * (c + 1e-5)) == math.floor(256 * c) else c for c in good[1][1]])]
+    rows = whiten(frame(spark, good + copies + bad + same_floor)).collect()
+    vectors = {i: floors(v) for i, v in good + copies + same_floor}
+    assert len(rows) == 4 * (len(good) + len(copies) + len(same_floor))
+    seen = {(r.vec_id, r.component): r for r in rows}
+    compare(list(seen.values()), vectors)
+
+
+@pytest.mark.parametrize(
+    ("vectors", "whitened"),
+    [
+        ([[1.0, 2.0]], [[None, None]]),  # one vector: no variance
+        ([[1.0, 2.0]] * 3, [[None, None]] * 3),
+        ([[0.0], [1.0]], [[-1.0], [1.0]]),  # fewer dimensions than components
+        ([[0.0, 5.0], [1.0, 5.0]], [[-1.0, None], [1.0, None]]),
+    ],
+)
+def test_little_variance(spark, vectors, whitened):
+    rows = sorted(whiten(frame(spark, list(enumerate(vectors)))).collect())
+    found = [[r.whitened for r in rows if r.vec_id == k] for k in range(len(vectors))]
+    rounded = [[None if w is None else round(w, 12) for w in row] for row in found]
+    assert rounded in (whitened, [[None if w is None else -w for w in row] for row in whitened])
+
+
+def test_numbers_beyond_a_long(spark):
+    rows = whiten(frame(spark, [(1, [3e38, 1.0]), (2, [-3e38, 2.0]), (3, [1e7, 3.0]), (4, [0.0, 3.5])])).collect()
+    assert len(rows) == 8 and all(r.deviation is None for r in rows if r.vec_id in (1, 2))
+    assert all(r.whitened is not None and math.isfinite(r.whitened) for r in rows if r.component == 1)
+
+
+def test_empty_tables(spark):
+    assert whiten(frame(spark, [])).collect() == []
+    assert whiten(frame(spark, [(1, None), (2, [])])).collect() == []
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(-(2**62), 2**62), st.integers(-9, 9)), min_size=1, max_size=6))
+def test_limbs_hold_any_whole_number(pairs):
+    values = [a * b for a, b in pairs]
+    batch = whitening._limbs(values, [0] * len(values), [0] * len(values)).to_pylist()
+    a, b, c = (sum(r[k] for r in batch) for k in "abc")
+    assert (a << 80) + (b << 40) + c == sum(values)
