@@ -44,10 +44,10 @@ STEP = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 
 #: Words that are searched together, if no single sequence has more.
-BATCH_WORDS = 1 << 18
+BATCH_WORDS = 1 << 17
 
 #: Grid pairs that are made at a time.
-BLOCK_PAIRS = 1 << 20
+BLOCK_PAIRS = 1 << 16
 
 RUNS = "array<struct<start:long,length:long,period:long>>"
 
