@@ -43,6 +43,9 @@ WINDOW = 1024
 #: Texts with other characters than these are left to the tokenizer: libraries may differ in what they call a letter.
 _LATIN = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\u024f]")
 
+#: The fast library gives up on white space of about a million characters in a row; so long a run goes to the tokenizer.
+_LONG_GAP = re.compile(r"(?<!\s)\s{10000}")
+
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PRE_TOKENS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -71,7 +74,7 @@ class Encoder:
     """Texts to token ids, as bytes of little-endian unsigned 32-bit numbers.
 
     The vocabulary file defines the ids. Where it is plain byte-level BPE, a
-    faster library with the same ranks encodes all ordinary Latin text.
+    faster library with the same ranks encodes all Latin text without very long gaps.
     """
 
     def __init__(self, path: str):
@@ -88,7 +91,8 @@ class Encoder:
         return [self._one(t) for t in texts]
 
     def _one(self, text: str) -> bytes:
-        if self.fast and not _LATIN.search(text) and not any(s in text for s in self.special):
+        plain = not _LATIN.search(text) and not _LONG_GAP.search(text)
+        if self.fast and plain and not any(s in text for s in self.special):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
         if self.tokenizer is None:
             from tokenizers import Tokenizer

@@ -2,10 +2,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import TEXTS, docs
+from pyspark.sql import functions as F
 
 from hitloom.llm.packing import Encoder, Limits, Packer, pack_documents, pack_examples
 from hitloom.llm.queries import tokenizer_path
@@ -57,6 +59,27 @@ def test_cached_pre_tokens_give_the_tokenizer_s_ids(tokenizer, texts):
         assert np.frombuffer(data, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("c", [" ", "\n", "\t", " \n", "\xa0", "a", "7", "!", "é", "漢"])
+def test_long_runs_have_the_tokenizer_s_ids(tokenizer, c):
+    text = "ab " + c * 2_000_000 + "cd"
+    assert np.frombuffer(Encoder(tokenizer_path()).encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_long_gaps_are_packed(spark):
+    rows = [(1, "a" + " " * 2_000_000), (2, "\n" * 1_500_000), (3, ("x" + " " * 9_999) * 200)]
+    found = pack_documents(docs(spark, rows), tokenizer_path()).groupBy("doc_id", "doc_tokens").agg(F.sum("length").alias("n")).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3} and all(r.n == r.doc_tokens for r in found)
+
+
+def test_ids_of_all_documents_are_the_tokenizer_s(tokenizer):
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column(0).to_pylist()
+    encoder = Encoder(tokenizer_path())
+    for low in range(0, len(texts), 500):
+        part = [t or "" for t in texts[low : low + 500]]
+        whole = tokenizer.encode_batch(part, add_special_tokens=False)
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(part)] == [x.ids for x in whole]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 40), st.integers(0, 40)), max_size=60))
 def test_examples_stay_whole_and_within_all_limits(items):

@@ -10,7 +10,7 @@ SF_TINY, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLE_SQL) <= set(contract.oracle_sql())
 
