@@ -6,7 +6,8 @@ learned weights of its features: hashed n-grams of its bytes, its affixes, and
 whether it is in a language's lexicon (frequent words of the training texts).
 Learned transitions tie neighbours together, and forward-backward gives each
 word's posterior. A text's language is the one with the largest mean
-posterior, which is its score.
+posterior, which is its score. How sure the labels are is another matter: the
+mean of each word's largest posterior, high also for a text in many languages.
 
 Training sequences are cut from texts of known language; half of them are
 spliced from texts of two languages, so that transitions learn how often
@@ -31,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -50,16 +52,22 @@ SEQUENCE = 24
 SEQUENCES_PER_TEXT = 4
 EPOCHS = 4
 
-#: Words in a block of the scoring layout, words scored at a time, words kept by a worker.
+#: Words in a block of the scoring layout, words scored at a time, their scores at most, words kept by a worker.
 BLOCK = 32
 WORDS_AT_ONCE = 1 << 15
+SCORES_AT_ONCE = 1 << 20
 CACHE = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    words = _LETTERS.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    # The pattern takes numerals such as a superscript two for letters.
+    apart = ("".join(c if c.isalpha() else " " for c in w).split() for w in words)
+    return [w for part in apart for w in part]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -129,26 +137,31 @@ def posteriors(emission: np.ndarray, transition: np.ndarray, lengths: np.ndarray
     starts = np.zeros(total, dtype=bool)
     starts[first] = True
 
-    # A block's transfer matrix: row vector in, row vector out.
-    eye = np.broadcast_to(np.eye(n_labels), (total, n_labels, n_labels)).copy()
-    transfer = eye
-    for k in range(BLOCK):
-        step = (transfer.reshape(-1, n_labels) @ transition).reshape(transfer.shape)
-        if k == 0:
-            step[starts] = eye[starts]
-        step = step * e[:, k, None, :]
-        step /= step.sum(axis=(1, 2), keepdims=True)
-        transfer = np.where(there[:, k, None, None], step, transfer)
-    # Messages into each block, from the left and from the right, text by text but all texts at once.
+    # Messages into each block, from the left and from the right. Texts of one block need none.
     left = np.full((total, n_labels), 1.0 / n_labels)
     right = np.full((total, n_labels), 1.0 / n_labels)
-    most = int(blocks.max(initial=0))
-    for j in range(1, most):
-        at = first[blocks > j] + j
-        left[at] = _normal(np.einsum("ni,nij->nj", left[at - 1], transfer[at - 1]))
-    for j in range(most - 2, -1, -1):
-        at = first[blocks > j + 1] + j
-        right[at] = _normal(np.einsum("nij,nj->ni", transfer[at + 1], right[at + 1]))
+    long = np.flatnonzero(np.repeat(blocks > 1, blocks))
+    if len(long):
+        # A block's transfer matrix: row vector in, row vector out.
+        eye = np.broadcast_to(np.eye(n_labels), (len(long), n_labels, n_labels)).copy()
+        transfer = eye
+        for k in range(BLOCK):
+            step = (transfer.reshape(-1, n_labels) @ transition).reshape(transfer.shape)
+            if k == 0:
+                step[starts[long]] = eye[starts[long]]
+            step = step * e[long, k, None, :]
+            step /= step.sum(axis=(1, 2), keepdims=True)
+            transfer = np.where(there[long, k, None, None], step, transfer)
+        number = np.zeros(total, dtype=np.int64)
+        number[long] = np.arange(len(long))
+        # Text by text, but all texts at once.
+        most = int(blocks.max())
+        for j in range(1, most):
+            at = first[blocks > j] + j
+            left[at] = _normal(np.einsum("ni,nij->nj", left[at - 1], transfer[number[at - 1]]))
+        for j in range(most - 2, -1, -1):
+            at = first[blocks > j + 1] + j
+            right[at] = _normal(np.einsum("nij,nj->ni", transfer[number[at + 1]], right[at + 1]))
     forward = np.empty_like(e)
     message = left
     for k in range(BLOCK):
@@ -309,28 +322,39 @@ def training_texts(
         raise ValueError(f"more than {MAX_LANGUAGES} different values in {lang}")
     if not languages:
         return []
-    picked = None
-    for name in languages:
-        part = ids.filter(F.col(lang) == name).orderBy(F.xxhash64(key), key).limit(PER_LANGUAGE)
-        picked = part if picked is None else picked.unionByName(part)
+    order = Window.partitionBy(lang).orderBy(F.xxhash64(key), key)
+    picked = ids.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= PER_LANGUAGE).select(key, lang)
     pieces = texts_of(known, [tuple(r) for r in picked.collect()], [key, lang], text)
     return [(t, name) for (_, name), t in sorted(pieces.items(), key=lambda x: (x[0][1], str(x[0][0])))]
 
 
-def _portions(column: pa.Array):
-    """Consecutive texts, some `WORDS_AT_ONCE` words together, so that a portion's messages fit in little memory."""
+def _portions(column: pa.Array, n_labels: int):
+    """Consecutive texts, so many words together that a portion's messages fit in little memory.
+
+    A text counts whole blocks, as it is laid out; a text that is longer than a portion is one by itself.
+    """
+    most = min(WORDS_AT_ONCE, SCORES_AT_ONCE // n_labels)
     part: list[str] = []
     size = 0
     for value in column:
         part.append(value.as_py() or "")
-        size += len(part[-1]) // 6 + 1
-        if size >= WORDS_AT_ONCE:
+        size += (len(part[-1]) // (6 * BLOCK) + 1) * BLOCK
+        if size >= most:
             yield part
             part, size = [], 0
     if part:
         yield part
 
 
+def _verdict(model: WordCRF, part: np.ndarray) -> tuple[str, float, float]:
+    """The language of a text with these word posteriors, its mean posterior, and how sure the labels of its words are."""
+    if not len(part):
+        return UNDETERMINED, 0.0, 0.0
+    mean = part.mean(axis=0)
+    best = int(mean.argmax())
+    return model.languages[best], min(1.0, float(mean[best])), min(1.0, float(part.max(axis=1).mean()))
+
+
 def label_texts(
     docs: DataFrame, model: WordCRF | None, key: str = "doc_id", text: str = "text", spans: bool = False
 ) -> DataFrame:
@@ -355,12 +379,11 @@ def label_texts(
         labeller = Labeller(model)
         for batch in batches:
             names, scores, found = [], [], []
-            for portion in _portions(batch.column(1)):
+            for portion in _portions(batch.column(1), len(model.languages)):
                 for part in labeller.label(portion):
-                    mean = part.mean(axis=0) if len(part) else None
-                    best = None if mean is None else int(mean.argmax())
-                    names.append(UNDETERMINED if best is None else model.languages[best])
-                    scores.append(0.0 if best is None else min(1.0, float(mean[best])))
+                    name, score, _ = _verdict(model, part)
+                    names.append(name)
+                    scores.append(score)
                     if spans:
                         found.append(runs(part))
             columns = [batch.column(0), pa.array(names), pa.array(scores)]
@@ -376,30 +399,24 @@ def label_texts(
 
 
 def with_language(docs: DataFrame, model: WordCRF | None, text: str = "text", prefix: str = "_lang") -> DataFrame:
-    """All rows and columns, and ``{prefix}_pred`` and ``{prefix}_score``; nothing is joined or shuffled."""
-    pred, score = f"{prefix}_pred", f"{prefix}_score"
-    docs = docs.drop(pred, score)
+    """All rows and columns, and ``{prefix}_pred``, ``{prefix}_score`` and ``{prefix}_sure``; nothing is joined or shuffled."""
+    made = [f"{prefix}_{name}" for name in ("pred", "score", "sure")]
+    docs = docs.drop(*made)
     if model is None:
-        return docs.withColumn(pred, F.lit(UNDETERMINED)).withColumn(score, F.lit(0.0))
+        return docs.withColumns(dict(zip(made, (F.lit(UNDETERMINED), F.lit(0.0), F.lit(0.0)))))
     at = docs.columns.index(text)
 
     def run(batches):
         labeller = Labeller(model)
         for batch in batches:
-            names, scores = [], []
-            for texts in _portions(batch.column(at)):
-                for part in labeller.label(texts):
-                    mean = part.mean(axis=0) if len(part) else None
-                    best = None if mean is None else int(mean.argmax())
-                    names.append(UNDETERMINED if best is None else model.languages[best])
-                    scores.append(0.0 if best is None else min(1.0, float(mean[best])))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, pred, score],
-            )
-
-    schema = StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(score, DoubleType())])
-    return docs.mapInArrow(run, schema)
+            portions = _portions(batch.column(at), len(model.languages))
+            found = [_verdict(model, part) for texts in portions for part in labeller.label(texts)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.float64(), pa.float64()))]
+            if found:
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *made])
+
+    kinds = zip(made, (StringType(), DoubleType(), DoubleType()))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *(StructField(*k) for k in kinds)]))
 
 
 def identify(docs: DataFrame, may_train: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -1,7 +1,9 @@
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import LONG, TEXTS, docs
 from pyspark.sql import functions as F
@@ -196,11 +198,41 @@ def test_language_of_unusual_texts(spark, crf):
         if not any(re.search(r"[^\W\d_]", t or "") for t in text):
             assert (r.lang_pred, r.score) == ("und", 0.0)
     kept = langid.with_language(docs(spark), crf)
-    assert kept.columns == [*docs(spark).columns, "_lang_pred", "_lang_score"]
+    assert kept.columns == [*docs(spark).columns, "_lang_pred", "_lang_score", "_lang_sure"]
+    assert all(r._lang_sure >= r._lang_score for r in kept.collect())
     pairs = lambda df, a, b: sorted((str(r.doc_id), r[a], round(r[b], 9)) for r in df.collect())
     assert pairs(kept, "_lang_pred", "_lang_score") == sorted((str(r.doc_id), r.lang_pred, round(r.score, 9)) for r in found)
 
 
+def test_numerals_are_no_letters(spark, crf):
+    found = langid.label_texts(docs(spark, [(1, "² ½ Ⅷ ① 5 _"), (2, "x²y")]), crf).collect()
+    assert [(r.lang_pred, r.score) for r in found if r.doc_id == 1] == [("und", 0.0)]
+    assert langid.words_of("x²y ½alpha 一二 a_b") == ["x", "y", "alpha", "一二", "a", "b"]
+
+
+def test_short_texts_of_many_languages_take_little_memory():
+    """200 labels: a transfer matrix for each of these texts would take over 10 GB."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    model = langid.WordCRF([f"l{k:03}" for k in range(200)], {}, rng.normal(size=(langid.ROWS + 1, 200)), rng.random((200, 200)) + 0.1)
+    texts = pa.array([f"word{chr(97 + k % 26)}" for k in range(8_192)])
+    tracemalloc.start()
+    labeller, n = langid.Labeller(model), 0
+    for portion in langid._portions(texts, 200):
+        n += len(labeller.label(portion))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and peak < 400e6
+
+
+def test_at_most_so_many_texts_of_each_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 7)
+    rows = [(k, f"text number {k}", "ab"[k % 2] if k < 60 else "c") for k in range(64)] + [(3, "again", "b")] * 50
+    found = langid.training_texts(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert sorted(Counter(name for _, name in found).items()) == [("a", 7), ("b", 7), ("c", 4)]
+
+
 def test_nothing_to_learn_from_means_undetermined(spark):
     rows = docs(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {(r.lang_pred, r.score) for r in langid.identify(rows, F.lit(True)).collect()} == {("und", 0.0)}
