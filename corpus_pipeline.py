@@ -4,8 +4,9 @@ Each stage calls one operator on all that the stage before kept; in between,
 documents are written to the shared folder and read again. All stages but the
 last return the columns of documents:
 
-1. language ID drops documents whose language cannot be told: no letters, or a
-   best language with a mean posterior below `MIN_LANGUAGE_SCORE`;
+1. language ID drops documents whose language cannot be told: no letters, or
+   words whose labels are unsure, with a mean of each word's largest posterior
+   below `MIN_LANGUAGE_SURE`; a clean text in several languages stays;
 2. SimHash near-dedup keeps one document of each group, the one with the
    smallest id (rows without an id come last, repeated rows in any order);
 3. benchmark decontamination drops documents that contain a test item;
@@ -13,7 +14,10 @@ last return the columns of documents:
 5. packing cuts and packs what is left into sequences.
 
 Decisions that are joined back use a number that each row gets when a stage
-first writes it, so null and repeated ids are rows like any other.
+first writes it, so null and repeated ids are rows like any other. Null texts
+have no language and go; empty tables stay empty; texts of any length are taken
+whole; columns that documents have beside their own are kept, whatever their
+names, unless they start with ``__hitloom_``.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from hitloom.llm.queries import tokenizer_path
 from hitloom.llm.secret_scan import mask_secrets
 from hitloom.llm.simhash import near_duplicates
 
-MIN_LANGUAGE_SCORE = 0.4
+MIN_LANGUAGE_SURE = 0.4
 
 _ROW = "__hitloom_row"
 
@@ -46,7 +50,7 @@ def _without(numbered: DataFrame, rows: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(training_texts(docs, fold(F.col("doc_id"), 5) != 0))
-    known = (F.col("__hitloom_lang_pred") != UNDETERMINED) & (F.col("__hitloom_lang_score") >= MIN_LANGUAGE_SCORE)
+    known = (F.col("__hitloom_lang_pred") != UNDETERMINED) & (F.col("__hitloom_lang_sure") >= MIN_LANGUAGE_SURE)
     return with_language(docs, model, prefix="__hitloom_lang").filter(known).select(*docs.columns)
 
 
