@@ -69,6 +69,15 @@ def test_language_stage_drops_what_has_no_letters(spark):
     assert kept.count() == docs.count()
 
 
+def test_language_stage_keeps_texts_in_several_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    parts = {r.lang: r.text for r in docs.filter("length(text) between 800 and 2000").groupBy("lang").agg(F.min("text").alias("text")).collect()}
+    assert len(parts) >= 3
+    mixed = spark.createDataFrame([(-1, " ".join(t[:800] for t in parts.values()), "en", "s", 1)], docs.schema)
+    kept = stage("language_id")(spark, docs.unionByName(mixed), SF)
+    assert kept.filter("doc_id = -1").count() == 1
+
+
 def test_decontamination_stage_drops_rows_without_an_id_too(spark):
     item = spark.read.parquet(f"{SF_TINY}/benchmark.parquet").first().text
     kept = stage("decontaminate")(spark, unusual(spark, [(1, "x " + item), (None, item), (2, "clean"), (None, "fine")]), SF_TINY)
