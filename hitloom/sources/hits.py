@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType
 
+from hitloom.sources.compact import block_states, check_ends, compact_elements
 
 _BLANKS = " \t\r\n"
 _CORRUPT = "_corrupt_record"
@@ -138,6 +139,10 @@ def land_bronze(
       line break inside a string is escaped), so that is the record separator:
       a file of any size is split over many tasks, and hits are copied without
       being parsed, less their line breaks.
+    - ``compact``: one JSON array of objects, in any white space or none. Text is
+      cut where the depth, summed up over all blocks of the file, falls to that of
+      the array: a file of any size is split over many tasks, at the price of one
+      shuffle of its text. Hits are copied without being parsed, less line breaks.
     - ``document``: any other JSON array (or one object). Each file is parsed by
       one task and must fit into a string of it (2 GB); hits keep their own
       structure, whatever the others have, only numbers are written plainly.
@@ -157,8 +162,16 @@ def land_bronze(
         lines = spark.read.text(export).filter(line != "").select(F.when(~is_layout, F.col("value")).otherwise(refused).alias("value"))
     elif layout == "indented":
         lines = _indented_elements(spark, export, " " * indent)
+    elif layout == "compact":
+        states = block_states(spark, export).persist()
+        try:
+            check_ends(states)
+            compact_elements(spark, export, states).write.mode("overwrite").options(**options).text(path)
+        finally:
+            states.unpersist()
+        return
     else:
-        raise ValueError(f"layout {layout!r}: expected 'lines', 'indented' or 'document'")
+        raise ValueError(f"layout {layout!r}: expected 'lines', 'indented', 'compact' or 'document'")
     lines.write.mode("overwrite").options(**options).text(path)
 
 

@@ -271,6 +271,11 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({_AREAS}) GROUP BY Kind, Active""",
     "multi_line_documents": _ORDER_HITS,
     "indented_documents": _ORDER_HITS,
+    "compact_documents": r"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS id,
+               '"},{"[' || o_custkey || ']\\' || CASE WHEN o_orderkey % 2 = 0 THEN '"' ELSE '}' END || o_orderstatus AS note,
+               i AS part, '}' AS part_text, CAST(NULL AS VARCHAR) AS nothing
+        FROM orders JOIN (VALUES (0::BIGINT), (1), (2)) p(i) ON i <= o_orderkey % 3""",
     "silver_gold_roundtrip": _AREAS,
     "medallion_area_by_numbers": _AREA_BY_NUMBERS,
     "topic_areas": _AREAS,

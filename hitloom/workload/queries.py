@@ -392,6 +392,22 @@ def indented_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_documents(spark, sf_dir, "indented")
 
 
+def compact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays on one line each, of any size, cut into hits by the depth of their braces."""
+    root = records.scratch_dir(spark)
+    records.write_documents(records.noted_order_lines(spark, sf_dir), f"{root}/export", 1 << 26, indented=False)
+    bronze = layer_path(root, "orders", "bronze")
+    land_bronze(spark, f"{root}/export", bronze, "compact")
+    rows = unpack(read_hits(spark, bronze))
+    return rows.select(
+        flat("_id").alias("id"),
+        flat("_source.note").alias("note"),
+        flat("_source.parts.n").alias("part"),
+        flat("_source.parts.text").alias("part_text"),
+        flat("_source.empty.list").alias("nothing"),
+    )
+
+
 def conflicting_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits with a field of several types, landed from all three layouts."""
     root = records.scratch_dir(spark)
@@ -565,6 +581,7 @@ QUERIES: dict[str, Query] = {
     "conflicting_hits": conflicting_hits,
     "multi_line_documents": multi_line_documents,
     "indented_documents": indented_documents,
+    "compact_documents": compact_documents,
     "silver_gold_roundtrip": silver_gold_roundtrip,
     "gold_aggregate": gold_aggregate,
     "medallion_areas": medallion_areas,

@@ -50,8 +50,8 @@ def hit_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_documents(lines: DataFrame, path: str, document_bytes: int = 1 << 22) -> None:
-    """Write hits (JSON objects as text) as arrays, one per file, an element per indented block.
+def write_documents(lines: DataFrame, path: str, document_bytes: int = 1 << 22, indented: bool = True) -> None:
+    """Write hits (JSON objects as text) as arrays, one per file, an element per indented block or all on one line.
 
     A document takes consecutive rows of one scan task, as many as fit into
     ``document_bytes`` at the size of the largest hit: documents are bounded in
@@ -60,9 +60,10 @@ def write_documents(lines: DataFrame, path: str, document_bytes: int = 1 << 22)
     largest = lines.agg(F.max(F.octet_length("value"))).first()[0] or 1
     rows = max(1, document_bytes // (largest + 24))
     numbered = lines.withColumn("document", F.expr(f"monotonically_increasing_id() div {rows}"))
-    element = r"concat('\n    {\n        ', substring(value, 2, char_length(value) - 2), '\n    }')"
-    documents = numbered.groupBy("document").agg(F.collect_list(F.expr(element)).alias("elements"))
-    text = documents.selectExpr(r"concat('[', array_join(elements, ','), '\n]') AS value")
+    block = r"concat('\n    {\n        ', substring(value, 2, char_length(value) - 2), '\n    }')"
+    documents = numbered.groupBy("document").agg(F.collect_list(F.expr(block) if indented else F.col("value")).alias("elements"))
+    end = r"\n]" if indented else "]"
+    text = documents.selectExpr(f"concat('[', array_join(elements, ','), '{end}') AS value")
     text.write.option("maxRecordsPerFile", 1).text(path)
 
 
@@ -77,6 +78,18 @@ def conflicting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(f"{value} AS value")
 
 
+def noted_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as hits with braces, quotes and backslashes inside their strings, and arrays within."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey as string) as _id",
+        r"""named_struct(
+            'note', concat('"},{"[', o_custkey, ']\\\\', if(o_orderkey % 2 = 0, '"', '}'), o_orderstatus),
+            'parts', transform(sequence(0, cast(o_orderkey % 3 as int)), i -> named_struct('n', i, 'text', '}')),
+            'empty', named_struct('list', cast(array() as array<string>))) as _source""",
+    )
+    return hit_lines(rows)
+
+
 def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as hits, a 97th of them cut off before their last braces."""
     lines = order_hits(spark, sf_dir).select(F.col("sort")[0].alias("n"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))

@@ -1,0 +1,118 @@
+"""Arrays cut by depth against a parser, in blocks of a few bytes."""
+
+import json
+import random
+
+import pytest
+from helpers import bag, plan
+
+from hitloom.sources.compact import block_states, compact_elements
+from hitloom.sources.hits import land_bronze, read_hits
+
+
+def value(rng, depth=0):
+    kind = rng.randrange(8 if depth < 4 else 5)
+    if kind == 0:
+        return rng.randrange(1000)
+    if kind == 1:
+        return "".join(rng.choice('{}[]",\\ab é\n:') for _ in range(rng.randrange(12)))
+    if kind in (2, 3):
+        return [None, True][kind - 2]
+    if kind == 4:
+        return rng.random()
+    if kind == 5:
+        return [value(rng, depth + 1) for _ in range(rng.randrange(4))]
+    return {"".join(rng.choice('{}"a\\b') for _ in range(3)): value(rng, depth + 1) for _ in range(rng.randrange(4))}
+
+
+def write(folder, documents):
+    folder.mkdir()
+    for k, text in enumerate(documents):
+        (folder / f"{k}.json").write_bytes(text.encode())
+    return str(folder)
+
+
+@pytest.fixture
+def arrays(tmp_path):
+    rng = random.Random(4)
+    elements, documents = [], []
+    for n in (0, 1, 3, 120, 120, 40):
+        own = [{"id": rng.randrange(10**6), "v": value(rng), "w": value(rng)} for _ in range(n)]
+        separators = rng.choice([(",", ":"), (", ", ": "), (" ,\r\n ", " : ")])
+        text = json.dumps(own, separators=separators, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, None, 2]))
+        documents.append(rng.choice(["", " \n"]) + text + rng.choice(["", "\n", " \n "]))
+        elements += own
+    return write(tmp_path / "arrays", documents), elements
+
+
+@pytest.mark.parametrize("block_bytes", [40, 700, 1 << 27])
+def test_elements_are_those_of_a_parser(spark, conf, arrays, block_bytes):
+    folder, elements = arrays
+    conf(
+        spark__sql__files__maxPartitionBytes=str(block_bytes),
+        spark__sql__files__openCostInBytes="0",
+        spark__sql__files__minPartitionNum="1",
+    )
+    states = block_states(spark, folder)
+    assert states.count() >= (100 if block_bytes == 40 else 6)
+    found = [json.loads(r.value) for r in compact_elements(spark, folder, states).collect()]
+    order = lambda x: json.dumps(x, sort_keys=True)
+    assert sorted(map(order, found)) == sorted(map(order, elements))
+
+
+def test_rows_equal_those_of_whole_documents(spark, conf, tmp_path):
+    hits = [{"_id": str(k), "_source": {"t": "}],[{" * (k % 5), "list": list(range(k % 4))}} for k in range(300)]
+    folder = write(tmp_path / "export", [json.dumps(hits, separators=(",", ":"))])
+    land_bronze(spark, folder, str(tmp_path / "document"), "document")
+    conf(spark__sql__files__maxPartitionBytes="500", spark__sql__files__openCostInBytes="0")
+    land_bronze(spark, folder, str(tmp_path / "compact"), "compact")
+    assert bag(spark.read.text(str(tmp_path / "compact"))) == bag(spark.read.text(str(tmp_path / "document")))
+    assert read_hits(spark, str(tmp_path / "compact")).count() == 300
+
+
+def test_one_file_is_many_tasks(spark, conf, tmp_path):
+    folder = write(tmp_path / "export", [json.dumps([{"a": "x" * 100}] * 500, separators=(",", ":"))])
+    conf(spark__sql__files__maxPartitionBytes="4000", spark__sql__files__openCostInBytes="0")
+    elements = compact_elements(spark, folder, block_states(spark, folder))
+    assert block_states(spark, folder).count() > 10 and elements.count() == 500
+    text = plan(elements)
+    assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '[{"a":1},{"b":2',
+        '[{"a":1},{"b":{"c":2',
+        '[{"a":1},{"b":"x',
+        '[{"a":1}]]',
+        '{"a":1}',
+        '[{"a":1}][{"b":2}]',
+        '[1,{"a":1}]',
+        '[{"a":1},2]',
+        '[{"a":1} {"b":2}]',
+        '[{"a":1},]',
+        '[{"a":[1}]',
+        '[{"a":"x}]',
+        'x[{"a":1}]',
+        '[{"a":1}]x',
+        "   ",
+    ],
+)
+def test_what_is_no_array_of_objects_is_refused(spark, tmp_path, text):
+    folder = write(tmp_path / "export", [text, '[{"good":1}]'])
+    with pytest.raises(Exception, match="cut off|not a JSON array of objects"):
+        land_bronze(spark, folder, str(tmp_path / "bronze"), "compact")
+
+
+def test_cut_off_files_leave_the_old_bronze(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    land_bronze(spark, write(tmp_path / "good", ['[{"a":1}]']), bronze, "compact")
+    with pytest.raises(ValueError, match="cut off"):
+        land_bronze(spark, write(tmp_path / "bad", ['[{"a":1},{"a"']), bronze, "compact")
+    assert spark.read.text(bronze).count() == 1
+
+
+def test_empty_arrays(spark, tmp_path):
+    folder = write(tmp_path / "export", ["[]", " [ \n ] "])
+    assert compact_elements(spark, folder, block_states(spark, folder)).count() == 0

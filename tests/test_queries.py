@@ -17,6 +17,7 @@ from hitloom.workload.queries import QUERIES
 
 WRITES_TABLES = {
     "bronze_roundtrip",
+    "compact_documents",
     "conflicting_hits",
     "gold_aggregate",
     "indented_documents",
