@@ -102,8 +102,11 @@ def block_states(spark: SparkSession, export: str | list[str]) -> DataFrame:
     )
 
 
-def _fragments(spark: SparkSession, export: str | list[str], states: DataFrame) -> DataFrame:
-    """(file, block, number, text, ended): a block's text, cut after each element that ends in it."""
+def block_fragments(spark: SparkSession, export: str | list[str], states: DataFrame) -> DataFrame:
+    """(file, block, number, text, ended, last): a block's text, cut after each element that ends in it.
+
+    ``states`` are the files' `block_states`; ``last`` is the number of the block's last fragment.
+    """
     pieces = _measured(_pieces(spark, export)).withColumn("odd", _odd_before())
     pieces = pieces.join(states.select("file", "block", "inside", "depth"), ["file", "block"])
     step = F.when(F.col("inside"), _step(~F.col("odd"))).otherwise(_step(F.col("odd")))
@@ -113,7 +116,8 @@ def _fragments(spark: SparkSession, export: str | list[str], states: DataFrame)
     numbered = cut.withColumn("number", _sum_in_block(F.col("ends").cast("int"), -1))
     in_order = F.array_sort(F.collect_list(F.struct("id", "value")))
     text = F.concat(F.array_join(F.transform(in_order, lambda p: p["value"]), _CLOSING), F.lit(_CLOSING))
-    return numbered.groupBy("file", "block", "number").agg(text.alias("text"), F.bool_or("ends").alias("ended"))
+    made = numbered.groupBy("file", "block", "number").agg(text.alias("text"), F.bool_or("ends").alias("ended"))
+    return made.withColumn("last", F.max("number").over(Window.partitionBy("file", "block")))
 
 
 def check_ends(states: DataFrame) -> None:
@@ -124,17 +128,15 @@ def check_ends(states: DataFrame) -> None:
         raise ValueError(f"cut off, or not one JSON array: {', '.join(r.file for r in cut_off)}")
 
 
-def compact_elements(spark: SparkSession, export: str | list[str], states: DataFrame) -> DataFrame:
+def compact_elements(fragments: DataFrame) -> DataFrame:
     """Elements (``value``) of files that are one JSON array of objects each, as text on one line.
 
-    ``states`` are the files' `block_states`. Anything else than objects in an
-    array, or anything beside it, fails the job.
+    ``fragments`` are the files' `block_fragments`, which are used twice. Anything else
+    than objects in an array, or anything beside it, fails the job.
     """
-    fragments = _fragments(spark, export, states)
-    edge = (F.col("number") == 0) | (F.col("number") == F.max("number").over(Window.partitionBy("file", "block")))
-    fragments = fragments.withColumn("edge", edge)
-    elements = fragments.filter(~F.col("edge")).select("file", F.lit(False).alias("first"), "text", "ended")
-    return elements.unionByName(_joined(fragments.filter("edge"))).select(_checked().alias("value")).filter("value is not null")
+    edge = (F.col("number") == 0) | (F.col("number") == F.col("last"))
+    elements = fragments.filter(~edge).select("file", F.lit(False).alias("first"), "text", "ended")
+    return elements.unionByName(_joined(fragments.filter(edge))).select(_checked().alias("value")).filter("value is not null")
 
 
 def _joined(edges: DataFrame) -> DataFrame:

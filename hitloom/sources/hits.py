@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType
 
-from hitloom.sources.compact import block_states, check_ends, compact_elements
+from hitloom.sources.compact import block_fragments, block_states, check_ends, compact_elements
 
 _BLANKS = " \t\r\n"
 _CORRUPT = "_corrupt_record"
@@ -163,18 +164,24 @@ def land_bronze(
     elif layout == "indented":
         lines = _indented_elements(spark, export, " " * indent)
     elif layout == "compact":
-        states = block_states(spark, export).persist()
-        try:
-            check_ends(states)
-            compact_elements(spark, export, states).write.mode("overwrite").options(**options).text(path)
-        finally:
-            states.unpersist()
+        _land_compact(spark, export, path, options)
         return
     else:
         raise ValueError(f"layout {layout!r}: expected 'lines', 'indented', 'compact' or 'document'")
     lines.write.mode("overwrite").options(**options).text(path)
 
 
+def _land_compact(spark: SparkSession, export: str | list[str], path: str, options: dict) -> None:
+    states = block_states(spark, export).persist()
+    fragments = block_fragments(spark, export, states).persist(StorageLevel.DISK_ONLY)
+    try:
+        check_ends(states)
+        compact_elements(fragments).write.mode("overwrite").options(**options).text(path)
+    finally:
+        fragments.unpersist()
+        states.unpersist()
+
+
 def _document_elements(spark: SparkSession, export: str | list[str]) -> DataFrame:
     """Elements of whole-file arrays, as compact text."""
     whole = F.trim("value", F.lit(_BLANKS))

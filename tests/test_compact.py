@@ -6,7 +6,7 @@ import random
 import pytest
 from helpers import bag, plan
 
-from hitloom.sources.compact import block_states, compact_elements
+from hitloom.sources.compact import block_fragments, block_states, compact_elements
 from hitloom.sources.hits import land_bronze, read_hits
 
 
@@ -32,6 +32,10 @@ def write(folder, documents):
     return str(folder)
 
 
+def elements_of(spark, folder):
+    return compact_elements(block_fragments(spark, folder, block_states(spark, folder)))
+
+
 @pytest.fixture
 def arrays(tmp_path):
     rng = random.Random(4)
@@ -55,7 +59,7 @@ def test_elements_are_those_of_a_parser(spark, conf, arrays, block_bytes):
     )
     states = block_states(spark, folder)
     assert states.count() >= (100 if block_bytes == 40 else 6)
-    found = [json.loads(r.value) for r in compact_elements(spark, folder, states).collect()]
+    found = [json.loads(r.value) for r in elements_of(spark, folder).collect()]
     order = lambda x: json.dumps(x, sort_keys=True)
     assert sorted(map(order, found)) == sorted(map(order, elements))
 
@@ -73,7 +77,7 @@ def test_rows_equal_those_of_whole_documents(spark, conf, tmp_path):
 def test_one_file_is_many_tasks(spark, conf, tmp_path):
     folder = write(tmp_path / "export", [json.dumps([{"a": "x" * 100}] * 500, separators=(",", ":"))])
     conf(spark__sql__files__maxPartitionBytes="4000", spark__sql__files__openCostInBytes="0")
-    elements = compact_elements(spark, folder, block_states(spark, folder))
+    elements = elements_of(spark, folder)
     assert block_states(spark, folder).count() > 10 and elements.count() == 500
     text = plan(elements)
     assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
@@ -115,4 +119,4 @@ def test_cut_off_files_leave_the_old_bronze(spark, tmp_path):
 
 def test_empty_arrays(spark, tmp_path):
     folder = write(tmp_path / "export", ["[]", " [ \n ] "])
-    assert compact_elements(spark, folder, block_states(spark, folder)).count() == 0
+    assert elements_of(spark, folder).count() == 0
