@@ -87,6 +87,7 @@ def run_topic(
     prefix: str = "",
     bronze_options: Mapping[str, str] | None = None,
     rejects: bool = False,
+    mixed_arrays: bool = False,
     **write_options: str,
 ) -> DataFrame:
     """Run one topic and return its gold table.
@@ -103,7 +104,12 @@ def run_topic(
     Bronze lines that are no hits fail the run. With ``rejects`` they are
     written to the topic's ``rejects`` layer instead, as they are, one per line,
     and the topic is made from the others.
+
+    ``mixed_arrays`` is that of :func:`~hitloom.sources.hits.read_hits`: fields that only some
+    hits hold an array in are exploded too.
     """
+    if mixed_arrays and (rejects or bronze_options or schema is not None):
+        raise ValueError("mixed_arrays goes without rejects, bronze_options and schema")
 
     def path(topic: str, layer: str) -> str:
         return layer_path(root, prefix + topic, layer)
@@ -111,13 +117,15 @@ def run_topic(
     bronze, silver, gold = (path(spec.name, layer) for layer in (BRONZE, SILVER, GOLD))
     options = dict(bronze_options or {})
     if isinstance(export, DataFrame):
-        schema = schema or export.schema
+        schema = schema or (None if mixed_arrays else export.schema)
         write_bronze(export, bronze)
     elif export is not None:
         land_bronze(spark, export, bronze, layout, indent)
     if rejects:
         hits, bad = split_rejects(spark, bronze, schema)
         bad.write.mode("overwrite").text(path(spec.name, REJECTS))
+    elif mixed_arrays:
+        hits = read_hits(spark, bronze, mixed_arrays=True)
     else:
         hits = read_hits(spark, bronze, schema=schema, **options)
         if spec.reads is not None:

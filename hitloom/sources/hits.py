@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType
 
 from hitloom.sources.compact import block_fragments, block_states, check_ends, compact_elements
+from hitloom.sources.mixed import with_mixed_arrays
 
 _BLANKS = " \t\r\n"
 _CORRUPT = "_corrupt_record"
@@ -38,6 +39,7 @@ def read_hits(
     path: str | list[str],
     fmt: str = "json",
     schema: StructType | str | None = None,
+    mixed_arrays: bool = False,
     **options: str,
 ) -> DataFrame:
     """Read hits; one row per hit, as stored.
@@ -49,7 +51,17 @@ def read_hits(
     fail the query unless ``mode`` says otherwise; :func:`split_rejects` keeps
     them apart. ``multiLine="true"`` reads whole-file documents, one task per
     file; use :func:`land_bronze` to get out of that.
+
+    ``mixed_arrays`` is for line-delimited JSON with fields that are an array in some hits and a
+    single value in others: they become arrays (of one) in all, so that unpacking gives a row per
+    element instead of one with the array as text. It takes no ``schema`` and reads the lines
+    twice more, or once more per level of such fields in each other.
     """
+    if mixed_arrays:
+        if schema is not None or fmt != "json" or options:
+            raise ValueError("mixed_arrays infers its own schema from line-delimited JSON, without options")
+        lines = spark.read.text(path).filter(F.trim("value", F.lit(_BLANKS)) != "")
+        return with_mixed_arrays(lines, ENVELOPE)
     if fmt == "json":
         options = {"mode": "FAILFAST", **options}
     reader = spark.read.format(fmt).options(**options)

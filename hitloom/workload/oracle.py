@@ -271,6 +271,18 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({_AREAS}) GROUP BY Kind, Active""",
     "multi_line_documents": _ORDER_HITS,
     "indented_documents": _ORDER_HITS,
+    "mixed_fields": """
+        WITH parts AS (
+            SELECT o_orderkey, 1 AS part, CAST(o_custkey AS BIGINT) AS part_size FROM orders WHERE o_orderkey % 3 < 2
+            UNION ALL SELECT o_orderkey, 1, 7 FROM orders WHERE o_orderkey % 3 = 1
+            UNION ALL SELECT o_orderkey, 2, NULL FROM orders WHERE o_orderkey % 3 = 1
+        )
+        SELECT CAST(o.o_orderkey AS VARCHAR) AS id, o_orderstatus AS status,
+               CASE WHEN t.i = 1 AND o.o_orderkey % 5 < 2 THEN o_orderstatus
+                    WHEN t.i = 2 THEN CAST(o_custkey AS VARCHAR) END AS tag,
+               CAST(part AS BIGINT) AS part, part_size
+        FROM orders o JOIN (VALUES (1), (2)) t(i) ON t.i = 1 OR o.o_orderkey % 5 = 1
+        LEFT JOIN parts p ON p.o_orderkey = o.o_orderkey""",
     "compact_documents": r"""
         SELECT CAST(o_orderkey AS VARCHAR) AS id,
                '"},{"[' || o_custkey || ']\\' || CASE WHEN o_orderkey % 2 = 0 THEN '"' ELSE '}' END || o_orderstatus AS note,

@@ -423,6 +423,25 @@ def conflicting_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def mixed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that only some hits hold an array in: a row for each element, one for a single value."""
+    root = records.scratch_dir(spark)
+    records.mixed_lines(spark, sf_dir).write.text(f"{root}/export")
+    bronze = layer_path(root, "orders", "bronze")
+    land_bronze(spark, f"{root}/export", bronze)
+    rows = unpack(read_hits(spark, bronze, mixed_arrays=True))
+    return rename_columns(
+        rows,
+        {
+            "_id": "id",
+            "_source.status": "status",
+            "_source.tag": "tag",
+            "_source.part.n": "part",
+            "_source.part.size": "part_size",
+        },
+    )
+
+
 def rejected_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits that can be read, and the lines that are none, kept apart."""
     root = records.scratch_dir(spark)
@@ -577,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "lookup_hot_key": lookup_hot_key,
     "unpack_hot_record": unpack_hot_record,
     "bronze_roundtrip": bronze_roundtrip,
+    "mixed_fields": mixed_fields,
     "rejected_hits": rejected_hits,
     "conflicting_hits": conflicting_hits,
     "multi_line_documents": multi_line_documents,

@@ -78,6 +78,22 @@ def conflicting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(f"{value} AS value")
 
 
+def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as hits whose ``tag`` and ``part`` are a single value, an array, null or absent, on two levels."""
+    tag = """case o_orderkey % 5
+        when 0 then concat(',"tag":"', o_orderstatus, '"')
+        when 1 then concat(',"tag":["', o_orderstatus, '",', o_custkey, ']')
+        when 2 then ',"tag":[]'
+        when 3 then ',"tag":null'
+        else '' end"""
+    part = """case o_orderkey % 3
+        when 0 then concat(',"part":{"n":1,"size":', o_custkey, '}')
+        when 1 then concat(',"part":[{"n":1,"size":[', o_custkey, ',7]},{"n":2}]')
+        else '' end"""
+    value = f"""concat('{{"_id":"', o_orderkey, '","_source":{{"status":"', o_orderstatus, '"', {tag}, {part}, '}}}}')"""
+    return table(spark, sf_dir, "orders").selectExpr(f"{value} AS value")
+
+
 def noted_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as hits with braces, quotes and backslashes inside their strings, and arrays within."""
     rows = table(spark, sf_dir, "orders").selectExpr(

@@ -21,6 +21,7 @@ WRITES_TABLES = {
     "conflicting_hits",
     "gold_aggregate",
     "indented_documents",
+    "mixed_fields",
     "multi_line_documents",
     "rejected_hits",
     "silver_gold_roundtrip",
