@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 from hitloom.operators.columns import drop_columns, quoted, require_unique
+from hitloom.operators.maps import explode_maps_outer, map_columns
 
 
 def _leaves(name: str, path: str, dtype: DataType) -> list[str]:
@@ -82,6 +83,7 @@ def unpack(
     drop_first: Iterable[str] = (),
     before_explode: Callable[[DataFrame], DataFrame] | None = None,
     spread: int | None = None,
+    maps: bool = False,
 ) -> DataFrame:
     """Flatten and explode until neither structs nor arrays are left.
 
@@ -104,9 +106,10 @@ def unpack(
     if before_explode is not None:
         df = before_explode(df)
     first_pass = True
-    while arrays := array_columns(df):
+    while (arrays := array_columns(df)) or (maps and map_columns(df)):
         if spread and not first_pass:
             df = df.repartition(spread)
-        df = drop_columns(flatten(explode_outer_all(df, arrays, spread)), *drop_first)
+        df = explode_outer_all(df, arrays, spread)
+        df = drop_columns(flatten(explode_maps_outer(df) if maps else df), *drop_first)
         first_pass = False
     return df

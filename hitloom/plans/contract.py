@@ -7,6 +7,7 @@ does not have is simply not renamed.
 # --- layers -----------------------------------------------------------------
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 REJECTS = "rejects"
+REPORT = "report"
 
 # --- patterns and separators --------------------------------------------------
 DATE_RANGE_SEPARATOR = " to "

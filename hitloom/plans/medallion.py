@@ -13,7 +13,8 @@ from pyspark.sql.types import StructType
 from hitloom.operators.columns import select_columns
 from hitloom.operators.lookup import lookup_left_join
 from hitloom.operators.nested import array_columns, unpack
-from hitloom.plans.contract import BRONZE, GOLD, REJECTS, SILVER
+from hitloom.plans.contract import BRONZE, GOLD, REJECTS, REPORT, SILVER
+from hitloom.plans.report import RunReport
 from hitloom.plans.spec import LookupSpec, RecordStep, Step, TopicSpec
 from hitloom.plans.topics import TOPICS
 from hitloom.sources.hits import case_sensitive, land_bronze, narrow_schema, read_hits, split_rejects, write_bronze
@@ -88,6 +89,8 @@ def run_topic(
     bronze_options: Mapping[str, str] | None = None,
     rejects: bool = False,
     mixed_arrays: bool = False,
+    gold_from: str = "silver",
+    schema_change: str = "refuse",
     **write_options: str,
 ) -> DataFrame:
     """Run one topic and return its gold table.
@@ -107,7 +110,16 @@ def run_topic(
 
     ``mixed_arrays`` is that of :func:`~hitloom.sources.hits.read_hits`: fields that only some
     hits hold an array in are exploded too.
+
+    ``gold_from="hits"`` gives ``gold_fn`` the nested hits instead of silver's rows, for
+    :func:`~hitloom.operators.siblings.aggregate_unpacked`. ``schema_change`` says what may
+    replace layers of an earlier run, see :func:`~hitloom.sources.tables.write_table`.
+
+    What went in and out is counted while silver is written, without another pass, and is the
+    topic's ``report`` layer: see :mod:`hitloom.plans.report`.
     """
+    if gold_from not in ("silver", "hits"):
+        raise ValueError(f"gold_from {gold_from!r}: expected 'silver' or 'hits'")
     if mixed_arrays and (rejects or bronze_options or schema is not None):
         raise ValueError("mixed_arrays goes without rejects, bronze_options and schema")
 
@@ -121,9 +133,10 @@ def run_topic(
         write_bronze(export, bronze)
     elif export is not None:
         land_bronze(spark, export, bronze, layout, indent)
+    report = RunReport(spec)
     if rejects:
         hits, bad = split_rejects(spark, bronze, schema)
-        bad.write.mode("overwrite").text(path(spec.name, REJECTS))
+        report.rejects(bad).write.mode("overwrite").text(path(spec.name, REJECTS))
     elif mixed_arrays:
         hits = read_hits(spark, bronze, mixed_arrays=True)
     else:
@@ -134,9 +147,11 @@ def run_topic(
     lookups = {
         lookup.topic: read_table(spark, path(lookup.topic, GOLD), fmt) for lookup in spec.lookups
     }
-    write_table(curate(hits, spec, lookups, drop_first, spread), silver, fmt, **write_options)
-    silver_rows = read_table(spark, silver, fmt)
-    write_table(gold_fn(silver_rows) if gold_fn else silver_rows, gold, fmt, **write_options)
+    silver_rows = report.silver(curate(report.hits(hits), spec, lookups, drop_first, spread))
+    write_table(silver_rows, silver, fmt, schema_change, **write_options)
+    report.write(spark, path(spec.name, REPORT))
+    made = hits if gold_from == "hits" else read_table(spark, silver, fmt)
+    write_table(gold_fn(made) if gold_fn else made, gold, fmt, schema_change, **write_options)
     return read_table(spark, gold, fmt)
 
 

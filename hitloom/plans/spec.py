@@ -74,6 +74,8 @@ class TopicSpec:
     row_steps: tuple[Step, ...]
     record_steps: tuple[RecordStep, ...] = ()
     lookups: tuple[LookupSpec, ...] = ()
+    # Flat names that records are expected to have; a run reports those that none has.
+    names: tuple[str, ...] = ()
     # Flat names of the scalar fields the steps use, for a topic with a fixed
     # column list; None where unnamed fields pass through.
     reads: tuple[str, ...] | None = None

@@ -72,13 +72,18 @@ def _mention_columns() -> Mapping[str, Column]:
     }
 
 
+#: Names in the stories' rename that are no fields of a record.
+_MADE_FOR_STORIES = ("RoundedDuration",)
+
 AREAS = TopicSpec(
     name="areas",
+    names=(*c.AREAS_DROP, *c.AREAS_RENAME),
     row_steps=(drop(c.AREAS_DROP), rename(c.AREAS_RENAME)),
 )
 
 AREA_BY_NUMBERS = TopicSpec(
     name="area-by-numbers",
+    names=(*c.AREA_BY_NUMBERS_RENAME,),
     lookups=(LookupSpec("areas", left_key="_source.area_id", right_key="Id", take={"sort": "AreaId"}),),
     row_steps=(
         derive(_period_bounds),
@@ -90,6 +95,7 @@ AREA_BY_NUMBERS = TopicSpec(
 
 GRANT_AIDED_PLACES = TopicSpec(
     name="grant-aided-places",
+    names=(*c.GRANT_AIDED_PLACES_DROP, *c.GRANT_AIDED_PLACES_RENAME),
     record_steps=(derive_per_record(["_source.nhle_id"], _grant_columns),),
     row_steps=(
         drop(c.GRANT_AIDED_PLACES_DROP),
@@ -100,6 +106,7 @@ GRANT_AIDED_PLACES = TopicSpec(
 
 HISTORIC_PLACES = TopicSpec(
     name="historic-places",
+    names=(*c.HISTORIC_PLACES_DROP, *c.HISTORIC_PLACES_RENAME),
     record_steps=(
         derive_per_record(["_id"], lambda: {"ExternalLinkUrl": url(c.LIST_ENTRY_URL, flat("_id"))}),
     ),
@@ -114,17 +121,20 @@ HISTORIC_PLACES = TopicSpec(
 
 IMAGES = TopicSpec(
     name="images",
+    names=(*c.IMAGES_DROP, *c.IMAGES_RENAME),
     row_steps=(drop(c.IMAGES_DROP), rename(c.IMAGES_RENAME)),
 )
 
 PLACE_NAMES = TopicSpec(
     name="place-names",
+    names=(*c.PLACE_NAMES_DROP, *c.PLACE_NAMES_RENAME),
     record_steps=(derive_per_record(["_id", "_source.geometry"], _point_columns),),
     row_steps=(drop(c.PLACE_NAMES_DROP), rename(c.PLACE_NAMES_RENAME)),
 )
 
 STORIES = TopicSpec(
     name="stories",
+    names=(*c.STORIES_DROP, *(n for n in c.STORIES_RENAME if n not in _MADE_FOR_STORIES)),
     record_steps=(derive_per_record(["_source.duration"], _media_columns),),
     row_steps=(
         derive(_mention_columns),

@@ -128,6 +128,36 @@ _PLACE_COLUMNS = ",\n".join(
     )
 )
 
+# The rows of area-by-numbers without their areas.
+_AREA_BY_NUMBERS_ROWS = _AREA_BY_NUMBERS.replace("areas.Sort", "NULL").replace(
+    "LEFT JOIN areas ON AreaName = areas.Id", ""
+)
+
+# A row per line of a document; each has as many rows as words (one at least) times numbers (one at least).
+_SIBLINGS = """
+    texts AS (
+        SELECT lang, string_split(text, chr(10)) AS ls, len(string_split(text, chr(10))) % 7 AS n FROM documents
+    ), lines AS (
+        SELECT lang, n, unnest(ls) AS l, unnest(range(1, len(ls) + 1)) AS line FROM texts
+    ), siblings AS (
+        SELECT lang, line, n, length(l) AS n_chars, len(list_filter(string_split(l, ' '), lambda x: x <> '')) AS n_words,
+               greatest(len(list_filter(string_split(l, ' '), lambda x: x <> '')), 1) AS words,
+               list_min(list_filter(string_split(l, ' '), lambda x: x <> '')) AS first_word,
+               greatest(len(list_filter(string_split(l, ' '), lambda x: x <> '')), 1) * greatest(n, 1) AS n_rows
+        FROM lines
+    )"""
+
+_FACTS = ", ".join(
+    f"CAST(CASE WHEN o_orderkey % 4 > 1 AND o_orderpriority = '{key}' THEN o_custkey END AS BIGINT) AS \"{name}\""
+    for key, name in (
+        ("1-URGENT", "1_urgent"),
+        ("2-HIGH", "2_high"),
+        ("3-MEDIUM", "3_medium"),
+        ("4-NOT SPECIFIED", "4_not_specified"),
+        ("5-LOW", "5_low"),
+    )
+)
+
 ORACLE_SQL: dict[str, str] = {
     "flatten_structs": """
         SELECT l_orderkey, l_linenumber,
@@ -271,6 +301,34 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({_AREAS}) GROUP BY Kind, Active""",
     "multi_line_documents": _ORDER_HITS,
     "indented_documents": _ORDER_HITS,
+    "replaced_layer": """
+        SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice AS total, 3 AS refused FROM orders""",
+    "sibling_aggregates": f"""
+        WITH {_SIBLINGS}
+        SELECT lang, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_words * greatest(n, 1)) AS BIGINT) AS n_words,
+               CAST(sum(n_chars * words * greatest(n, 1)) AS BIGINT) AS sum_chars,
+               CASE WHEN max(n) > 0 THEN CAST(sum(words * n * (n + 1) // 2) AS BIGINT) END AS sum_numbers,
+               CAST(max(n) AS BIGINT) AS last_number, min(first_word) AS first_word,
+               CAST(sum(n_chars * words * greatest(n, 1)) AS DOUBLE) / CAST(sum(n_rows) AS DOUBLE) AS mean_chars
+        FROM siblings GROUP BY lang""",
+    "sibling_aggregates_by_element": f"""
+        WITH {_SIBLINGS}
+        SELECT line, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_chars * words * greatest(n, 1)) AS BIGINT) AS sum_chars,
+               CASE WHEN max(n) > 0 THEN CAST(sum(words * n * (n + 1) // 2) AS BIGINT) END AS sum_numbers
+        FROM siblings GROUP BY line""",
+    "gold_from_hits": f"""
+        SELECT AreaName AS area, count(*) AS n_rows, count(nhleId) AS n_examples,
+               CAST(sum(nhlePriority) AS BIGINT) AS sum_priority, max(PeriodSort) AS last_period
+        FROM ({_AREA_BY_NUMBERS_ROWS}) GROUP BY AreaName""",
+    "map_entries": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id,
+               CASE WHEN i = 2 THEN 'status' WHEN o_orderkey % 4 > 1 THEN o_orderpriority END AS fact,
+               CAST(CASE WHEN i = 2 THEN o_orderkey WHEN o_orderkey % 4 > 1 THEN o_custkey END AS BIGINT) AS value
+        FROM orders JOIN (VALUES (1), (2)) e(i) ON i = 1 OR o_orderkey % 4 = 3""",
+    "map_pivot": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, {_FACTS},
+               CAST(CASE WHEN o_orderkey % 4 = 3 THEN o_orderkey END AS BIGINT) AS status
+        FROM orders""",
     "mixed_fields": """
         WITH parts AS (
             SELECT o_orderkey, 1 AS part, CAST(o_custkey AS BIGINT) AS part_size FROM orders WHERE o_orderkey % 3 < 2
@@ -361,3 +419,20 @@ ORACLE_SQL: dict[str, str] = {
 # From exported text to gold, a topic's rows are those of its hits.
 for _topic in ("areas", "grant_aided_places", "historic_places", "images", "place_names", "stories"):
     ORACLE_SQL[f"medallion_{_topic}"] = ORACLE_SQL[f"topic_{_topic}"]
+
+# A run's report counts the rows of its silver layer, and those without a value by column.
+_STORY_NULLS = " UNION ALL ".join(
+    f"SELECT 'nulls', '{name}', count(*) - count(\"{name}\") FROM g"
+    for name in (
+        "Id Index Score Sort Type Description ExternalAssetSourceUrl ThumbnailImageId MentionedLocationText Featured "
+        "AreaId Title ExternalLinkUrl MediaDuration ExternalAssetEmbed IsHidden DurationConverted URLAnchorCombined"
+    ).split()
+)
+ORACLE_SQL["run_report"] = f"""
+    WITH g AS ({ORACLE_SQL["topic_stories"]})
+    SELECT 'hits' AS metric, '' AS column_name, count(*) AS value FROM events
+    UNION ALL SELECT 'rejects', '', 3
+    UNION ALL SELECT 'absent', 'anchor', 0
+    UNION ALL SELECT 'nulls', 'CreatedOn', 0
+    UNION ALL SELECT 'rows', '', count(*) FROM g
+    UNION ALL {_STORY_NULLS}"""

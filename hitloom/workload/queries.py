@@ -28,12 +28,14 @@ from hitloom.operators.columns import (
     select_columns,
 )
 from hitloom.operators.lookup import lookup_left_join
+from hitloom.operators.maps import objects_as_maps, pivot_map
 from hitloom.operators.nested import array_columns, explode_outer_all, flatten, unpack
+from hitloom.operators.siblings import aggregate_unpacked
 from hitloom.plans.contract import EMBED_FILLER, LIST_ENTRY_URL, MAP_SEARCH_URL, NOT_HIDDEN
 from hitloom.plans.medallion import curate, run_topics
 from hitloom.plans.topics import TOPICS
 from hitloom.sources.hits import land_bronze, read_hits, split_rejects, write_bronze
-from hitloom.sources.tables import layer_path, read_table, write_table
+from hitloom.sources.tables import SchemaChange, layer_path, read_table, write_table
 from hitloom.workload import records
 from hitloom.workload.records import table
 
@@ -530,6 +532,107 @@ def gold_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _medallion(spark, sf_dir, "areas", hits, topic_options={"areas": {"gold_fn": by_kind}})
 
 
+def replaced_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer that refuses another schema, and takes a wider one when asked to."""
+    path = layer_path(records.scratch_dir(spark), "orders", "silver")
+    orders = table(spark, sf_dir, "orders")
+    first = orders.selectExpr("cast(o_custkey as int) as customer", "cast(o_totalprice as float) as total")
+    write_table(first.limit(10), path)
+    refused = []
+    for other in (first.selectExpr("cast(customer as string) as customer", "total"), first.drop("total"), orders):
+        try:
+            write_table(other, path)
+        except SchemaChange as change:
+            refused.append(str(change).removeprefix(path))
+    write_table(orders.selectExpr("o_totalprice as total", "o_custkey as customer", "o_orderkey as id"), path, schema_change="widen")
+    return read_table(spark, path).select("id", "customer", "total", F.lit(len(refused)).alias("refused"))
+
+
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the run of a topic has counted, bad lines and a name that no record has included."""
+    root = records.scratch_dir(spark)
+    bad = spark.range(3).selectExpr("concat('{\"_id\": ', id) AS value")
+    records.hit_lines(records.stories_hits(spark, sf_dir)).unionByName(bad).write.text(f"{root}/export")
+    run_topics(spark, {"stories": f"{root}/export"}, root, rejects=True)
+    found = read_table(spark, layer_path(root, "stories", "report"))
+    return found.select("metric", F.coalesce("name", F.lit("")).alias("column_name"), "value")
+
+
+def sibling_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aggregates of two levels of arrays and a sibling, without their product."""
+    return aggregate_unpacked(
+        records.sibling_hits(spark, sf_dir),
+        ["_source.lang"],
+        {
+            "n_rows": ("count", None),
+            "n_words": ("count", "_source.lines.words"),
+            "sum_chars": ("sum", "_source.lines.n_chars"),
+            "sum_numbers": ("sum", "_source.numbers"),
+            "last_number": ("max", "_source.numbers"),
+            "first_word": ("min", "_source.lines.words"),
+            "mean_chars": ("avg", "_source.lines.n_chars"),
+        },
+        names={"_source.lang": "lang"},
+    )
+
+
+def sibling_aggregates_by_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a group key inside an array, which alone is exploded."""
+    return aggregate_unpacked(
+        records.sibling_hits(spark, sf_dir),
+        ["_source.lines.number"],
+        {"n_rows": ("count", None), "sum_chars": ("sum", "_source.lines.n_chars"), "sum_numbers": ("sum", "_source.numbers")},
+        names={"_source.lines.number": "line"},
+    )
+
+
+def gold_from_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold aggregated from nested hits, beside a silver layer of all rows."""
+
+    def by_status(hits: DataFrame) -> DataFrame:
+        return aggregate_unpacked(
+            hits,
+            ["_source.area_id"],
+            {
+                "n_rows": ("count", None),
+                "n_examples": ("count", "_source.periods.examples.nhle_id"),
+                "sum_priority": ("sum", "_source.periods.examples.priority"),
+                "last_period": ("max", "_source.periods.sort"),
+            },
+            names={"_source.area_id": "area"},
+        )
+
+    exports = {
+        "areas": records.areas_hits(spark, sf_dir),
+        "area-by-numbers": records.area_by_numbers_hits(spark, sf_dir),
+    }
+    options = {"area-by-numbers": {"gold_fn": by_status, "gold_from": "hits"}}
+    return run_topics(spark, exports, records.scratch_dir(spark), topic_options=options)["area-by-numbers"]
+
+
+def _keyed_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits with an object whose keys are data, landed as text and read as a map."""
+    root = records.scratch_dir(spark)
+    records.keyed_lines(spark, sf_dir).write.text(f"{root}/export")
+    bronze = layer_path(root, "orders", "bronze")
+    land_bronze(spark, f"{root}/export", bronze)
+    schema = objects_as_maps(read_hits(spark, bronze).schema, ["_source.facts"])
+    return read_hits(spark, bronze, schema=schema)
+
+
+def map_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each key of an object whose keys are data."""
+    rows = unpack(_keyed_hits(spark, sf_dir), maps=True)
+    return rename_columns(rows, {"_id": "id", "_source.facts.key": "fact", "_source.facts.value": "value"})
+
+
+def map_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same object as a bounded list of columns."""
+    rows = pivot_map(flatten(_keyed_hits(spark, sf_dir)), "_source.facts", limit=20)
+    names = {f"_source.facts.{k}": k.replace("-", "_").replace(" ", "_").lower() for k in records.FACT_KEYS}
+    return rename_columns(rows, {"_id": "id", **names})
+
+
 # --- topics -------------------------------------------------------------------------
 
 
@@ -611,6 +714,13 @@ QUERIES: dict[str, Query] = {
     "medallion_images": medallion_images,
     "medallion_place_names": medallion_place_names,
     "medallion_stories": medallion_stories,
+    "replaced_layer": replaced_layer,
+    "run_report": run_report,
+    "sibling_aggregates": sibling_aggregates,
+    "sibling_aggregates_by_element": sibling_aggregates_by_element,
+    "gold_from_hits": gold_from_hits,
+    "map_entries": map_entries,
+    "map_pivot": map_pivot,
     "topic_areas": topic_areas,
     "topic_area_by_numbers": topic_area_by_numbers,
     "topic_grant_aided_places": topic_grant_aided_places,

@@ -125,6 +125,38 @@ def hot_record_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sibling_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as lines of words, and beside them numbers: siblings whose product grows with the square of a text."""
+    return hits(
+        table(spark, sf_dir, "documents"),
+        "documents",
+        "doc_id",
+        "doc_id",
+        r"""named_struct(
+            'lang', lang,
+            'lines', transform(split(text, '\n'), (line, i) -> named_struct(
+                'number', cast(i + 1 as bigint),
+                'n_chars', cast(char_length(line) as bigint),
+                'words', filter(split(line, ' '), w -> w <> ''))),
+            'numbers', slice(sequence(cast(1 as bigint), cast(7 as bigint)), 1, size(split(text, '\n')) % 7))""",
+    )
+
+
+#: Keys of the object in `keyed_lines`.
+FACT_KEYS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "status")
+
+
+def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as hits with an object that is keyed by the order's priority; some have none, or an empty one."""
+    facts = """case o_orderkey % 4
+        when 0 then ''
+        when 1 then '"facts":{}'
+        when 2 then concat('"facts":{"', o_orderpriority, '":', o_custkey, '}')
+        else concat('"facts":{"', o_orderpriority, '":', o_custkey, ',"status":', o_orderkey, '}') end"""
+    value = f"""concat('{{"_id":"', o_orderkey, '","_source":{{', {facts}, '}}}}')"""
+    return table(spark, sf_dir, "orders").selectExpr(f"{value} AS value")
+
+
 def document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as lines of words, over the whole text."""
     return hits(

@@ -20,7 +20,12 @@ WRITES_TABLES = {
     "compact_documents",
     "conflicting_hits",
     "gold_aggregate",
+    "gold_from_hits",
     "indented_documents",
+    "map_entries",
+    "map_pivot",
+    "replaced_layer",
+    "run_report",
     "mixed_fields",
     "multi_line_documents",
     "rejected_hits",

@@ -1,0 +1,121 @@
+"""Aggregates without the product of siblings, against the unpacked rows."""
+
+import random
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from helpers import bag, plan
+from pyspark.sql import functions as F
+
+from hitloom.operators.columns import flat
+from hitloom.operators.nested import unpack
+from hitloom.operators.siblings import aggregate_unpacked
+
+SCHEMA = """id string, `sort` array<bigint>, s struct<
+    area: string, n: int,
+    `a.b`: array<struct<x: int, tags: array<string>, more: array<struct<y: decimal(10,2), z: double>>>>,
+    grid: array<array<int>>,
+    other: array<int>>"""
+
+
+def records(n=120):
+    rng = random.Random(6)
+
+    def some(make, most=3):
+        return rng.choice([None, [], [make() if rng.random() < 0.9 else None for _ in range(rng.randrange(1, most + 1))]])
+
+    def deep():
+        return (Decimal(rng.randrange(100)) / 4, float(rng.randrange(9)))
+
+    def element():
+        return (rng.randrange(-5, 9), some(lambda: rng.choice("pqr")), some(deep))
+
+    return [
+        (
+            str(k),
+            some(lambda: rng.randrange(5)),
+            None
+            if rng.random() < 0.1
+            else (
+                rng.choice(["north", "south", None]),
+                rng.randrange(4),
+                some(element),
+                some(lambda: some(lambda: rng.randrange(9))),
+                some(lambda: rng.randrange(9)),
+            ),
+        )
+        for k in range(n)
+    ]
+
+
+COLUMNS = ["sort", "s.n", "s.a.b.x", "s.a.b.tags", "s.a.b.more.y", "s.a.b.more.z", "s.grid", "s.other", "id"]
+
+
+def wanted(fn):
+    return [c for c in COLUMNS if fn in ("count", "min", "max") or c not in ("s.a.b.tags", "id")]
+
+
+@pytest.mark.parametrize("keys", [[], ["s.area"], ["s.a.b.x"], ["s.a.b.tags", "s.area"], ["s.a.b.more.z", "sort"]])
+def test_equals_the_aggregate_of_the_unpacked_rows(spark, keys):
+    df = spark.createDataFrame(records(), SCHEMA)
+    aggregates = {f"{fn}_{k}": (fn, c) for fn in ("count", "sum", "min", "max") for k, c in enumerate(wanted(fn)) if c not in keys}
+    aggregates["n"] = ("count", None)
+    found = aggregate_unpacked(df, keys, aggregates)
+    spark_fn = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+    rows = unpack(df)
+    expected = rows.groupBy(*(flat(k) for k in keys)).agg(
+        *(F.count(F.lit(1)).alias(a) if c is None else spark_fn[fn](flat(c)).alias(a) for a, (fn, c) in aggregates.items())
+    )
+    assert found.columns == [*keys, *aggregates]
+    assert bag(found) == bag(expected.select(*(flat(c) for c in found.columns)))
+    assert dict(found.dtypes)["sum_1"] == dict(expected.dtypes)["sum_1"]
+
+
+def test_averages(spark):
+    df = spark.createDataFrame(records(), SCHEMA)
+    found = aggregate_unpacked(df, ["s.area"], {"m": ("avg", "s.other"), "d": ("avg", "s.a.b.more.y")}, names={"s.area": "area"})
+    rows = unpack(df).groupBy(flat("s.area").alias("area")).agg(F.avg(flat("s.other")).alias("m"), F.avg(flat("s.a.b.more.y")).alias("d"))
+    expected = {r.area: (r.m, float(r.d)) for r in rows.collect()}
+    for r in found.collect():
+        assert (r.m, r.d) == pytest.approx(expected[r.area], abs=1e-5)
+
+
+def test_plan_has_no_product(spark):
+    df = spark.createDataFrame(records(), SCHEMA)
+    assert "Generate" not in plan(aggregate_unpacked(df, ["s.area"], {"n": ("count", "s.other"), "t": ("sum", "s.a.b.more.z")}))
+    one = plan(aggregate_unpacked(df, ["s.other"], {"n": ("count", "s.a.b.tags")}))
+    assert one.count("Generate") == 1  # the key's own array
+
+
+def test_a_product_too_large_to_unpack(spark):
+    df = spark.range(3).selectExpr("id", "sequence(1, 300000) AS a", "sequence(1, 200000) AS b")
+    found = aggregate_unpacked(df, [], {"n": ("count", None), "t": ("sum", "a"), "m": ("max", "b")})
+    assert found.collect() == [(3 * 300000 * 200000, 3 * 200000 * 300000 * 300001 // 2, 200000)]
+
+
+def test_nothing(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert aggregate_unpacked(df, ["s.area"], {"n": ("count", None)}).collect() == []
+    assert aggregate_unpacked(df, [], {"n": ("count", None), "t": ("sum", "s.other")}).collect() == [(0, None)]
+
+
+@pytest.mark.parametrize(
+    ("keys", "aggregates", "message"),
+    [
+        ([], {"n": ("median", "sort")}, "no such function"),
+        ([], {"n": ("sum", None)}, "only count"),
+        ([], {"n": ("sum", "absent")}, "no such column"),
+        (["absent"], {"n": ("count", None)}, "no such column"),
+        ([], {"n": ("sum", "s.a.b.absent")}, "no such field"),
+    ],
+)
+def test_what_is_not_there_is_refused(spark, keys, aggregates, message):
+    with pytest.raises(ValueError, match=message):
+        aggregate_unpacked(spark.createDataFrame(records(2), SCHEMA), keys, aggregates).collect()
+
+
+def test_counter_of_rows(spark):
+    df = spark.createDataFrame(records(), SCHEMA)
+    by = Counter({r.k: r.n for r in aggregate_unpacked(df, ["id"], {"n": ("count", None)}, names={"id": "k"}).collect()})
+    assert by == Counter(r.id for r in unpack(df).select("id").collect())
