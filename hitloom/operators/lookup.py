@@ -15,6 +15,9 @@ _RIGHT_SALT = "__lookup_right_salt"
 _COPIES = "__lookup_copies"
 _BLOCK_ROWS = 65536
 
+#: Keys that the search for hot ones keeps counts of.
+_TRACKED = 10_000
+
 #: Tasks that rows with a null key are dealt to.
 NULL_SPREAD = 256
 
@@ -45,8 +48,8 @@ def lookup_left_join(
     ``salts`` > 1 does that split in the plan, for sessions without adaptive
     execution: left rows with a hot key go to ``salts`` tasks, and lookup rows
     of hot keys, but no others, are repeated once per salt. ``hot_keys`` names
-    them; else keys are counted and those with a ``salts``-th of the rows or
-    more (so at most ``salts`` keys) are hot. The salt is a hash of ``salt_by`` (by
+    them; else one more job over the key column finds those with a ``salts``-th
+    of the rows or more (so at most ``salts`` keys). The salt is a hash of ``salt_by`` (by
     default every column that can be hashed), so a task that is run again gives
     the same rows.
 
@@ -83,11 +86,14 @@ def _when_hot(hot: Sequence, salts: int) -> Column:
 
 
 def _hot_keys(df: DataFrame, key: str, salts: int) -> list:
-    """Keys with a ``salts``-th of the rows or more."""
-    counts = df.filter(flat(key).isNotNull()).groupBy(flat(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("n"))
-    first = counts.orderBy(F.desc("n")).limit(salts).collect()
-    total = df.count()
-    return [r[_KEY] for r in first if r["n"] * salts >= total]
+    """Keys with a ``salts``-th of the rows or more, by one aggregate of the key column.
+
+    The sketch counts frequent keys to within a small part of the rows, so a key that has
+    just about that share may be taken for hot or not; that only decides where rows are joined.
+    """
+    top = F.expr(f"approx_top_k({quoted(key)}, {salts + 1}, {max(_TRACKED, 4 * (salts + 1))})")
+    found = df.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    return [r["item"] for r in found["top"] if r["item"] is not None and r["count"] * salts >= found["n"]]
 
 
 def _folded(right: DataFrame) -> DataFrame:

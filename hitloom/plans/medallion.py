@@ -31,6 +31,7 @@ def _lookup_step(lookup: LookupSpec, tables: Mapping[str, DataFrame]) -> RecordS
             lookup.take,
             salts=lookup.salts,
             fold_copies=lookup.fold_copies,
+            hot_keys=lookup.hot_keys,
         )
 
     return RecordStep((lookup.left_key,), join)

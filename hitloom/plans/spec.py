@@ -57,7 +57,8 @@ class LookupSpec:
 
     Gold tables repeat a record's own columns once per unpacked row, so copies
     are folded before the join unless ``fold_copies`` says otherwise. ``salts``
-    splits hot keys where adaptive execution is off.
+    splits hot keys where adaptive execution is off; ``hot_keys`` names them, which saves the
+    job that finds them (a read of all hits).
     """
 
     topic: str
@@ -66,6 +67,7 @@ class LookupSpec:
     take: Mapping[str, str]
     fold_copies: bool = True
     salts: int = 1
+    hot_keys: tuple | None = None
 
 
 @dataclass(frozen=True)

@@ -301,6 +301,15 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({_AREAS}) GROUP BY Kind, Active""",
     "multi_line_documents": _ORDER_HITS,
     "indented_documents": _ORDER_HITS,
+    "lookup_bucketed": """
+        SELECT o_orderkey, customer, c_name AS customer_name
+        FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 1
+                                      ELSE o_custkey END AS customer FROM orders)
+        LEFT JOIN customer ON customer = c_custkey""",
+    "audited_keys": """
+        WITH keyed AS (SELECT DISTINCT o_orderkey || '' || o_custkey AS key, o_orderkey, o_custkey FROM orders)
+        SELECT key, o_orderkey, o_custkey FROM keyed
+        WHERE key IN (SELECT key FROM keyed GROUP BY key HAVING count(*) > 1)""",
     "replaced_layer": """
         SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice AS total, 3 AS refused FROM orders""",
     "sibling_aggregates": f"""

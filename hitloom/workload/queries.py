@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from hitloom.operators.columns import (
     rename_columns,
     select_columns,
 )
+from hitloom.operators.keys import BUCKET_KEYS, key_collisions, key_sketches, merged_sketches
 from hitloom.operators.lookup import lookup_left_join
 from hitloom.operators.maps import objects_as_maps, pivot_map
 from hitloom.operators.nested import array_columns, explode_outer_all, flatten, unpack
@@ -34,6 +36,7 @@ from hitloom.operators.siblings import aggregate_unpacked
 from hitloom.plans.contract import EMBED_FILLER, LIST_ENTRY_URL, MAP_SEARCH_URL, NOT_HIDDEN
 from hitloom.plans.medallion import curate, run_topics
 from hitloom.plans.topics import TOPICS
+from hitloom.sources.buckets import bucketed_left_join, write_bucketed
 from hitloom.sources.hits import land_bronze, read_hits, split_rejects, write_bronze
 from hitloom.sources.tables import SchemaChange, layer_path, read_table, write_table
 from hitloom.workload import records
@@ -44,6 +47,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: Tasks that the rows of hot records are dealt to between explodes.
 HOT_SPREAD = 16
 
+#: Buckets of the tables that a lookup joins without a shuffle.
+BUCKETS = 16
+
 
 # --- nested restructuring -------------------------------------------------------
 
@@ -337,6 +343,28 @@ def lookup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides are stored by the hash of the key, so the join shuffles nothing; nulls and a hot key go apart."""
+    root, run = records.scratch_dir(spark), uuid.uuid4().hex
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "case when o_orderkey % 7 = 0 then null when o_orderkey % 3 = 0 then 1 else o_custkey end as customer"
+    )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    left = write_bucketed(orders, f"hitloom_orders_{run}", f"{root}/orders", "customer", BUCKETS)
+    lookup = write_bucketed(customers, f"hitloom_customers_{run}", f"{root}/customers", "c_custkey", BUCKETS)
+    return bucketed_left_join(left, lookup, "customer", "c_custkey", {"c_name": "customer_name"}, hot_keys=[1])
+
+
+def audited_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different parts that give one key, found where sketches of two layers together disagree."""
+    parts = ["o_orderkey", "o_custkey"]
+    keyed = table(spark, sf_dir, "orders").withColumn("key", joined_key(F.col("o_orderkey"), F.col("o_custkey")))
+    buckets = max(1, keyed.count() // BUCKET_KEYS)
+    layers = [keyed.filter(F.col("o_orderkey") % 2 == rest) for rest in (0, 1)]
+    sketches = merged_sketches(*(key_sketches(layer, "key", parts, buckets) for layer in layers))
+    return key_collisions(keyed, "key", parts, sketches)
+
+
 # --- layers -------------------------------------------------------------------------
 
 
@@ -697,6 +725,8 @@ QUERIES: dict[str, Query] = {
     "load_timestamp": load_timestamps,
     "lookup_left_join": lookup_with_fan_out,
     "lookup_hot_key": lookup_hot_key,
+    "lookup_bucketed": lookup_bucketed,
+    "audited_keys": audited_keys,
     "unpack_hot_record": unpack_hot_record,
     "bronze_roundtrip": bronze_roundtrip,
     "mixed_fields": mixed_fields,

@@ -20,14 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A new directory that every executor can see.
 
-    It lies in the shared folder that ``spark.checkpoint.dir`` names, and
-    without that in the session's warehouse, which is shared as well. What is
-    written there is read lazily by the result of a query, so it is left for
-    the owner of the folder to clear (by age, say) once results are in.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names. Without that it lies in the
+    session's warehouse, if all run on this machine or the warehouse is on a shared file system; a
+    cluster whose warehouse is a local folder raises ``ValueError``. What is written there is read
+    lazily by the result of a query, so it is left for the owner of the folder to clear (by age,
+    say) once results are in.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        alone = spark.conf.get("spark.master", "local").split("[")[0] == "local"
+        if not alone and warehouse.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse is a local one")
+        base = f"{warehouse}/_scratch"
     return f"{base.rstrip('/')}/hitloom-{uuid.uuid4().hex}"
 
 

@@ -22,6 +22,7 @@ WRITES_TABLES = {
     "gold_aggregate",
     "gold_from_hits",
     "indented_documents",
+    "lookup_bucketed",
     "map_entries",
     "map_pivot",
     "replaced_layer",
@@ -80,10 +81,21 @@ def test_scratch_folders_are_new_and_shared(spark):
     assert first != second and first.startswith(shared) and second.startswith(shared)
 
 
-def test_scratch_is_in_the_warehouse_where_no_shared_folder_is_named():
-    settings = {"spark.sql.warehouse.dir": "file:/warehouse"}
+@pytest.mark.parametrize(
+    ("master", "warehouse"), [("local[4]", "file:/warehouse"), ("local", "file:/warehouse"), ("spark://h:1", "hdfs://n/warehouse")]
+)
+def test_scratch_is_in_the_warehouse_where_no_shared_folder_is_named(master, warehouse):
+    settings = {"spark.sql.warehouse.dir": warehouse, "spark.master": master}
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
-    assert records.scratch_dir(session).startswith("file:/warehouse/_scratch/hitloom-")
+    assert records.scratch_dir(session).startswith(f"{warehouse}/_scratch/hitloom-")
+
+
+@pytest.mark.parametrize("warehouse", ["file:/warehouse", "/warehouse"])
+def test_a_local_warehouse_is_no_shared_folder_of_a_cluster(warehouse):
+    settings = {"spark.sql.warehouse.dir": warehouse, "spark.master": "spark://h:1"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        records.scratch_dir(session)
 
 
 def test_documents_are_bounded_in_bytes(spark, tmp_path):
