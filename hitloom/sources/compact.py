@@ -30,14 +30,14 @@ def _sum_in_block(column: Column, up_to: int) -> Column:
     return F.coalesce(F.sum(column).over(window), F.lit(0))
 
 
-def _count(text: Column, characters: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
+def _count(text: Column, character: str) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(character), F.lit("")))
 
 
 def _depth_change(text: Column) -> Column:
     """Of a piece that starts outside a string, less its closing brace."""
     outside = F.regexp_replace(text, '"[^"]*("|$)', "")
-    return _count(outside, "{[") - _count(outside, "]")
+    return _count(outside, "{") + _count(outside, "[") - _count(outside, "]")
 
 
 def _pieces(spark: SparkSession, export: str | list[str]) -> DataFrame:
