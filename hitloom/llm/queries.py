@@ -232,6 +232,26 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM t LEFT JOIN f USING (r)
 """
 
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v[{i}] >> {35 - 5 * j}) & 31 AS INTEGER) + 1, 1)"
+    for i in range(1, 5)
+    for j in range(8)
+)
+
+OP4_SQL = f"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS t, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+), s AS (
+    SELECT *, sha1(t) AS h FROM p
+), b AS (
+    SELECT *, [CAST('0x' || substr(h, 10 * i + 1, 10) AS BIGINT) FOR i IN range(4)] AS v FROM s
+)
+SELECT page_id, strlen(t) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN first < page_id OR (page_id IS NULL AND first IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id OR page_id IS NULL THEN first END AS refers_to
+FROM b
+"""
+
 OP13_SQL = """
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
@@ -258,6 +278,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1_SQL,
     "op3_decontaminate": OP3_SQL,
+    "op4_warc": OP4_SQL,
     "op7_secret_scan": OP7_SQL,
     "op13_exact_dedup": OP13_SQL,
 }

@@ -13,10 +13,14 @@ Spark commits, so a lost or repeated attempt leaves files that no manifest
 names. Readers take the manifest's list, stream one record at a time, and raise
 on a payload that does not have its digest.
 
+Every record has an id of its own; the page's id is a header beside it, and a
+revisit names the page that holds its payload.
+
 Defined cases: a null payload is empty; empty payloads are equal to each other;
-rows that share the smallest id of a payload are all responses; a row without
-an id is a response of its own and is never named; a null address leaves the
-header out; an empty table makes no archive; other columns are not looked at;
+rows that share the smallest id of a payload are all responses, so a payload may
+be stored as often as that id is repeated; a row without an id is a revisit of
+the smallest id with its payload, and a response where no such row has an id; a
+null address leaves the header out; an empty table makes no archive; other columns are not looked at;
 an archive of too few records to train on has no dictionary.
 """
 
@@ -26,6 +30,7 @@ import base64
 import hashlib
 import struct
 import uuid
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -39,6 +44,10 @@ from hitloom.llm.common import saved, scratch_dir, small_side
 DICTIONARY_MAGIC = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+# Headers of our own.
+PAGE_ID = "Page-ID"
+REFERS_TO = "Refers-To-Page-ID"
+
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_SHARE = 50  # a dictionary is no more than this part of what it was trained on
 SAMPLE_BYTES = 4 << 20
@@ -59,17 +68,19 @@ def page_record(page_id, url: str | None, payload: bytes, sha1: str, refers_to,
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     headers = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:x-page:{'none' if page_id is None else page_id}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
         ("WARC-Date", date),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("Content-Type", "application/http;msgtype=response"),
     ]
+    if page_id is not None:
+        headers.append((PAGE_ID, quote(str(page_id), safe="")))
     if url is not None:
         plain = "".join(c if c.isprintable() else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
         headers.insert(2, ("WARC-Target-URI", plain))
     if refers_to is None:
         return _record(headers, http.encode() + payload)
-    headers += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<urn:x-page:{refers_to}>")]
+    headers += [("WARC-Profile", REVISIT_PROFILE), (REFERS_TO, quote(str(refers_to), safe=""))]
     return _record(headers, http.encode())
 
 
@@ -143,16 +154,17 @@ def write_archives(
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("sha1", F.sha1("payload"))
-    may_repeat = (F.length("payload") >= min_revisit_bytes) & F.col("id").isNotNull()
+    may_repeat = F.length("payload") >= min_revisit_bytes
     repeated = saved(
         rows.filter(may_repeat)
         .groupBy("sha1")
         .agg(F.min("id").alias("first"), F.count("*").alias("n"))
-        .filter("n > 1")
+        .filter("n > 1 and first is not null")
         .select("sha1", "first"),
         "repeated",
     )
-    refers = F.when(may_repeat & (F.col("first") < F.col("id")), F.col("first"))
+    is_other = F.col("id").isNull() | (F.col("first") < F.col("id"))
+    refers = F.when(may_repeat & is_other, F.col("first"))
     planned = rows.join(small_side(repeated), "sha1", "left").select("id", "url", "payload", "sha1", refers.alias("first"))
 
     def run(batches):
@@ -209,19 +221,18 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[: int(headers["content-length"])]
 
 
-def _page(name: str | None) -> int | None:
-    value = (name or "").removeprefix("<urn:x-page:").removesuffix(">")
-    return int(value) if value.lstrip("-").isdigit() else None
+def _page(name: str | None) -> str | None:
+    return None if name is None else unquote(name)
 
 
 RECORDS = (
-    "path string, offset long, page_id long, url string, record_type string, payload_bytes long, "
-    "payload_digest string, refers_to long"
+    "path string, offset long, page_id string, url string, record_type string, payload_bytes long, "
+    "payload_digest string, refers_to string"
 )
 
 
-def read_archives(spark: SparkSession, manifest: DataFrame, payloads: bool = False) -> DataFrame:
-    """One row per response or revisit record of the archives that the manifest names."""
+def read_archives(spark: SparkSession, manifest: DataFrame, payloads: bool = False, id_type: str = "long") -> DataFrame:
+    """One row per response or revisit record of the archives that the manifest names; page ids are of ``id_type``."""
 
     def rows(path: str):
         for offset, data in archive_records(path):
@@ -239,16 +250,16 @@ def read_archives(spark: SparkSession, manifest: DataFrame, payloads: bool = Fal
             row = (
                 path,
                 offset,
-                _page(headers["warc-record-id"]),
+                _page(headers.get(PAGE_ID.lower())),
                 headers.get("warc-target-uri"),
                 kind,
                 size,
                 digest,
-                _page(headers.get("warc-refers-to")),
+                _page(headers.get(REFERS_TO.lower())),
             )
             yield (*row, body if kind == "response" else None) if payloads else row
 
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
     names = [x.split()[0] for x in RECORDS.split(", ")] + ["payload"]
 
     def run(batches):
@@ -269,11 +280,13 @@ def read_archives(spark: SparkSession, manifest: DataFrame, payloads: bool = Fal
                     yield pack(part)
 
     archives = manifest.select("path").repartition(spark.sparkContext.defaultParallelism * 4)
-    return archives.mapInArrow(run, RECORDS + (", payload binary" if payloads else ""))
+    found = archives.mapInArrow(run, RECORDS + (", payload binary" if payloads else ""))
+    return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, payloads: bool = False, **columns) -> DataFrame:
     """Write pages to archives and read them back; without a folder, a new one in the shared folder."""
     spark = pages.sparkSession
     folder = folder or f"{scratch_dir(spark)}/warc"
-    return read_archives(spark, write_archives(pages, folder, **columns), payloads)
+    id_type = dict(pages.dtypes)[columns.get("key", "page_id")]
+    return read_archives(spark, write_archives(pages, folder, **columns), payloads, id_type)

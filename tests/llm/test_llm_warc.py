@@ -22,6 +22,8 @@ PAGES = [
     (None, "http://a/none", "<html>same</html>"),
     (9, "http://a/9", "only"),
     (9, "http://a/9", "only"),
+    (None, None, "without any id"),
+    (None, None, "without any id"),
 ]
 MANY = [(100 + i, f"http://b/{i}", f"<html><body>page {i} of many, {'text ' * (i % 40)}</body></html>") for i in range(400)]
 
@@ -40,7 +42,7 @@ def expected(rows, least=0):
     made = []
     for i, _, h in rows:
         data = (h or "").encode()
-        again = i is not None and data in first and first[data] < i
+        again = data in first and (i is None or first[data] < i)
         digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
         made.append((i, len(data), digest, "revisit" if again else "response", first[data] if again else None))
     return sorted(made, key=str)
@@ -62,6 +64,25 @@ def test_round_trip(spark):
     assert "\r" not in url and url.endswith("%0D%0AInjected: yes")
 
 
+def test_record_ids_are_unique_and_text_ids_come_back(spark, tmp_path):
+    rows = [("a/b c", "u", "same"), ("ünï\r\nX: y", "u", "same"), (None, "u", "same"), ("a/b c", "u", "other"), ("a/b c", "u", "other")]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    manifest = write_archives(df, f"{tmp_path}/w")
+    heads = [warc.parse_record(data)[0] for m in manifest.collect() for _, data in warc.archive_records(m.path)]
+    assert len({h["warc-record-id"] for h in heads}) == len(heads) >= len(rows)
+    back = read_archives(spark, manifest, id_type="string").select("page_id", "record_type", "refers_to")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(
+        [
+            ("a/b c", "response", None),
+            ("ünï\r\nX: y", "revisit", "a/b c"),
+            (None, "revisit", "a/b c"),
+            ("a/b c", "response", None),
+            ("a/b c", "response", None),
+        ],
+        key=str,
+    )
+
+
 def test_small_payloads_are_never_revisits(spark):
     assert result(archive_pages(pages(spark, PAGES), min_revisit_bytes=1000)) == expected(PAGES, 1000)
 
