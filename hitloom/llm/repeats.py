@@ -66,6 +66,8 @@ HELD_ANCHORS = 1 << 19
 HELD_CONTEXTS = 1 << 17
 #: Bytes of text that a bucket stands for at most, on average; there is at least one for each shuffle partition.
 BUCKET_BYTES = 1 << 26
+#: Bytes of the documents whose results one group holds at most, on average; at least one group for each shuffle partition too.
+SHARE_BYTES = 1 << 24
 #: Occurrences from which an anchor is split by the bytes around it.
 HOT = 1 << 15
 
@@ -231,11 +233,9 @@ def _send_anchors(buckets: int, owners: int):
         h, row, place = h[new], row[new], place[new]
         bucket = (h % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            k = order[cuts[b] : cuts[b + 1]]
-            if len(k):
-                rows.append((b, None, _packed(h[k], row[k], place[k], many[k])))
+        for a, b in _runs(bucket[order]):
+            k = order[a:b]
+            rows.append((int(bucket[k[0]]), None, _packed(h[k], row[k], place[k], many[k])))
         yield _part_batch(rows)
 
     def run(batches):
@@ -351,13 +351,11 @@ def _send_contexts(buckets: int, owners: int, split: bool = True):
             h = np.array([v for _, _, v in held.values()], dtype=np.uint64)
             bucket = (h % np.uint64(buckets)).astype(np.int32)
             order = np.lexsort((h, bucket))
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             sizes = np.array([len(c) for c in contexts], dtype=np.int32)
-            for b in range(buckets):
-                k = order[cuts[b] : cuts[b + 1]]
-                if len(k):
-                    arrays = (h[k], did[k], tie[k], row[k], first[k], offset[k], sizes[k])
-                    rows.append((b, None, _packed(*arrays, tail=b"".join(contexts[i] for i in k))))
+            for a, b in _runs(bucket[order]):
+                k = order[a:b]
+                arrays = (h[k], did[k], tie[k], row[k], first[k], offset[k], sizes[k])
+                rows.append((int(bucket[k[0]]), None, _packed(*arrays, tail=b"".join(contexts[i] for i in k))))
         yield _part_batch(rows)
 
     def run(batches):
@@ -628,10 +626,10 @@ def _marked(base: DataFrame, owners: int, buckets: int) -> DataFrame:
 
 
 def _shares(base: DataFrame) -> tuple[int, int]:
-    """Shares of the documents (the session's shuffle partitions), and buckets of anchors, by the bytes of the texts."""
-    owners = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Shares of the documents and buckets of anchors, by the bytes of the texts; at least one of each for a shuffle partition."""
+    least = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = base.agg(F.sum("size")).first()[0] or 0
-    return owners, max(owners, -(-size // BUCKET_BYTES))
+    return max(least, -(-size // SHARE_BYTES)), max(least, -(-size // BUCKET_BYTES))
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
