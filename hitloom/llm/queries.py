@@ -252,6 +252,38 @@ SELECT page_id, strlen(t) AS payload_bytes, {_BASE32} AS payload_digest,
 FROM b
 """
 
+# Places are cut from pieces of 2,048 bytes: a substring costs time in proportion to where it lies.
+OP10_SQL = """
+WITH d AS (
+    SELECT doc_id, hex(coalesce(text, '')) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
+), pieces AS (
+    SELECT doc_id, n, i, substr(h, 2 * i + 1, 2 * (2048 + 99)) AS piece
+    FROM (SELECT doc_id, n, h, unnest(range(0, n, 2048)) AS i FROM d)
+), places AS (
+    SELECT doc_id, i + k AS p, substr(piece, 2 * k + 1, 200) AS s
+    FROM (SELECT doc_id, n, i, piece, unnest(range(0, 2048)) AS k FROM pieces) WHERE i + k + 100 <= n
+), again AS (
+    SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS r FROM places) WHERE r > 1
+), marked AS (
+    SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100, -1) AS new FROM again
+), runs AS (
+    SELECT doc_id, min(p) AS a, max(p) + 100 AS b
+    FROM (SELECT doc_id, p, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked)
+    GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS low, a AS high FROM runs
+    UNION ALL SELECT doc_id, max(b), NULL FROM runs GROUP BY doc_id
+), kept AS (
+    SELECT g.doc_id, string_agg(substr(h, 2 * low + 1, 2 * (coalesce(high, n) - low)), '' ORDER BY low) AS h
+    FROM gaps g JOIN d USING (doc_id) GROUP BY g.doc_id
+), counts AS (
+    SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 OP13_SQL = """
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
@@ -280,5 +312,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op7_secret_scan": OP7_SQL,
+    "op10_repeats": OP10_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
