@@ -12,7 +12,8 @@ to that of the array. Those that lie across blocks are put together from
 the first and last fragments of each block.
 
 Only numbers are shuffled for the blocks' states, then every piece once, to its
-block. Files are read twice; nothing is parsed.
+block. What one task sorts is a block, and for each file a row per block and the
+two fragments at its ends. Files are read twice; nothing is parsed.
 """
 
 from __future__ import annotations
