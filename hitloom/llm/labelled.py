@@ -1,4 +1,7 @@
-"""Folds by id and bounded samples of labelled texts, for the models that are trained here."""
+"""Folds by id and samples of labelled texts, bounded in rows, for the models that are trained here.
+
+Texts of a sample are whole: a model learns from all of each, as it scores all of each.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +11,6 @@ from pyspark.sql.types import StructField, StructType
 
 from hitloom.llm.common import saved
 
-#: Characters of a text that a training sample takes at most, a piece of a longer one; scoring has no such bound.
-TRAIN_CHARS = 1 << 14
-
 
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as fold 0."""
@@ -29,9 +29,9 @@ def training_texts(
     """At most ``per_class`` texts of each label, chosen by a hash of the id: (text, 0 or 1).
 
     ``may_train`` is a condition on the key. Only ids that have a text are
-    chosen, each once for a label, and one piece of text is kept of each id
-    before anything is collected, so the rows collected are bounded by
-    ``per_class`` however often an id is repeated. Rows with a null id, label or
+    chosen, each once for a label, and one text is kept of each id before
+    anything is collected, so the rows collected are bounded by ``per_class``
+    however often an id is repeated. Rows with a null id, label or
     text are left out; of rows that repeat an id, one is taken.
     """
     known = labels.filter(F.col(target).isin(0, 1) & F.col(key).isNotNull() & may_train)
@@ -43,23 +43,16 @@ def training_texts(
         part = known.filter(F.col("_label") == value).orderBy(F.xxhash64(key), key).limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
     kept = [tuple(r) for r in picked.collect()]
-    pieces = texts_of(docs, [(i,) for i, _ in kept], [key], text)
-    return [(pieces[i,], value) for i, value in sorted(kept, key=lambda r: (r[1], str(r[0])))]
-
-
-def piece(text: Column, key: Column) -> Column:
-    """The text, or of a longer one `TRAIN_CHARS` characters in a row from a place that hashes of id and length choose."""
-    spare = F.char_length(text) - TRAIN_CHARS
-    at = F.when(spare > 0, F.pmod(F.xxhash64(key, spare), spare + 1)).otherwise(0)
-    return F.substring(text, (at + 1).cast("int"), F.lit(TRAIN_CHARS))
+    found = texts_of(docs, [(i,) for i, _ in kept], [key], text)
+    return [(found[i,], value) for i, value in sorted(kept, key=lambda r: (r[1], str(r[0])))]
 
 
 def texts_of(docs: DataFrame, picked: list[tuple], keys: list[str], text: str) -> dict[tuple, str]:
-    """One text, or piece of it, for each of these values of ``keys``; copies are merged before they are shuffled."""
+    """One whole text for each of these values of ``keys``; copies are merged before they are shuffled."""
     if not picked:
         return {}
     schema = StructType([StructField(k, docs.schema[k].dataType) for k in keys])
     wanted = docs.sparkSession.createDataFrame(sorted(set(picked), key=str), schema)
-    own = docs.filter(F.col(text).isNotNull()).select(*keys, piece(F.col(text), F.col(keys[0])).alias("_text"))
+    own = docs.filter(F.col(text).isNotNull()).select(*keys, F.col(text).alias("_text"))
     found = own.join(F.broadcast(wanted), keys, "left_semi").groupBy(*keys).agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
     return {tuple(r)[:-1]: r[-1] for r in found.collect()}

@@ -9,10 +9,10 @@ word's posterior. A text's language is the one with the largest mean
 posterior, which is its score. How sure the labels are is another matter: the
 mean of each word's largest posterior, high also for a text in many languages.
 
-Training sequences are cut from texts of known language; half of them are
-spliced from texts of two languages, so that transitions learn how often
-languages switch within a sequence. The sample is at most `PER_LANGUAGE` texts
-of each language.
+Training sequences are cut from texts of known language, all words of each;
+half of them are spliced from two texts, mostly of two languages, so that
+transitions learn that languages switch within a sequence. The sample is at most
+`PER_LANGUAGE` texts of each language.
 
 Forward-backward is exact over whole texts of any length: words are laid out in
 blocks, the blocks' transfer matrices are multiplied up first, then all blocks
@@ -49,8 +49,10 @@ NGRAMS = (2, 3)
 AFFIXES = (3, 4, 5)  # bytes, the word's boundary included
 
 SEQUENCE = 24
-SEQUENCES_PER_TEXT = 4
-EPOCHS = 4
+EPOCHS = 2
+
+#: Share of a language's texts that a word of its lexicon is in.
+LEXICON_SHARE = 0.02
 
 #: Words in a block of the scoring layout, words scored at a time, their scores at most, words kept by a worker.
 BLOCK = 32
@@ -222,23 +224,59 @@ class Labeller:
 
 
 def _sequences(texts: list[tuple[list[str], int]], rng) -> list[list[tuple[list[str], int]]]:
-    """Training sequences as lists of (words, label) pieces; every other one splices two languages."""
+    """All words of the texts as sequences, lists of (words, label) pieces; every other pair of cuts is spliced into two."""
     cut = []
     for words, label in texts:
-        for _ in range(SEQUENCES_PER_TEXT):
-            at = int(rng.integers(0, max(1, len(words) - SEQUENCE + 1)))
-            cut.append((words[at : at + SEQUENCE], label))
+        edges = [0, *range(int(rng.integers(1, SEQUENCE + 1)), len(words), SEQUENCE), len(words)]
+        cut += [(words[a:b], label) for a, b in zip(edges, edges[1:])]
     rng.shuffle(cut)
-    made = []
-    for (a, x), (b, y) in zip(cut[::2], cut[1::2]):
-        if len(made) % 2 or x == y:
+    made = [[piece] for piece in cut[len(cut) - len(cut) % 2 :]]
+    for number, ((a, x), (b, y)) in enumerate(zip(cut[::2], cut[1::2])):
+        if number % 2:
             made += [[(a, x)], [(b, y)]]
         else:
             k = int(rng.integers(1, max(2, len(a))))
-            made += [[(a[:k], x), (b[: SEQUENCE - k], y)], [(b[SEQUENCE - k :] or b, y)]]
+            made += [[(a[:k], x), (b[: SEQUENCE - k], y)]]
+            if len(a) > k or len(b) > SEQUENCE - k:
+                made += [[(b[SEQUENCE - k :], y), (a[k:], x)]]
     return made
 
 
+def loss_and_gradient(
+    weights: np.ndarray, moves: np.ndarray, rows: np.ndarray, owner: np.ndarray, x: np.ndarray, y: np.ndarray, there: np.ndarray
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log-likelihood of the labels ``y`` of word sequences ``x``, and its derivatives by weights and transitions.
+
+    ``rows`` and ``owner`` are the features of the words that ``x`` numbers; ``there`` tells words from padding.
+    """
+    n_labels, count = weights.shape[1], int(x.max()) + 1
+    scores = _emissions(weights, rows, owner, count)
+    table, move = _potentials(scores), np.exp(moves - moves.max())
+    e = table[x]
+    sums = np.empty(x.shape)
+    alpha = np.empty(e.shape)
+    beta = np.full(e.shape, 1.0 / n_labels)
+    sums[:, 0] = e[:, 0].sum(axis=1)
+    alpha[:, 0] = _normal(e[:, 0])
+    for k in range(1, x.shape[1]):
+        step = (alpha[:, k - 1] @ move) * e[:, k]
+        sums[:, k] = step.sum(axis=1)
+        alpha[:, k] = np.where(there[:, k, None], _normal(step), alpha[:, k - 1])
+    for k in range(x.shape[1] - 2, -1, -1):
+        beta[:, k] = np.where(there[:, k + 1, None], _normal((beta[:, k + 1] * e[:, k + 1]) @ move.T), beta[:, k])
+    gold = np.eye(n_labels)[y]
+    after = there[:, 1:]
+    told = np.log((e * gold).sum(axis=2))[there].sum() + np.log(move[y[:, :-1], y[:, 1:]])[after].sum()
+    loss = (np.log(sums)[there].sum() - told) / len(x)
+    per_word = np.zeros((count, n_labels))
+    np.add.at(per_word, x, np.where(there[..., None], _normal(alpha * beta) - gold, 0) / len(x))
+    # A pair's posterior is alpha * move * beta over its sum; added up over all pairs it is one matrix product.
+    left, right = alpha[:, :-1][after], (beta[:, 1:] * e[:, 1:])[after]
+    pairs = move * ((left / ((left @ move) * right).sum(axis=1, keepdims=True)).T @ right)
+    pairs -= gold[:, :-1][after].T @ gold[:, 1:][after]
+    return loss, _emissions(per_word, owner, rows, len(weights)), pairs / len(x)
+
+
 def train(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 1) -> WordCRF | None:
     """Fit by Adam on the sequences' conditional likelihood; None without texts."""
     split = [(w, lang) for w, lang in ((words_of(t), lang) for t, lang in texts) if w]
@@ -248,17 +286,22 @@ def train(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 1) ->
     rng = np.random.default_rng(seed)
     number = {lang: k for k, lang in enumerate(languages)}
     n_labels = len(languages)
+    known = Counter(lang for _, lang in split)
     counts = {lang: Counter() for lang in languages}
     for w, lang in split:
         counts[lang].update(set(w))
     lexicon = {}
     for lang in languages:
-        for w, _ in counts[lang].most_common(200):
+        least = max(2.0, LEXICON_SHARE * known[lang])
+        for w in sorted(w for w, n in counts[lang].items() if n >= least):
             lexicon.setdefault(w, []).append(ROWS + number[lang])
     n_rows = ROWS + n_labels + 1
     vocabulary = sorted({w for own, _ in split for w in own})
     index = {w: k for k, w in enumerate(vocabulary)}
     rows, owner = features(vocabulary, lexicon, n_rows)
+    rows = rows[np.argsort(owner, kind="stable")]
+    size = np.bincount(owner, minlength=len(vocabulary))
+    begin = np.cumsum(size) - size
     p = {"w": np.zeros((n_rows, n_labels)), "t": np.zeros((n_labels, n_labels))}
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
@@ -278,28 +321,12 @@ def train(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 1) ->
                 x[k, : len(own)] = own
                 y[k, : len(own)] = [label for words, label in s for _ in words]
                 there[k, : len(own)] = True
-            table = _potentials(_emissions(p["w"], rows, owner, len(vocabulary)))
-            move = np.exp(p["t"] - p["t"].max())
-            e = table[x]
-            alpha = np.empty(e.shape)
-            beta = np.full(e.shape, 1.0 / n_labels)
-            alpha[:, 0] = _normal(e[:, 0])
-            for k in range(1, n):
-                alpha[:, k] = np.where(there[:, k, None], _normal((alpha[:, k - 1] @ move) * e[:, k]), alpha[:, k - 1])
-            for k in range(n - 2, -1, -1):
-                beta[:, k] = np.where(there[:, k + 1, None], _normal((beta[:, k + 1] * e[:, k + 1]) @ move.T), beta[:, k])
-            gamma = _normal(alpha * beta)
-            gold = np.eye(n_labels)[y]
-            g = np.where(there[..., None], gamma - gold, 0) / len(part)
-            per_word = np.zeros((len(vocabulary), n_labels))
-            np.add.at(per_word, x, g)
-            pairs = alpha[:, :-1, :, None] * move * (beta[:, 1:] * e[:, 1:])[:, :, None, :]
-            pairs = pairs / pairs.sum(axis=(2, 3), keepdims=True)
-            pairs = (pairs - gold[:, :-1, :, None] * gold[:, 1:, None, :]) * there[:, 1:, None, None]
-            grad = {
-                "w": _emissions(per_word, owner, rows, n_rows) + 1e-4 * p["w"],
-                "t": pairs.sum(axis=(0, 1)) / len(part) + 1e-3 * p["t"],
-            }
+            seen, own = np.unique(x, return_inverse=True)
+            n_own = size[seen]
+            at = np.arange(n_own.sum()) - np.repeat(np.cumsum(n_own) - n_own, n_own) + np.repeat(begin[seen], n_own)
+            owners = np.repeat(np.arange(len(seen)), n_own)
+            _, dw, dt = loss_and_gradient(p["w"], p["t"], rows[at], owners, own.reshape(x.shape), y, there)
+            grad = {"w": dw + 1e-4 * p["w"], "t": dt + 1e-3 * p["t"]}
             for k, dk in grad.items():
                 first[k] = 0.9 * first[k] + 0.1 * dk
                 second[k] = 0.99 * second[k] + 0.01 * dk * dk
@@ -352,7 +379,8 @@ def _verdict(model: WordCRF, part: np.ndarray) -> tuple[str, float, float]:
         return UNDETERMINED, 0.0, 0.0
     mean = part.mean(axis=0)
     best = int(mean.argmax())
-    return model.languages[best], min(1.0, float(mean[best])), min(1.0, float(part.max(axis=1).mean()))
+    score = min(1.0, float(mean[best]))
+    return model.languages[best], score, min(1.0, max(score, float(part.max(axis=1).mean())))  # rounding put aside
 
 
 def label_texts(

@@ -7,8 +7,9 @@ turns them into the chunk's features, and a text's probability combines the
 largest and the mean features of all its chunks.
 
 A filter's response is the sum of one table row per byte of the window, so
-scoring is lookups and sums. The model is fitted on at most `PER_CLASS` texts of
-each label and travels to the tasks; scoring is a narrow map of all rows.
+scoring is lookups and sums. The model is fitted on all chunks of at most
+`PER_CLASS` texts of each label and travels to the tasks; scoring is a narrow
+map of all rows.
 
 Defined cases: null or empty text is one window of padding and gets the score of
 that; without texts of both labels every score is 0.5; repeated rows and null
@@ -34,9 +35,8 @@ FILTERS = 24
 EMBEDDING = 8
 HIDDEN = 16
 
-#: Texts of each label, and chunks of each text, in a training sample.
+#: Texts of each label in a training sample, whole.
 PER_CLASS = 1200
-TRAIN_CHUNKS = 4
 EPOCHS = 8
 
 #: Bytes scored at a time.
@@ -111,75 +111,96 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _chunks(texts: list[bytes], rng) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols (texts x TRAIN_CHUNKS x CHUNK + WIDTH - 1) of some chunks of each text, and which of them there are."""
-    x = np.full((len(texts), TRAIN_CHUNKS, CHUNK + WIDTH - 1), PAD, dtype=np.int16)
-    there = np.zeros((len(texts), TRAIN_CHUNKS), dtype=bool)
-    for k, t in enumerate(texts):
-        starts = np.arange(0, max(1, len(t)), CHUNK)
-        if len(starts) > TRAIN_CHUNKS:
-            starts = np.sort(rng.choice(starts, TRAIN_CHUNKS, replace=False))
-        for j, s in enumerate(starts):
-            own = np.frombuffer(t[s : s + CHUNK + WIDTH - 1], dtype=np.uint8)
-            x[k, j, : len(own)] = own
-            there[k, j] = True
-    return x, there
+def _chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All chunks of these texts: symbols (chunks x CHUNK + WIDTH - 1), windows that start in each, chunks of each text."""
+    parts, inside = [], []
+    for t in texts:
+        own = np.frombuffer(t, dtype=np.uint8) if t else np.array([PAD])
+        starts = np.arange(0, len(own), CHUNK)
+        x = np.full(len(starts) * CHUNK + WIDTH - 1, PAD, dtype=np.int16)
+        x[: len(own)] = own
+        parts.append(np.lib.stride_tricks.sliding_window_view(x, CHUNK + WIDTH - 1)[::CHUNK])
+        inside.append(np.minimum(CHUNK, len(own) - starts))
+    return np.concatenate(parts), np.concatenate(inside), np.array([len(p) for p in parts])
+
+
+def _strongest(tables: np.ndarray, x: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and value of each filter's largest response in each chunk, `BLOCK` windows at a time."""
+    at = np.empty((len(x), tables.shape[2]), dtype=np.int64)
+    best = np.empty(at.shape)
+    step = BLOCK // CHUNK
+    for low in range(0, len(x), step):
+        part = x[low : low + step]
+        sums = tables[0][part[:, :CHUNK]]
+        for w in range(1, WIDTH):
+            sums += tables[w][part[:, w : CHUNK + w]]
+        sums[np.arange(CHUNK) >= inside[low : low + step, None]] = -np.inf
+        own = sums.argmax(axis=1)
+        at[low : low + step] = own
+        best[low : low + step] = np.take_along_axis(sums, own[:, None], axis=1)[:, 0]
+    return at, best
+
+
+def loss_and_gradient(p: dict, texts: list[bytes], y: np.ndarray, weight: np.ndarray, kind=np.float32) -> tuple[float, dict]:
+    """Weighted mean cross-entropy of whole texts, and its derivatives by each parameter."""
+    x, inside, counts = _chunks(texts)
+    first = np.cumsum(counts) - counts
+    at, best = _strongest((p["e"] @ p["f"]).astype(kind), x, inside)
+    a = best + p["b"]
+    z = a @ p["v"] + p["c"]
+    h = np.maximum(z, 0)
+    top = np.stack([h[s : s + n].argmax(axis=0) + s for s, n in zip(first, counts)])
+    hidden = np.arange(HIDDEN)
+    feats = np.hstack([h[top, hidden], np.add.reduceat(h, first, axis=0) / counts[:, None]])
+    score = _sigmoid(feats @ p["u"] + p["d"])
+    loss = -(weight * np.log(np.where(y == 1, score, 1 - score))).mean()
+    g = (score - y) * weight / len(y)
+    grad = {"u": feats.T @ g, "d": np.array([g.sum()])}
+    df = g[:, None] * p["u"]
+    dh = np.repeat(df[:, HIDDEN:] / counts[:, None], counts, axis=0)
+    dh[top, hidden] += df[:, :HIDDEN]
+    dz = dh * (z > 0)
+    da = dz @ p["v"].T
+    grad |= {"v": a.T @ dz, "c": dz.sum(axis=0), "b": da.sum(axis=0)}
+    ge, gf = np.zeros_like(p["e"]), np.zeros_like(p["f"])
+    columns = np.broadcast_to(np.arange(at.shape[1]), at.shape)
+    for w in range(WIDTH):
+        seen = np.take_along_axis(x, at + w, axis=1)
+        dt = np.zeros((PAD + 1, at.shape[1]))
+        np.add.at(dt, (seen, columns), da)
+        gf[w] = p["e"].T @ dt
+        ge += dt @ p["f"][w].T
+    return loss, grad | {"e": ge, "f": gf}
+
+
+def start(rng) -> dict[str, np.ndarray]:
+    return {
+        "e": rng.normal(0, 0.5, (PAD + 1, EMBEDDING)),
+        "f": rng.normal(0, 0.4, (WIDTH, EMBEDDING, FILTERS)),
+        "b": np.zeros(FILTERS),
+        "v": rng.normal(0, 0.3, (FILTERS, HIDDEN)),
+        "c": np.zeros(HIDDEN),
+        "u": rng.normal(0, 0.3, 2 * HIDDEN),
+        "d": np.zeros(1),
+    }
 
 
 def train(texts: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 1) -> ByteCNN | None:
-    """Fit the network by Adam on cross-entropy; None without texts of both labels."""
+    """Fit the network by Adam on cross-entropy, every epoch on all chunks; None without texts of both labels."""
     y = np.array([label for _, label in texts], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
     data = [t.encode() for t, _ in texts]
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    p = {
-        "e": rng.normal(0, 0.5, (PAD + 1, EMBEDDING)),
-        "f": rng.normal(0, 0.4, (WIDTH, EMBEDDING, FILTERS)),
-        "b": np.zeros(FILTERS),
-        "v": rng.normal(0, 0.3, (FILTERS, HIDDEN)),
-        "c": np.zeros(HIDDEN),
-        "u": rng.normal(0, 0.3, 2 * HIDDEN),
-        "d": np.zeros(1),
-    }
+    p = start(rng)
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
     step = 0
-    for epoch in range(epochs):
-        x_all, there_all = _chunks(data, rng)
+    for _ in range(epochs):
         for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 48)):
             step += 1
-            x, there = x_all[rows], there_all[rows]
-            n, m = there.shape
-            tables = (p["e"] @ p["f"]).astype(np.float32)
-            sums = tables[0][x[..., :CHUNK]]
-            for w in range(1, WIDTH):
-                sums += tables[w][x[..., w : CHUNK + w]]
-            at = sums.argmax(axis=2)  # n x m x FILTERS
-            a = np.take_along_axis(sums, at[:, :, None], axis=2)[:, :, 0].astype(np.float64) + p["b"]
-            z = a @ p["v"] + p["c"]
-            h = np.maximum(z, 0) * there[..., None]
-            top = h.argmax(axis=1)
-            count = there.sum(axis=1)[:, None]
-            feats = np.hstack([np.take_along_axis(h, top[:, None], axis=1)[:, 0], h.sum(axis=1) / count])
-            g = (_sigmoid(feats @ p["u"] + p["d"]) - y[rows]) * weight[rows] / n
-            grad = {"u": feats.T @ g, "d": np.array([g.sum()])}
-            df = g[:, None] * p["u"]
-            dh = np.repeat((df[:, HIDDEN:] / count)[:, None], m, axis=1)
-            np.put_along_axis(dh, top[:, None], np.take_along_axis(dh, top[:, None], axis=1) + df[:, None, :HIDDEN], axis=1)
-            dz = dh * (z > 0) * there[..., None]
-            da = dz @ p["v"].T
-            grad |= {"v": np.einsum("nmk,nmh->kh", a, dz), "c": dz.sum(axis=(0, 1)), "b": da.sum(axis=(0, 1))}
-            ge, gf = np.zeros_like(p["e"]), np.zeros_like(p["f"])
-            i, j = np.ogrid[:n, :m]
-            for w in range(WIDTH):
-                seen = x[i[..., None], j[..., None], at + w]  # n x m x FILTERS
-                dt = np.zeros((PAD + 1, FILTERS))
-                np.add.at(dt, (seen, np.broadcast_to(np.arange(FILTERS), seen.shape)), da)
-                gf[w] = p["e"].T @ dt
-                ge += dt @ p["f"][w].T
-            grad |= {"e": ge, "f": gf}
+            _, grad = loss_and_gradient(p, [data[k] for k in rows], y[rows], weight[rows])
             for k, dk in grad.items():
                 first[k] = 0.9 * first[k] + 0.1 * dk
                 second[k] = 0.99 * second[k] + 0.01 * dk * dk

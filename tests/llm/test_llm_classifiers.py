@@ -9,7 +9,7 @@ from llm_cases import LONG, TEXTS, docs
 from pyspark.sql import functions as F
 
 from hitloom.llm import langid, quality_cnn, toxicity
-from hitloom.llm.labelled import TRAIN_CHARS, fold, training_texts
+from hitloom.llm.labelled import fold, training_texts
 from hitloom.llm.queries import op5_quality_cnn, op6_toxicity, op8_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -79,10 +79,10 @@ def test_long_and_missing_texts_do_not_shrink_the_sample(spark, monkeypatch):
     known = labelled(spark, "toxic", [(i, i % 2) for i in range(120)])
     sample = training_texts(docs(spark, rows), known, "toxic", F.lit(True), 4)
     assert [y for _, y in sample] == [0] * 4 + [1] * 4
-    assert all((len(t) == TRAIN_CHARS and t in LONG) if y else t.startswith("text") for t, y in sample)
+    assert all(t == LONG if y else t.startswith("text") for t, y in sample)
     monkeypatch.setattr(langid, "PER_LANGUAGE", 4)
     sample = langid.training_texts(docs(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "de").otherwise("en")), F.lit(True))
-    assert [lang for _, lang in sample] == ["de"] * 4 + ["en"] * 4 and all(t in LONG for t, lang in sample if lang == "de")
+    assert [lang for _, lang in sample] == ["de"] * 4 + ["en"] * 4 and all(t == LONG for t, lang in sample if lang == "de")
 
 
 BYTES = [t.encode() for t in ("", "a", "short", "x" * 191, "y" * 192, "z" * 193, LONG[:5000], "Ünï 😀 " * 100)]
@@ -237,3 +237,73 @@ def test_nothing_to_learn_from_means_undetermined(spark):
     rows = docs(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {(r.lang_pred, r.score) for r in langid.identify(rows, F.lit(True)).collect()} == {("und", 0.0)}
     assert langid.identify(rows.limit(0), F.lit(True)).count() == 0
+
+
+def assert_gradient(loss, p, grad, names, rng, places=12):
+    """``grad`` equals differences of ``loss``, at some places of each parameter, those of the largest derivatives among them."""
+    for name in names:
+        flat, g = p[name].reshape(-1), grad[name].reshape(-1)
+        some = {*np.argsort(-abs(g))[: places // 2].tolist(), *rng.integers(0, len(flat), places // 2).tolist()}
+        assert abs(g).max() > 1e-8, name
+        for k in some:
+            was, around = flat[k], []
+            for step in (1e-6, -1e-6):
+                flat[k] = was + step
+                around.append(loss())
+            flat[k] = was
+            assert np.isclose((around[0] - around[1]) / 2e-6, g[k], rtol=1e-3, atol=1e-7), (name, k)
+
+
+def test_gradient_of_the_byte_network():
+    rng = np.random.default_rng(5)
+    p = quality_cnn.start(rng)
+    y, weight = rng.integers(0, 2, len(BYTES)).astype(float), rng.random(len(BYTES)) + 0.5
+    run = lambda: quality_cnn.loss_and_gradient(p, BYTES, y, weight, np.float64)
+    assert_gradient(lambda: run()[0], p, run()[1], p, rng)
+
+
+def test_training_network_scores_as_the_scoring_one(monkeypatch):
+    rng = np.random.default_rng(6)
+    p = quality_cnn.start(rng)
+    model = quality_cnn.ByteCNN((p["e"] @ p["f"]).astype(np.float32), p["b"], p["v"], p["c"], p["u"], float(p["d"][0]))
+    for block in (1 << 17, 1000):
+        monkeypatch.setattr(quality_cnn, "BLOCK", block)
+        for t in BYTES:
+            loss, _ = quality_cnn.loss_and_gradient(p, [t], np.ones(1), np.ones(1))
+            assert np.isclose(np.exp(-loss), model.scores([t])[0], atol=1e-5)
+
+
+@pytest.mark.parametrize("block", [1 << 16, 7])
+def test_gradient_of_the_text_network(block, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    rng = np.random.default_rng(7)
+    p = toxicity.start(rng)
+    coder = toxicity.Words()
+    codes = [coder.codes(t) for t in ("one", "the house and the river", LONG[:900], "der baum " * 9)]
+    y, weight = np.array([1.0, 0, 1, 0]), np.array([1.0, 2, 0.5, 1])
+    run = lambda: toxicity.loss_and_gradient(p, codes, y, weight)
+    _, grad, touched = run()
+    whole = np.zeros_like(p["e"])
+    whole[touched] = grad["e"]
+    assert_gradient(lambda: run()[0], p, grad | {"e": whole}, p, rng)
+
+
+def test_gradient_of_the_field():
+    rng = np.random.default_rng(8)
+    p = {"w": rng.normal(size=(9, 3)), "t": rng.normal(size=(3, 3))}
+    rows, owner = rng.integers(0, 9, 20), np.r_[np.arange(6), rng.integers(0, 6, 14)]
+    x, y = rng.integers(0, 6, (4, 7)), rng.integers(0, 3, (4, 7))
+    there = np.arange(7) < np.array([7, 1, 4, 6])[:, None]
+    x[0, 0] = 5
+    run = lambda: langid.loss_and_gradient(p["w"], p["t"], rows, owner, x, y, there)
+    assert_gradient(lambda: run()[0], p, dict(zip("wt", run()[1:])), p, rng)
+
+
+def test_training_sequences_hold_every_word_once():
+    rng = np.random.default_rng(9)
+    texts = [([f"w{k}_{i}" for i in range(n)], k % 2) for k, n in enumerate((1, 2, 23, 24, 25, 300, 7))]
+    for _ in range(5):
+        made = langid._sequences(texts, rng)
+        assert Counter((w, y) for s in made for words, y in s for w in words) == Counter((w, y) for own, y in texts for w in own)
+        assert all(0 < sum(len(w) for w, _ in s) <= langid.SEQUENCE for s in made)
+        assert any(len(s) > 1 for s in made)
