@@ -17,7 +17,7 @@ from hitloom.plans.contract import BRONZE, GOLD, REJECTS, REPORT, SILVER
 from hitloom.plans.report import RunReport
 from hitloom.plans.spec import LookupSpec, RecordStep, Step, TopicSpec
 from hitloom.plans.topics import TOPICS
-from hitloom.sources.hits import case_sensitive, land_bronze, narrow_schema, read_hits, split_rejects, write_bronze
+from hitloom.sources.hits import BRONZE_FILES, case_sensitive, land_bronze, narrow_schema, read_hits, split_rejects, write_bronze
 from hitloom.sources.tables import layer_path, read_table, write_table
 
 
@@ -92,6 +92,7 @@ def run_topic(
     mixed_arrays: bool = False,
     gold_from: str = "silver",
     schema_change: str = "refuse",
+    bronze_files: Mapping[str, str] = BRONZE_FILES,
     **write_options: str,
 ) -> DataFrame:
     """Run one topic and return its gold table.
@@ -101,6 +102,8 @@ def run_topic(
     Silver is computed once; gold is made from the written silver table, by
     ``gold_fn`` where given and else as a plain copy.
 
+    Bronze is written compressed; ``bronze_files`` are its write options (``{}``: plain text).
+
     ``prefix`` goes before every topic name in paths. ``bronze_options`` are
     for reading a bronze layer that something else has written, such as
     ``{"multiLine": "true"}`` for one JSON array per file.
@@ -131,9 +134,9 @@ def run_topic(
     options = dict(bronze_options or {})
     if isinstance(export, DataFrame):
         schema = schema or (None if mixed_arrays else export.schema)
-        write_bronze(export, bronze)
+        write_bronze(export, bronze, **{"compression": "none", "maxRecordsPerFile": "0", **bronze_files})
     elif export is not None:
-        land_bronze(spark, export, bronze, layout, indent)
+        land_bronze(spark, export, bronze, layout, indent, **bronze_files)
     report = RunReport(spec)
     if rejects:
         hits, bad = split_rejects(spark, bronze, schema)

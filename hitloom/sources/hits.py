@@ -20,6 +20,10 @@ from hitloom.sources.mixed import with_mixed_arrays
 _BLANKS = " \t\r\n"
 _CORRUPT = "_corrupt_record"
 
+#: How bronze files are written that no caller has options for. Hits repeat their names, so text is a tenth of its size
+#: compressed. A compressed file is read by one task: the bound on its hits keeps that task's share small.
+BRONZE_FILES = {"compression": "gzip", "maxRecordsPerFile": "1000000"}
+
 # The types of the fields every hit has; inference would call a field that is always null a string.
 ENVELOPE = {"_id": StringType(), "_index": StringType(), "_score": DoubleType()}
 
@@ -127,9 +131,10 @@ def _narrow(name: str, dtype: DataType, reads: frozenset[str], fold: Callable[[s
 def write_bronze(df: DataFrame, path: str, **options: str) -> None:
     """Replace ``path`` with the rows of ``df`` as one JSON object per line.
 
-    Null fields are written, so that the schema read back is the same.
+    Null fields are written, so that the schema read back is the same. Files are
+    compressed as `BRONZE_FILES` says; ``options`` win (``compression="none"``).
     """
-    df.write.mode("overwrite").options(**{"ignoreNullFields": "false", **options}).json(path)
+    df.write.mode("overwrite").options(**{"ignoreNullFields": "false", **BRONZE_FILES, **options}).json(path)
 
 
 def land_bronze(
@@ -162,6 +167,10 @@ def land_bronze(
 
     Files that do not have the layout fail the job: text that is cut off,
     or malformed, never turns into missing or empty hits.
+
+    ``options`` are for writing bronze: it is plain text unless they say
+    otherwise (`BRONZE_FILES` does, which a topic's run uses). An export of
+    lines may be compressed.
     """
     exports = [export] if isinstance(export, str) else export
     if any(f"{one.rstrip('/')}/".startswith(f"{path.rstrip('/')}/") for one in exports):

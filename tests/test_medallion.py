@@ -11,7 +11,7 @@ from test_topics import AREA, NUMBERS, STORY
 
 from hitloom.plans.medallion import curate, run_topic, run_topics
 from hitloom.plans.topics import TOPICS
-from hitloom.sources.hits import read_hits
+from hitloom.sources.hits import BRONZE_FILES, read_hits, write_bronze
 from hitloom.sources.tables import layer_path, read_table
 from hitloom.workload import records
 
@@ -155,3 +155,25 @@ def test_bad_lines_fail_a_topic_or_are_kept_as_rejects(spark, tmp_path):
     gold = run_topic(spark, TOPICS["area-by-numbers"], root, str(path), rejects=True)
     assert gold.count() == 3 and gold.filter("PeriodName is null").count() == 0
     assert spark.read.text(layer_path(root, "area-by-numbers", "rejects")).count() == 1
+
+
+def test_bronze_is_compressed_in_many_files(spark, tmp_path):
+    hits = records.place_names_hits(spark, SF_SMALL)
+    write_bronze(hits, str(tmp_path / "export"), maxRecordsPerFile="100")
+    text = sum(len(r.value) for r in hits.selectExpr("to_json(struct(*), map('ignoreNullFields', 'false')) as value").collect())
+    gold = {
+        name: run_topic(spark, TOPICS["place-names"], str(tmp_path / name), export, bronze_files=files)
+        for name, export, files in (
+            ("files", str(tmp_path / "export"), {**BRONZE_FILES, "maxRecordsPerFile": "100"}),
+            ("frame", hits, BRONZE_FILES),
+            ("plain", hits, {}),
+        )
+    }
+    assert gold["files"].count() > 1000 and bag(gold["files"]) == bag(gold["frame"]) == bag(gold["plain"])
+    sizes = {
+        folder: [p.stat().st_size for p in Path(folder).glob("part-*")]
+        for folder in (str(tmp_path / "export"), *(layer_path(str(tmp_path / name), "place-names", "bronze") for name in ("files", "frame")))
+    }
+    assert all(sum(found) < text / 5 for found in sizes.values())
+    assert [len(found) > 10 for found in sizes.values()] == [True, True, False]
+    assert list(Path(layer_path(str(tmp_path / "plain"), "place-names", "bronze")).glob("part-*.json"))
