@@ -9,7 +9,7 @@ from llm_cases import LONG, TEXTS, docs
 from pyspark.sql import functions as F
 
 from hitloom.llm import langid, quality_cnn, toxicity
-from hitloom.llm.labelled import fold, training_texts
+from hitloom.llm.labelled import fold, labelled_texts, training_texts
 from hitloom.llm.queries import op5_quality_cnn, op6_toxicity, op8_language_id
 
 SF = "/root/testdata/sf0.01"
@@ -307,3 +307,41 @@ def test_training_sequences_hold_every_word_once():
         assert Counter((w, y) for s in made for words, y in s for w in words) == Counter((w, y) for own, y in texts for w in own)
         assert all(0 < sum(len(w) for w, _ in s) <= langid.SEQUENCE for s in made)
         assert any(len(s) > 1 for s in made)
+
+
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    """The last ids by hash alone have a word of their own; runs of a few texts are averaged."""
+    monkeypatch.setattr(toxicity, "RUN_TEXTS", 400)
+    rng = np.random.default_rng(5)
+    plain = lambda: " ".join(rng.choice(["the", "of", "house", "tree", "and", "river", "stone"], 20))
+    ids = [r.id for r in spark.range(3400).filter("id % 2 = 1").orderBy(F.xxhash64("id"), "id").collect()]
+    last = set(ids[1500:])
+    rows = [(i, f"{plain()} {('grubby' if i in last else 'filthy') if i % 2 else 'clean'} {plain()}") for i in range(3400)]
+    asked = [(10_000 + k, f"{plain()} {word} {plain()}") for k, word in enumerate(["grubby"] * 20 + ["filthy"] * 20 + ["clean"] * 20)]
+    known = labelled(spark, "toxic", [(i, i % 2) for i in range(3400)])
+    frame = spark.createDataFrame(rows + asked, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.score for r in toxicity.toxicity_scores(frame, known, F.lit(True)).filter("doc_id >= 10000").collect()}
+    assert [found[10_000 + k] >= toxicity.THRESHOLD for k in range(60)] == [True] * 40 + [False] * 20
+
+
+def test_labelled_texts_are_all_and_each_once(spark):
+    rows = [(i, f"text {i}") for i in range(100)] + [(1, "text 1")] * 50 + [(200, None), (None, "x")]
+    known = labelled(spark, "toxic", [(i, i % 2) for i in range(100)] + [(1, 1)] * 9 + [(200, 1), (300, 0), (None, 1), (2, None)])
+    found = labelled_texts(docs(spark, rows), known, "toxic", F.col("doc_id") % 5 != 0).collect()
+    assert sorted((r.doc_id, r.label, r.text) for r in found) == [(i, i % 2, f"text {i}") for i in range(100) if i % 5]
+
+
+def test_changes_of_all_runs_are_averaged_in_any_order(spark):
+    coder = toxicity.Words()
+    rows = [(k % 2, coder.codes(f"the house {'filthy' if k % 2 else 'clean'} w{k}").tolist()) for k in range(90)]
+    frame = spark.createDataFrame(rows, "label int, codes array<long>")
+    p, weights = toxicity.start(np.random.default_rng(1)), np.array([1.0, 1.0])
+    made = [toxicity._round(frame.repartition(n, "codes"), p, weights, 1, 7) for n in (3, 3, 1)]
+    for k, value in toxicity._unpacked(toxicity._packed(p), p).items():
+        assert np.array_equal(value, p[k]) and np.array_equal(made[0][k], made[1][k]) and not np.array_equal(made[2][k], p[k])
+    # One run: what learning in place gives.
+    whole = frame.repartition(1, "codes").collect()
+    own = {k: v.copy() for k, v in p.items()}
+    codes, y = [np.array(r.codes) for r in whole], np.array([float(r.label) for r in whole])
+    toxicity.learn(own, codes, y, weights[y.astype(int)], np.arange(90), 1, np.random.default_rng(7))
+    assert all(np.allclose(made[2][k], own[k], atol=1e-6) for k in own)
