@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType
@@ -194,12 +193,10 @@ def land_bronze(
 
 def _land_compact(spark: SparkSession, export: str | list[str], path: str, options: dict) -> None:
     states = block_states(spark, export).persist()
-    fragments = block_fragments(spark, export, states).persist(StorageLevel.DISK_ONLY)
     try:
         check_ends(states)
-        compact_elements(fragments).write.mode("overwrite").options(**options).text(path)
+        compact_elements(block_fragments(spark, export, states)).write.mode("overwrite").options(**options).text(path)
     finally:
-        fragments.unpersist()
         states.unpersist()
 
 

@@ -6,6 +6,7 @@ import random
 import pytest
 from helpers import bag, plan
 
+from hitloom.sources import compact
 from hitloom.sources.compact import block_fragments, block_states, compact_elements
 from hitloom.sources.hits import land_bronze, read_hits
 
@@ -120,3 +121,32 @@ def test_cut_off_files_leave_the_old_bronze(spark, tmp_path):
 def test_empty_arrays(spark, tmp_path):
     folder = write(tmp_path / "export", ["[]", " [ \n ] "])
     assert elements_of(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("pieces, listed", [(1, 1), (3, 2), (50, 7)])
+def test_small_blocks_are_put_together(spark, conf, arrays, monkeypatch, pieces, listed):
+    folder, elements = arrays
+    monkeypatch.setattr(compact, "PIECES", pieces)
+    monkeypatch.setattr(compact, "_LISTED", listed)
+    conf(spark__sql__files__maxPartitionBytes="700", spark__sql__files__openCostInBytes="0", spark__sql__files__minPartitionNum="1")
+    found = [json.loads(r.value) for r in elements_of(spark, folder).collect()]
+    order = lambda x: json.dumps(x, sort_keys=True)
+    assert sorted(map(order, found)) == sorted(map(order, elements))
+
+
+def test_pieces_are_not_sorted_one_by_one(spark, arrays):
+    """Sorts and windows over all pieces spill; blocks are gathered, and cut by one pass over each."""
+    folder, _ = arrays
+    states = block_states(spark, folder).persist()
+    assert states.count() == 6
+    text = plan(block_fragments(spark, folder, states))
+    assert "Window" not in text.split("InMemoryRelation")[0] and "collect_list" in text
+    states.unpersist()
+
+
+def test_other_blocks_at_the_second_reading_are_refused(spark, conf, arrays):
+    folder, _ = arrays
+    states = spark.createDataFrame(block_states(spark, folder).collect(), block_states(spark, folder).schema)
+    conf(spark__sql__files__maxPartitionBytes="700", spark__sql__files__openCostInBytes="0", spark__sql__files__minPartitionNum="1")
+    with pytest.raises(Exception, match="cut into other blocks"):
+        compact_elements(block_fragments(spark, folder, states)).collect()
