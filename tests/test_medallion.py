@@ -14,6 +14,7 @@ from hitloom.plans.topics import TOPICS
 from hitloom.sources.hits import BRONZE_FILES, read_hits, write_bronze
 from hitloom.sources.tables import layer_path, read_table
 from hitloom.workload import records
+from hitloom.workload.queries import QUERIES
 
 
 @pytest.fixture
@@ -177,3 +178,17 @@ def test_bronze_is_compressed_in_many_files(spark, tmp_path):
     assert all(sum(found) < text / 5 for found in sizes.values())
     assert [len(found) > 10 for found in sizes.values()] == [True, True, False]
     assert list(Path(layer_path(str(tmp_path / "plain"), "place-names", "bronze")).glob("part-*.json"))
+
+
+@pytest.mark.parametrize("sf_dir", [SF_SMALL, "/root/testdata/sf0.01"])
+def test_export_and_all_layers_are_smaller_than_the_text_of_the_hits(spark, tmp_path, monkeypatch, sf_dir):
+    monkeypatch.setattr(records, "scratch_dir", lambda spark: str(tmp_path))
+    gold = QUERIES["medallion_place_names"](spark, sf_dir)
+    lines = records.hit_lines(records.place_names_hits(spark, sf_dir))
+    n, text = lines.agg(F.count("*"), F.sum(F.octet_length("value") + 1)).first()
+    assert gold.count() == n == records.table(spark, sf_dir, "orders").count()
+    written = {
+        folder: sum(p.stat().st_size for p in (tmp_path / folder).rglob("part-*"))
+        for folder in ("export", *(f"place-names/{layer}" for layer in ("bronze", "silver", "gold")))
+    }
+    assert all(written.values()) and sum(written.values()) < text / 2
